@@ -58,7 +58,7 @@ def iso_to_ts(s) -> Column:
 
 
 def ts_to_iso(ts) -> Column:
-    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
 
 
 def fee(amount="amount") -> Column:
