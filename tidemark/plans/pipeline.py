@@ -28,11 +28,16 @@ from tidemark.sources.landing import BRONZE_ORDER, add_lineage, read_bronze, rea
 RAW_MODE = {"customers": "update", "payments": "update", "sessions": "nothing"}
 
 
-def land(spark: SparkSession, root: str, entity: str, landing_path: str, as_of: dt.datetime) -> dict:
-    """Landed pages newer than the mark -> one bronze run; then advance the mark."""
+def land(spark: SparkSession, root: str, entity: str, landing_path: str, as_of: dt.datetime,
+         initial_mark: dt.datetime | None = None) -> dict:
+    """Landed pages newer than the mark -> one bronze run; then advance the mark.
+
+    Without a stored mark the extract starts at ``initial_mark``, by default
+    365 days before ``as_of``.
+    """
     configure(spark)
     name = f"wm_{entity}"
-    mark = get_watermark(spark, root, name, default_mark(as_of))
+    mark = get_watermark(spark, root, name, initial_mark or default_mark(as_of))
     rows = read_envelopes(spark, landing_path, entity)
     rows = rows.where(iso_to_ts(TS_FIELD[entity]) >= mark_lit(mark))
     stats = write_bronze(add_lineage(rows, entity, as_of), f"{root}/bronze", entity, TS_FIELD[entity])
@@ -111,11 +116,11 @@ def build_gold(spark: SparkSession, root: str) -> dict[str, str]:
 
 
 def run(spark: SparkSession, root: str, landing: dict[str, str], as_of: dt.datetime,
-        full_refresh: bool = False) -> dict:
+        full_refresh: bool = False, initial_mark: dt.datetime | None = None) -> dict:
     """Landing -> bronze -> raw -> staging -> gold for all three entities."""
     report = {}
     for entity, path in landing.items():
-        report[f"land_{entity}"] = land(spark, root, entity, path, as_of)
+        report[f"land_{entity}"] = land(spark, root, entity, path, as_of, initial_mark)
         report[f"raw_{entity}"] = bronze_to_raw(spark, root, entity, as_of if entity == "customers" else None)
         report[f"stg_{entity}"] = refresh_staging(spark, root, entity, full_refresh)
     report["gold"] = build_gold(spark, root)

@@ -31,6 +31,7 @@ def build_session(master: str | None = None, app: str = "tidemark",
         builder = builder.master(master)
     builder = (builder
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
