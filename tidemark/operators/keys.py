@@ -9,7 +9,8 @@ one task.  ``dense_key`` gets the same numbers from a range-partitioned sort:
    with the row position) and materialise with a reliable checkpoint, so every
    later read sees the same partitions;
 3. count rows per partition (one row per partition: bounded by the partition
-   count), turn the counts into running offsets and broadcast them back.
+   count, never by the data), turn the counts into running offsets on the
+   driver and apply them as a literal map.
 
 key = offset(partition) + position in partition + 1.
 """
@@ -42,16 +43,15 @@ def dense_key(df: DataFrame, order_cols: list[str], key: str,
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
-    stats = (ranged.groupBy("_pid")
-                   .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")))
-    # One row per partition: a single-task window over at most n rows.
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select("_pid", "_first",
-                           F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    out = (ranged.join(F.broadcast(offsets), "_pid")
-                 .select((F.col("_offset") + F.col("_pos") - F.col("_first") + 1).cast("bigint").alias(key),
-                         *[F.col(c) for c in df.columns]))
-    return out
+    # At most one row per range partition.
+    stats = sorted(ranged.groupBy("_pid")
+                   .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")).collect())
+    base, offset = [], 0
+    for pid, n_rows, first in stats:
+        base += [F.lit(pid), F.lit(offset + 1 - first)]
+        offset += n_rows
+    shift = F.element_at(F.create_map(*base), F.col("_pid")) if base else F.lit(0)
+    return ranged.select((F.col("_pos") + shift).cast("bigint").alias(key), *[F.col(c) for c in df.columns])
 
 
 def dense_rank_key(df: DataFrame, order_cols: list[str], key: str) -> DataFrame:

@@ -7,16 +7,48 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import dims, facts, marts, staging
-from tidemark.session import configure
+from tidemark.session import configure, stage
 from tidemark.sources import fixtures
+from tidemark.sources.tables import input_bytes
+
+# Inputs above this size write payments staging once for all gold models.
+STAGE_MIN_BYTES = 256 * 1024 * 1024
 
 
 class Build:
     """raw -> staging -> dimensions -> facts -> aggregates (dependency order)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, stage_payments: bool | None = None):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self._stage_payments = stage_payments
+
+    # Staging feeds two to five gold models.  Payments carry the product of
+    # each order (lineitem x part, aggregated), the heaviest step of the
+    # build: on large inputs it is written once and read by every model; on
+    # small ones re-deriving it is cheaper than the extra write.  Customers
+    # and sessions are narrow derivations that each reader re-derives with
+    # only the columns it needs (Parquet column pruning).
+    @cached_property
+    def _stg_payments(self) -> DataFrame:
+        if self.stage_payments:
+            return stage(self.stg_payments, "stg_payments")
+        return self.stg_payments
+
+    @cached_property
+    def stage_payments(self) -> bool:
+        if self._stage_payments is not None:
+            return self._stage_payments
+        limit = int(self.spark.conf.get("tidemark.stage.minBytes", str(STAGE_MIN_BYTES)))
+        return input_bytes(self.spark, self.sf_dir, ["orders", "lineitem", "part"]) > limit
+
+    @property
+    def _stg_customers(self) -> DataFrame:
+        return self.stg_customers
+
+    @property
+    def _stg_sessions(self) -> DataFrame:
+        return self.stg_sessions
 
     # raw
     @cached_property
@@ -47,37 +79,37 @@ class Build:
     # dimensions
     @cached_property
     def dim_country(self) -> DataFrame:
-        return dims.dim_country(self.stg_customers, self.stg_payments, self.stg_sessions)
+        return dims.dim_country(self._stg_customers, self._stg_payments, self._stg_sessions)
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return dims.dim_customer(self.stg_customers)
+        return dims.dim_customer(self._stg_customers)
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self.stg_payments, self.stg_sessions)
+        return dims.dim_date(self._stg_payments, self._stg_sessions)
 
     @cached_property
     def dim_device(self) -> DataFrame:
-        return dims.dim_device(self.stg_sessions)
+        return dims.dim_device(self._stg_sessions)
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dims.dim_product(self.stg_payments)
+        return dims.dim_product(self._stg_payments)
 
     @cached_property
     def dim_campaign(self) -> DataFrame:
-        return dims.dim_campaign(self.stg_sessions)
+        return dims.dim_campaign(self._stg_sessions)
 
     # facts
     @cached_property
     def fact_payments(self) -> DataFrame:
-        return facts.fact_payments(self.stg_payments, self.dim_customer, self.dim_product,
+        return facts.fact_payments(self._stg_payments, self.dim_customer, self.dim_product,
                                    self.dim_country, self.dim_date)
 
     @cached_property
     def fact_sessions(self) -> DataFrame:
-        return facts.fact_sessions(self.stg_sessions, self.dim_customer, self.dim_country,
+        return facts.fact_sessions(self._stg_sessions, self.dim_customer, self.dim_country,
                                    self.dim_device, self.dim_campaign, self.dim_date)
 
     # aggregates
@@ -91,11 +123,11 @@ class Build:
 
     @cached_property
     def agg_customer_summary(self) -> DataFrame:
-        return marts.agg_customer_summary(self.dim_customer, self.stg_payments, self.stg_sessions)
+        return marts.agg_customer_summary(self.dim_customer, self._stg_payments, self._stg_sessions)
 
     @cached_property
     def agg_customer_summary_fanout(self) -> DataFrame:
-        return marts.agg_customer_summary(self.dim_customer, self.stg_payments, self.stg_sessions, fanout=True)
+        return marts.agg_customer_summary(self.dim_customer, self._stg_payments, self._stg_sessions, fanout=True)
 
 
 MODEL_NAMES = [

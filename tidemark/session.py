@@ -75,3 +75,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never machine-local
+    on a cluster)."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-scratch/{tag}-{uuid.uuid4().hex}"
+
+
+def stage(df, tag: str):
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the upstream plan) and keeps column pruning and filter pushdown for every
+    reader, unlike an in-memory cache.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
