@@ -32,18 +32,20 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, on, max_rows: int | None = No
 
 
 def left_join_null_split(fact: DataFrame, dim: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
-    """Left join on a key that is often NULL.
+    """Left join on a key that is often NULL, in one pass over ``fact``.
 
-    NULL never matches, so those rows skip the join and come back with NULL
-    dimension columns; they no longer pile into one shuffle partition.  When
-    the dimension is small enough to broadcast there is no shuffle to skew and
+    NULL never matches, but hash partitioning would still send every NULL
+    row to the same task.  Each NULL key is replaced for the shuffle by a
+    per-row value (a hash of the row), so those rows spread over all tasks;
+    the ``key IS NOT NULL`` clause keeps them from matching anything.  When
+    the dimension passes the broadcast check there is no shuffle to skew and
     the plain join is used.
     """
     limit = broadcast_max_rows(fact.sparkSession) if max_rows is None else max_rows
     if has_at_most(dim, limit):
         return fact.join(F.broadcast(dim), key, "left")
-    extra = [f for f in dim.schema.fields if f.name != key]
-    keyed = fact.where(F.col(key).isNotNull()).join(dim, key, "left")
-    nulls = fact.where(F.col(key).isNull()).select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return keyed.unionByName(nulls.select(*keyed.columns))
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in fact.columns]).cast("string"))
+    f = fact.withColumn("_jk", F.when(F.col(key).isNull(), spread).otherwise(F.col(key).cast("string")))
+    d = dim.withColumn("_dk", F.col(key).cast("string")).drop(key)
+    j = f.join(d, (f["_jk"] == d["_dk"]) & f[key].isNotNull(), "left")
+    return j.drop("_jk", "_dk")
