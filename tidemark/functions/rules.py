@@ -61,6 +61,11 @@ def ts_to_iso(ts) -> Column:
     return F.date_format(_c(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
 
 
+def list_amount(list_price="list_price", seats="seats") -> Column:
+    """amount = list price x seats (money)."""
+    return (_c(list_price).cast(MONEY) * _c(seats)).cast(MONEY)
+
+
 def fee(amount="amount") -> Column:
     """Card fee: round(amount * 2.9 % + 0.30, 2), half up on exact decimals."""
     a = money(amount)

@@ -44,11 +44,19 @@ def version_path(root: str, name: str, v: int) -> str:
     return f"{root.rstrip('/')}/{name}/v={v:06d}"
 
 
-def publish(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version of ``name``; returns its path."""
+def publish(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None,
+            cluster_by: str | None = None) -> str:
+    """Write ``df`` as the next version of ``name``; returns its path.
+
+    ``cluster_by`` sorts rows inside each output file by that column (no
+    extra shuffle), so Parquet row-group min/max statistics let time-range
+    reads skip most of the file -- the role of a time index.
+    """
     spark = df.sparkSession
     vs = versions(spark, root, name)
     path = version_path(root, name, (vs[-1] + 1) if vs else 1)
+    if cluster_by:
+        df = df.sortWithinPartitions(cluster_by)
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -65,3 +73,40 @@ def current(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(version_path(root, name, vs[-1]))
+
+
+LAYERS = ["bronze", "raw", "staging", "gold", "meta"]
+
+
+def qualified(name: str, custom_schema: str | None, target_schema: str) -> str:
+    """Schema routing: a model's own schema name is used as is, else the target's."""
+    return f"{(custom_schema or target_schema).strip()}.{name}"
+
+
+def ensure_layers(spark: SparkSession, root: str, layers: list[str] = LAYERS) -> None:
+    """Create the layer databases if missing, each located under ``root``."""
+    for layer in layers:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
+
+
+def ensure_table(spark: SparkSession, root: str, name: str, schema) -> str:
+    """Create an empty typed table (version 1) when the table has no version."""
+    vs = versions(spark, root, name)
+    if vs:
+        return version_path(root, name, vs[-1])
+    return publish(spark.createDataFrame([], schema), root, name)
+
+
+def table_exists(spark: SparkSession, root: str, name: str) -> bool:
+    return bool(versions(spark, root, name))
+
+
+def register(spark: SparkSession, root: str, layer: str, name: str) -> None:
+    """Point ``layer.name`` in the session catalog at the current version."""
+    vs = versions(spark, f"{root.rstrip('/')}/{layer}", name)
+    if not vs:
+        raise ValueError(f"{layer}.{name} has no published version")
+    path = version_path(f"{root.rstrip('/')}/{layer}", name, vs[-1])
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
+    spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+    spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{path}'")

@@ -457,3 +457,26 @@ def stream_upsert(spark, sf_dir):
         landing.write_landing(landing.paginate(part, "sessions", "session_id"), f"{base}/landing/run={i}")
     run_stream(spark, f"{base}/landing/*", "sessions", f"{base}/checkpoint", f"{base}/raw")
     return current(spark, f"{base}/raw", "sessions", RAW_SESSIONS)
+
+
+@query("customer_defaults", with_models(["raw_customers"], f"""
+SELECT customer_id,
+       coalesce(company_name, concat('Company ', substr(customer_id, 1, 8))) AS company_name,
+       concat('Company ', substr(customer_id, 1, 8)) AS default_name,
+       coalesce(is_churned, false) AS is_churned,
+       coalesce(signup_date, {_ts_sql(AS_OF)}) AS signup_date,
+       coalesce(updated_at, {_ts_sql(AS_OF)}) AS updated_at
+FROM raw_customers
+"""))
+def customer_defaults(spark, sf_dir):
+    """``data.get(x, default)`` on a customer insert: only a missing value
+    takes the default (name from the id, not churned, times = now)."""
+    c = Build(spark, sf_dir).raw_customers
+    now = mark_lit(AS_OF)
+    return c.select(
+        "customer_id",
+        rules.or_default("company_name", rules.company_name_from_id("customer_id")).alias("company_name"),
+        rules.company_name_from_id("customer_id").alias("default_name"),
+        rules.or_default("is_churned", False).alias("is_churned"),
+        rules.or_default("signup_date", now).alias("signup_date"),
+        rules.or_default("updated_at", now).alias("updated_at"))
