@@ -43,3 +43,14 @@ def test_ranks_spread_over_partitions(spark):
     parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 1
     assert out.agg(F.max("key")).first()[0] == 20000
+
+
+def test_ranked_part_types_give_same_products(spark):
+    from tidemark.operators.quality import same_rows
+    from tidemark.sources.fixtures import order_products
+    d = "/root/testdata/sf0.01"
+    ranked = order_products(spark, d, rank_types=True)
+    plain = order_products(spark, d, rank_types=False)
+    assert same_rows(ranked, plain)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
