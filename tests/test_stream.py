@@ -33,3 +33,27 @@ def test_stream_equals_batch_and_reruns_empty(spark, tmp_path):
     again = run_stream(spark, f"{base}/landing/*", "customers", f"{base}/ckpt", f"{base}/raw")
     assert again == []
     assert len(versions(spark, f"{base}/raw", "customers")) == n
+
+
+def test_in_place_stream_equals_versioned(spark, tmp_path):
+    from tidemark.operators.inplace import read_bucketed
+    from tidemark.schemas import RAW_SESSIONS
+    base = str(tmp_path)
+    raw = Build(spark, SF_SMALL).raw_sessions
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for i, part in enumerate((raw.where(F.col("session_start") <= cut), raw)):
+        landing.write_landing(landing.paginate(part, "sessions", "session_id"), f"{base}/landing/run={i}")
+    run_stream(spark, f"{base}/landing/*", "sessions", f"{base}/ck1", f"{base}/v")
+    run_stream(spark, f"{base}/landing/*", "sessions", f"{base}/ck2", f"{base}/p", in_place=True)
+    versioned = current(spark, f"{base}/v", "sessions", RAW_SESSIONS)
+    in_place = spark.read.parquet(f"{base}/p/sessions")
+    assert same_rows(in_place.select(*versioned.columns), versioned)
+    assert same_rows(versioned, raw)
+    # customers, update mode, by buckets
+    cust = Build(spark, SF_SMALL).raw_customers
+    landing.write_landing(landing.paginate(cust, "customers", "customer_id"), f"{base}/lc/run=0")
+    run_stream(spark, f"{base}/lc/*", "customers", f"{base}/ck3", f"{base}/v")
+    run_stream(spark, f"{base}/lc/*", "customers", f"{base}/ck4", f"{base}/p", in_place=True, buckets=16)
+    a = current(spark, f"{base}/v", "customers")
+    b = read_bucketed(spark, f"{base}/p/customers")
+    assert same_rows(b.select(*a.columns), a)

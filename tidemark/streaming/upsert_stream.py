@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import dml
+from tidemark.operators import dml, inplace
 from tidemark.operators.publish import current, publish
 from tidemark.schemas import KEYS, RAW
 from tidemark.session import configure
@@ -21,9 +21,13 @@ ORDER = ["_batch", "page", "pos"]
 
 
 def run_stream(spark: SparkSession, landing_path: str, entity: str, checkpoint: str,
-               table_root: str, on_match: str | None = None) -> list[int]:
+               table_root: str, on_match: str | None = None, in_place: bool = False,
+               buckets: int = 1024) -> list[int]:
     """Process everything landed so far, then stop (``availableNow``).
 
+    ``in_place=False`` publishes a new version of the whole table per batch;
+    ``in_place=True`` appends new keys (insert-only) or rewrites only the
+    touched hash buckets (update) of ``<table_root>/<entity>``.
     Returns the ids of the micro-batches that ran.
     """
     configure(spark)
@@ -34,6 +38,15 @@ def run_stream(spark: SparkSession, landing_path: str, entity: str, checkpoint:
 
     def upsert_batch(batch: DataFrame, epoch: int) -> None:
         typed = to_raw(batch.withColumn("_batch", F.lit(epoch)), entity, keep=ORDER)
+        if in_place:
+            path = f"{table_root.rstrip('/')}/{entity}"
+            if mode == "nothing":
+                inplace.append_new(spark, path, typed, key, order=ORDER)
+            else:
+                inplace.upsert_buckets(spark, path, typed, key, buckets=buckets, order=ORDER,
+                                       revive="is_deleted" if entity == "customers" else None)
+            seen.append(epoch)
+            return
         target = current(spark, table_root, entity, RAW[entity])
         if target is None:
             target = spark.createDataFrame([], RAW[entity])
