@@ -53,8 +53,12 @@ def day_of_week(d) -> Column:
 
 
 def iso_to_ts(s) -> Column:
-    """ISO-8601 text (with or without offset) -> UTC wall-clock timestamp."""
-    return F.to_timestamp(_c(s)).cast(TS)
+    """ISO-8601 text (with or without offset) -> UTC wall-clock timestamp.
+
+    Empty text counts as missing (NULL); malformed text fails the job under
+    ANSI mode, as a bad timestamp does at the source.
+    """
+    return F.to_timestamp(F.nullif(_c(s), F.lit(""))).cast(TS)
 
 
 def ts_to_iso(ts) -> Column:

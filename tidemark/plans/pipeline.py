@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.rules import STALE_DAYS
 from tidemark.operators import dml
 from tidemark.operators.publish import current, publish
-from tidemark.functions.rules import iso_to_ts
-from tidemark.operators.watermark import (default_mark, get_watermark, incremental, mark_lit, next_mark,
-                                          set_watermark)
+from tidemark.operators.watermark import default_mark, get_watermark, incremental, next_mark, set_watermark
 from tidemark.plans import dims, facts, marts, staging
 from tidemark.schemas import KEYS, RAW, TS_FIELD
 from tidemark.session import configure
-from tidemark.sources.landing import BRONZE_ORDER, add_lineage, read_bronze, read_envelopes, to_raw, write_bronze
+from tidemark.sources.landing import (BRONZE_ORDER, add_lineage, read_bronze, read_envelopes, to_raw,
+                                      updated_since_text, write_bronze)
 
 # Sessions are insert-only on landing; customers and payments are updated.
 RAW_MODE = {"customers": "update", "payments": "update", "sessions": "nothing"}
@@ -41,7 +40,7 @@ def land(spark: SparkSession, root: str, entity: str, landing_path: str, as_of:
     name = f"wm_{entity}"
     mark = get_watermark(spark, root, name, initial_mark or default_mark(as_of))
     rows = read_envelopes(spark, landing_path, entity)
-    rows = rows.where(iso_to_ts(TS_FIELD[entity]) >= mark_lit(mark))
+    rows = updated_since_text(rows, mark)
     stats = write_bronze(add_lineage(rows, entity, as_of), f"{root}/bronze", entity, TS_FIELD[entity])
     if stats["rows"]:
         new = spark.range(1).select(next_mark(F.lit(stats["max_ts"]).cast("timestamp_ntz"), mark).alias("m")).first()["m"]

@@ -4,8 +4,8 @@ The list service answers in pages ``{page, page_size, total_pages, next_page,
 count, data: [row]}``.  Here the pages are files: ``read_envelopes`` reads
 every landed page with an explicit schema and explodes ``data`` keeping
 (page, pos), the arrival order used for dedup.  ``paginate`` builds the same
-envelopes from a table (the list operator), ``list_resource`` is its filtered
-single-page form.
+envelopes from a table (the list operator); ``filter_resource`` with
+``page_slice`` and ``page_totals`` is its filtered single-page form.
 """
 
 from __future__ import annotations
@@ -60,6 +60,13 @@ def clamp_page_size(page_size: int | None) -> int:
     return min(int(page_size or PAGE_SIZE_DEFAULT), PAGE_SIZE_MAX)
 
 
+def updated_since_text(rows: DataFrame, since, fields=("updated_at", "created_at", "session_start")) -> DataFrame:
+    """The service's incremental filter on landed text rows: the first
+    non-empty of updated_at, created_at, session_start, parsed, ``>= since``."""
+    present = [F.nullif(F.col(c), F.lit("")) for c in fields if c in rows.columns]
+    return rows.where(iso_to_ts(F.coalesce(*present)) >= mark_lit(since))
+
+
 def filter_resource(df: DataFrame, updated_since_ts=None, equals: dict | None = None) -> DataFrame:
     """Source filters: ``updated_since`` (>=) and column equality (pushed to Parquet)."""
     if updated_since_ts is not None:
