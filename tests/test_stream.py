@@ -1,6 +1,5 @@
 """The streaming upsert equals the batch upsert and replays to nothing."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL

@@ -8,7 +8,6 @@ same result independently in DuckDB.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +20,8 @@ from tidemark.operators.watermark import incremental, mark_lit, next_mark, updat
 from tidemark.plans import staging
 from tidemark.plans.gold import Build
 from tidemark.plans.oracle import with_models
-from tidemark.schemas import MONEY, RAW_PAYMENTS, RAW_SESSIONS, TS
-from tidemark.session import checkpoint_dir
+from tidemark.schemas import MONEY, RAW_PAYMENTS, RAW_SESSIONS
+from tidemark.session import scratch_path
 from tidemark.sources import landing
 from tidemark.sources.fixtures import pad_id
 from tidemark.sources.tables import read_table
@@ -60,11 +59,6 @@ def _ts_sql(t: dt.datetime) -> str:
     return f"TIMESTAMP '{t.isoformat(sep=' ')}'"
 
 
-def _scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-scratch/{tag}-{uuid.uuid4().hex}"
-
-
 RAW_P_COLS = ", ".join(f.name for f in RAW_PAYMENTS.fields)
 RAW_S_COLS = ", ".join(f.name for f in RAW_SESSIONS.fields)
 
@@ -438,7 +432,7 @@ def weekend_sessions(spark, sf_dir):
 def bronze_roundtrip(spark, sf_dir):
     """raw -> list pages -> landed JSON -> envelopes -> bronze -> raw types."""
     raw = Build(spark, sf_dir).raw_payments
-    base = _scratch(spark, "bronze")
+    base = scratch_path(spark, "bronze")
     landing.write_landing(landing.paginate(raw, "payments", "payment_id", landing.PAGE_SIZE_DEFAULT), f"{base}/landing")
     rows = landing.read_envelopes(spark, f"{base}/landing", "payments")
     landing.write_bronze(landing.add_lineage(rows, "payments", AS_OF), f"{base}/bronze", "payments")
@@ -451,7 +445,7 @@ def stream_upsert(spark, sf_dir):
     """Two landed runs (halves by time) streamed insert-only into raw.sessions."""
     from tidemark.streaming.upsert_stream import run_stream
     raw = Build(spark, sf_dir).raw_sessions
-    base = _scratch(spark, "stream")
+    base = scratch_path(spark, "stream")
     cut = mark_lit(SESSIONS_CUT)
     for i, part in enumerate((raw.where(F.col("session_start") <= cut), raw.where(F.col("session_start") > cut))):
         landing.write_landing(landing.paginate(part, "sessions", "session_id"), f"{base}/landing/run={i}")
