@@ -10,17 +10,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import STALE_DAYS
-from tidemark.operators import dml
-from tidemark.operators.publish import current, publish
+from tidemark.operators import dml, inplace
+from tidemark.operators.publish import current, path_exists, publish
 from tidemark.operators.watermark import default_mark, get_watermark, incremental, next_mark, set_watermark
 from tidemark.plans import dims, facts, marts, staging
 from tidemark.schemas import KEYS, RAW, TS_FIELD
 from tidemark.session import configure
-from tidemark.sources.landing import (BRONZE_ORDER, add_lineage, read_bronze, read_envelopes, to_raw,
+from tidemark.sources.landing import (BRONZE_ORDER, add_lineage, read_bronze, read_envelopes, run_id, to_raw,
                                       updated_since_text, write_bronze)
 
 # Sessions are insert-only on landing; customers and payments are updated.
@@ -42,6 +42,8 @@ def land(spark: SparkSession, root: str, entity: str, landing_path: str, as_of:
     rows = read_envelopes(spark, landing_path, entity)
     rows = updated_since_text(rows, mark)
     stats = write_bronze(add_lineage(rows, entity, as_of), f"{root}/bronze", entity, TS_FIELD[entity])
+    stats["run_id"] = run_id(as_of)
+    stats["ingestion_date"] = as_of.date()
     if stats["rows"]:
         new = spark.range(1).select(next_mark(F.lit(stats["max_ts"]).cast("timestamp_ntz"), mark).alias("m")).first()["m"]
         set_watermark(spark, root, name, new)
@@ -52,34 +54,81 @@ def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def upsert_raw(spark: SparkSession, root: str, entity: str, batch: DataFrame,
-               as_of: dt.datetime | None = None) -> tuple[str, dict]:
-    """Upsert a typed batch (with arrival order columns) into raw.<entity>."""
+def upsert_raw(spark: SparkSession, root: str, entity: str, batch: DataFrame) -> tuple[str, dict]:
+    """Upsert a typed batch (with arrival order columns) into raw.<entity>; new version."""
     target = current(spark, f"{root}/raw", entity, RAW[entity]) or empty(spark, RAW[entity])
-    key = KEYS[entity]
-    mode = RAW_MODE[entity]
-    out = dml.upsert(target, batch, key, on_match=mode, order=BRONZE_ORDER,
+    out = dml.upsert(target, batch, KEYS[entity], on_match=RAW_MODE[entity], order=BRONZE_ORDER,
                      revive="is_deleted" if entity == "customers" else None)
-    info: dict = {}
-    if entity == "customers" and as_of is not None:
-        obs = Observation("soft_delete")
-        out = dml.soft_delete(out, as_of, STALE_DAYS, observation=obs)
-        path = publish(out, f"{root}/raw", entity)
-        info["deleted_rows"] = obs.get.get("deleted_rows") or 0
-        return path, info
-    return publish(out, f"{root}/raw", entity, cluster_by=CLUSTER.get(entity)), info
-
-
-def bronze_to_raw(spark: SparkSession, root: str, entity: str, as_of: dt.datetime | None = None,
-                  since_date: dt.date | None = None) -> tuple[str, dict]:
+    return publish(out, f"{root}/raw", entity, cluster_by=CLUSTER.get(entity)), {}
+
+
+def raw_path(root: str, entity: str) -> str:
+    return f"{root.rstrip('/')}/raw/{entity}"
+
+
+def read_raw(spark: SparkSession, root: str, entity: str, in_place: bool = False) -> DataFrame | None:
+    if not in_place:
+        return current(spark, f"{root}/raw", entity)
+    path = raw_path(root, entity)
+    if not path_exists(spark, path):
+        return None
+    return inplace.read_bucketed(spark, path).select(*[f.name for f in RAW[entity].fields])
+
+
+def upsert_raw_in_place(spark: SparkSession, root: str, entity: str, batch: DataFrame,
+                        buckets: int = inplace.DEFAULT_BUCKETS) -> tuple[str, dict]:
+    """Large-table form: sessions append new keys only; customers and payments
+    rewrite only the hash buckets the batch touches."""
+    path = raw_path(root, entity)
+    key = KEYS[entity]
+    if RAW_MODE[entity] == "nothing":
+        return path, {"appended_rows": inplace.append_new(spark, path, batch, key, order=BRONZE_ORDER)}
+    touched = inplace.upsert_buckets(spark, path, batch, key, buckets=buckets, order=BRONZE_ORDER,
+                                     revive="is_deleted" if entity == "customers" else None)
+    return path, {"touched_buckets": len(touched)}
+
+
+def soft_delete_raw(spark: SparkSession, root: str, as_of: dt.datetime, in_place: bool = False,
+                    days: int = STALE_DAYS, buckets: int = inplace.DEFAULT_BUCKETS) -> dict:
+    """Flag customers not seen for ``days`` before ``as_of`` (after every
+    customers ingest, rows or not).  Nothing is written when nobody is stale."""
+    table = read_raw(spark, root, "customers", in_place)
+    if table is None:
+        return {"deleted_rows": 0}
+    stale = table.where(dml.stale_flag(as_of, days))
+    n = stale.count()
+    if n == 0:
+        return {"deleted_rows": 0}
+    if in_place:
+        inplace.upsert_buckets(spark, raw_path(root, "customers"), dml.soft_delete(stale, as_of, days),
+                               KEYS["customers"], buckets=buckets, order=None)
+    else:
+        publish(dml.soft_delete(table, as_of, days), f"{root}/raw", "customers")
+    return {"deleted_rows": n}
+
+
+def bronze_batch(spark: SparkSession, root: str, entity: str, since_date: dt.date | None = None,
+                 run: str | None = None) -> DataFrame:
+    """Typed rows of the landed runs: one run (its date folder only), or all
+    runs since a date, or everything."""
     bronze = read_bronze(spark, f"{root}/bronze", entity, since_date)
-    batch = to_raw(bronze, entity, keep=BRONZE_ORDER)
-    return upsert_raw(spark, root, entity, batch, as_of)
+    if run is not None:
+        bronze = bronze.where(F.col("run_id") == run)
+    return to_raw(bronze, entity, keep=BRONZE_ORDER)
+
 
+def bronze_to_raw(spark: SparkSession, root: str, entity: str, since_date: dt.date | None = None,
+                  run: str | None = None, in_place: bool = False) -> tuple[str, dict]:
+    batch = bronze_batch(spark, root, entity, since_date, run)
+    if in_place:
+        return upsert_raw_in_place(spark, root, entity, batch)
+    return upsert_raw(spark, root, entity, batch)
 
-def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: bool = False) -> str:
+
+def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: bool = False,
+                    in_place: bool = False) -> str:
     """Incremental staging: rows newer than the staging max, merged on the key."""
-    raw = current(spark, f"{root}/raw", entity)
+    raw = read_raw(spark, root, entity, in_place)
     name = f"stg_{entity}"
     target = None if full_refresh else current(spark, f"{root}/staging", name)
     new = staging.STAGING[entity](incremental(raw, target, "updated_at"))
@@ -117,12 +166,21 @@ def build_gold(spark: SparkSession, root: str) -> dict[str, str]:
 
 
 def run(spark: SparkSession, root: str, landing: dict[str, str], as_of: dt.datetime,
-        full_refresh: bool = False, initial_mark: dt.datetime | None = None) -> dict:
-    """Landing -> bronze -> raw -> staging -> gold for all three entities."""
+        full_refresh: bool = False, initial_mark: dt.datetime | None = None, in_place: bool = False) -> dict:
+    """Landing -> bronze -> raw -> staging -> gold for all three entities.
+
+    Only the run just landed is read back from bronze (its date folder).
+    ``in_place=True`` keeps raw tables bucketed and rewrites only what changes.
+    """
     report = {}
     for entity, path in landing.items():
-        report[f"land_{entity}"] = land(spark, root, entity, path, as_of, initial_mark)
-        report[f"raw_{entity}"] = bronze_to_raw(spark, root, entity, as_of if entity == "customers" else None)
-        report[f"stg_{entity}"] = refresh_staging(spark, root, entity, full_refresh)
+        stats = land(spark, root, entity, path, as_of, initial_mark)
+        report[f"land_{entity}"] = stats
+        if stats["rows"]:
+            report[f"raw_{entity}"] = bronze_to_raw(spark, root, entity, since_date=stats["ingestion_date"],
+                                                    run=stats["run_id"], in_place=in_place)
+        if entity == "customers":
+            report["soft_delete_customers"] = soft_delete_raw(spark, root, as_of, in_place)
+        report[f"stg_{entity}"] = refresh_staging(spark, root, entity, full_refresh, in_place)
     report["gold"] = build_gold(spark, root)
     return report
