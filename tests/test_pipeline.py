@@ -110,5 +110,24 @@ def test_in_place_run_equals_versioned_run(run1, tmp_path):
         a = pipeline.read_raw(spark, f"{base}/wh", e)
         c = pipeline.read_raw(spark, wh, e, in_place=True)
         assert same_rows(c.select(*a.columns), a), e
+    for e in ("customers", "payments", "sessions"):
+        a = current(spark, f"{base}/wh/staging", f"stg_{e}")
+        c = pipeline.read_staging(spark, wh, f"stg_{e}", in_place=True)
+        assert same_rows(c.select(*a.columns), a), e
     for name in ("agg_payments_daily", "agg_sessions_daily", "agg_customer_summary"):
         assert same_rows(current(spark, f"{wh}/gold", name), current(spark, f"{base}/wh/gold", name)), name
+
+
+def test_in_place_two_halves_equal_full_load(spark, tmp_path):
+    base = str(tmp_path)
+    b = Build(spark, SF_SMALL)
+    cut = F.lit("1998-06-30 00:00:00").cast("timestamp_ntz")
+    wh = f"{base}/wh"
+    for i, cond in enumerate((F.col("updated_at") <= cut, F.col("updated_at") > cut)):
+        path = f"{base}/landing/run{i}"
+        landing.write_landing(landing.paginate(b.raw_payments.where(cond), "payments", "payment_id"), path)
+        stats = pipeline.land(spark, wh, "payments", path, AS_OF + dt.timedelta(hours=i), START)
+        pipeline.bronze_to_raw(spark, wh, "payments", run=stats["run_id"], in_place=True)
+        pipeline.refresh_staging(spark, wh, "payments", in_place=True, buckets=32)
+    got = pipeline.read_staging(spark, wh, "stg_payments", in_place=True)
+    assert same_rows(got.select(*b.stg_payments.columns), b.stg_payments)

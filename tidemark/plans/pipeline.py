@@ -125,22 +125,41 @@ def bronze_to_raw(spark: SparkSession, root: str, entity: str, since_date: dt.da
     return upsert_raw(spark, root, entity, batch)
 
 
+def read_staging(spark: SparkSession, root: str, name: str, in_place: bool = False) -> DataFrame | None:
+    if not in_place:
+        return current(spark, f"{root}/staging", name)
+    path = f"{root.rstrip('/')}/staging/{name}"
+    return inplace.read_bucketed(spark, path) if path_exists(spark, path) else None
+
+
 def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: bool = False,
-                    in_place: bool = False) -> str:
-    """Incremental staging: rows newer than the staging max, merged on the key."""
+                    in_place: bool = False, buckets: int = inplace.DEFAULT_BUCKETS) -> str:
+    """Incremental staging: rows newer than the staging max, merged on the key.
+
+    Every non-key column is a merge column, so the merge is a keyed replace;
+    in place it rewrites only the hash buckets of the new rows.
+    """
     raw = read_raw(spark, root, entity, in_place)
     name = f"stg_{entity}"
-    target = None if full_refresh else current(spark, f"{root}/staging", name)
+    target = None if full_refresh else read_staging(spark, root, name, in_place)
     new = staging.STAGING[entity](incremental(raw, target, "updated_at"))
+    if in_place:
+        path = f"{root.rstrip('/')}/staging/{name}"
+        if full_refresh and path_exists(spark, path):
+            new.withColumn(inplace.BUCKET, inplace.bucket_of(KEYS[entity], buckets)) \
+               .write.mode("overwrite").partitionBy(inplace.BUCKET).parquet(path)
+        else:
+            inplace.upsert_buckets(spark, path, new, KEYS[entity], buckets=buckets, order=None)
+        return path
     out = new if target is None else dml.merge(target, new, KEYS[entity])
     return publish(out, f"{root}/staging", name)
 
 
-def build_gold(spark: SparkSession, root: str) -> dict[str, str]:
+def build_gold(spark: SparkSession, root: str, in_place: bool = False) -> dict[str, str]:
     """Rebuild dimensions, facts and aggregates together (keys stay consistent)."""
-    stg_c = current(spark, f"{root}/staging", "stg_customers")
-    stg_p = current(spark, f"{root}/staging", "stg_payments")
-    stg_s = current(spark, f"{root}/staging", "stg_sessions")
+    stg_c = read_staging(spark, root, "stg_customers", in_place)
+    stg_p = read_staging(spark, root, "stg_payments", in_place)
+    stg_s = read_staging(spark, root, "stg_sessions", in_place)
     g = f"{root}/gold"
     out = {}
     d = {
@@ -182,5 +201,5 @@ def run(spark: SparkSession, root: str, landing: dict[str, str], as_of: dt.datet
         if entity == "customers":
             report["soft_delete_customers"] = soft_delete_raw(spark, root, as_of, in_place)
         report[f"stg_{entity}"] = refresh_staging(spark, root, entity, full_refresh, in_place)
-    report["gold"] = build_gold(spark, root)
+    report["gold"] = build_gold(spark, root, in_place)
     return report
