@@ -32,6 +32,8 @@ def build_session(master: str | None = None, app: str = "tidemark",
     builder = (builder
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # remove checkpoint files once their DataFrame is garbage-collected
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "8g"))
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
