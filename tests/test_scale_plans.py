@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.operators import dml
-from tidemark.operators.joins import left_join_null_split
+from tidemark.operators.joins import left_join_skew_safe
 from tidemark.operators.quality import same_rows
 
 
@@ -17,7 +17,7 @@ def test_null_split_join_is_one_pass_and_exact(spark):
         F.col("id").alias("fid"),
         F.when(F.col("id") % 3 == 0, F.format_string("c%04d", F.col("id") % 1000)).alias("customer_id"))
     dim = spark.range(1000).select(F.format_string("c%04d", "id").alias("customer_id"), (F.col("id") + 1).alias("ck"))
-    got = left_join_null_split(fact, dim, "customer_id", max_rows=10)
+    got = left_join_skew_safe(fact, dim, "customer_id", max_rows=10)
     want = fact.join(dim, "customer_id", "left")
     assert same_rows(got.select(*want.columns), want)
     p = plan(got)
@@ -30,7 +30,7 @@ def test_null_keys_spread_over_partitions(spark):
     dim = spark.range(100).select(F.format_string("c%04d", "id").alias("customer_id"), F.col("id").alias("ck"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        got = left_join_null_split(fact, dim, "customer_id", max_rows=10)
+        got = left_join_skew_safe(fact, dim, "customer_id", max_rows=10)
         sizes = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -50,3 +50,24 @@ def test_hot_key_dedup_combines_before_shuffle(spark):
     hot = out.where(F.col("id") == "hot").first()
     assert hot["v"] == 29997           # the last arrival of the hot key
     assert out.count() == 20001
+
+
+def test_hot_key_is_salted_and_exact(spark):
+    from tidemark.operators.joins import hot_keys
+    # one customer holds a third of the fact rows; a third are NULL
+    fact = spark.range(30000).select(
+        F.col("id").alias("fid"),
+        F.when(F.col("id") % 3 == 0, F.lit("c0007"))
+         .when(F.col("id") % 3 == 1, F.lit(None).cast("string"))
+         .otherwise(F.format_string("c%04d", F.col("id") % 1000)).alias("customer_id"))
+    dim = spark.range(1000).select(F.format_string("c%04d", "id").alias("customer_id"), (F.col("id") + 1).alias("ck"))
+    assert hot_keys(fact, "customer_id") == ["c0007"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = left_join_skew_safe(fact, dim, "customer_id", max_rows=10)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    want = fact.join(dim, "customer_id", "left")
+    assert same_rows(got.select(*want.columns), want)
+    assert max(sizes) < 30000 / 3          # neither the hot key nor NULLs sit in one task

@@ -31,21 +31,64 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, on, max_rows: int | None = No
     return fact.join(maybe_broadcast(dim, max_rows), on, "left")
 
 
-def left_join_null_split(fact: DataFrame, dim: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
-    """Left join on a key that is often NULL, in one pass over ``fact``.
-
-    NULL never matches, but hash partitioning would still send every NULL
-    row to the same task.  Each NULL key is replaced for the shuffle by a
-    per-row value (a hash of the row), so those rows spread over all tasks;
-    the ``key IS NOT NULL`` clause keeps them from matching anything.  When
-    the dimension passes the broadcast check there is no shuffle to skew and
-    the plain join is used.
+DEFAULT_HOT_SHARE = 0.01      # a key with at least 1 % of the sampled rows is hot
+DEFAULT_SALTS = 32
+DEFAULT_SAMPLE_ROWS = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, share: float = DEFAULT_HOT_SHARE,
+             sample_rows: int = DEFAULT_SAMPLE_ROWS, seed: int = 17) -> list:
+    """Keys holding at least ``share`` of the rows, from a sample.
+
+    At most 1/share keys can pass, so the list collected to the driver is
+    bounded whatever the data size.  NULL is never returned (it is handled
+    separately).
+    """
+    total = df.count()
+    if total == 0:
+        return []
+    frac = min(1.0, sample_rows / total)
+    sample = df.select(key).where(F.col(key).isNotNull())
+    if frac < 1.0:
+        sample = sample.sample(fraction=frac, seed=seed)
+    n = max(1, int(total * frac))
+    rows = (sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                  .where(F.col("_n") >= F.lit(share * n))
+                  .orderBy(F.desc("_n")).limit(int(1 / share) + 1).collect())
+    return [r[0] for r in rows]
+
+
+def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_rows: int | None = None,
+                         hot: list | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Left join, many fact rows to one dimension row, safe against skew.
+
+    * NULL keys never match, but hash partitioning would send every one of
+      them to the same task: each NULL row gets a per-row spread key (a hash
+      of the row) and the ``key IS NOT NULL`` clause keeps it unmatched.
+    * Hot keys (``hot``, or found by ``hot_keys`` from a sample) are salted:
+      their fact rows spread over ``salts`` values and only their dimension
+      rows are replicated ``salts`` times.
+    One pass over ``fact``.  When the dimension passes the broadcast check
+    there is no shuffle to skew and the plain join is used.
     """
     limit = broadcast_max_rows(fact.sparkSession) if max_rows is None else max_rows
     if has_at_most(dim, limit):
         return fact.join(F.broadcast(dim), key, "left")
-    spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in fact.columns]).cast("string"))
-    f = fact.withColumn("_jk", F.when(F.col(key).isNull(), spread).otherwise(F.col(key).cast("string")))
-    d = dim.withColumn("_dk", F.col(key).cast("string")).drop(key)
+    if hot is None:
+        hot = hot_keys(fact, key)
+    k = F.col(key).cast("string")
+    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    spread = F.concat(F.lit("\u0000"), row_hash.cast("string"))
+    fact_key = F.when(F.col(key).isNull(), spread)
+    dim_keys = F.array(k)
+    if hot:
+        is_hot = F.col(key).isin(hot)
+        salted = F.concat(k, F.lit("\u0001"), F.pmod(row_hash, F.lit(salts)).cast("string"))
+        fact_key = fact_key.when(is_hot, salted)
+        dim_keys = F.when(is_hot, F.transform(F.sequence(F.lit(0), F.lit(salts - 1)),
+                                              lambda i: F.concat(k, F.lit("\u0001"), i.cast("string")))
+                          ).otherwise(F.array(k))
+    f = fact.withColumn("_jk", fact_key.otherwise(k))
+    d = dim.withColumn("_dk", F.explode(dim_keys)).drop(key)
     j = f.join(d, (f["_jk"] == d["_dk"]) & f[key].isNotNull(), "left")
     return j.drop("_jk", "_dk")
