@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import rules
 from tidemark.operators import dml, quality
-from tidemark.operators.joins import maybe_broadcast
 from tidemark.operators.publish import current
 from tidemark.operators.watermark import incremental, mark_lit, next_mark, updated_since
 from tidemark.plans import staging
@@ -383,10 +382,10 @@ FROM raw_payments p
 LEFT JOIN (VALUES {_price_values_sql()}) AS pr(product, list_price) ON p.product = pr.product
 """))
 def price_join(spark, sf_dir):
-    """List price by product (five-row table, broadcast after its check) and
+    """List price by product (the five-row price table, broadcast) and
     seats = amount / price; products outside the price list get NULL."""
     p = Build(spark, sf_dir).raw_payments
-    j = p.join(maybe_broadcast(rules.price_table(spark)), "product", "left")
+    j = p.join(F.broadcast(rules.price_table(spark)), "product", "left")   # five rows by construction
     return j.select("payment_id", "product", "amount", "list_price",
                     F.when(F.col("list_price").isNotNull(),
                            (F.col("amount") / F.col("list_price")).cast("double")).alias("seats"))
@@ -408,7 +407,7 @@ def fill_defaults(spark, sf_dir):
     """``value or default`` on insert: a NULL or falsy value takes the default
     (list price, USD, succeeded, no refund, the fee rule)."""
     p = Build(spark, sf_dir).raw_payments
-    j = p.join(maybe_broadcast(rules.price_table(spark)), "product", "left")
+    j = p.join(F.broadcast(rules.price_table(spark)), "product", "left")   # five rows by construction
     amount = rules.or_default("amount", F.col("list_price").cast(MONEY), falsy=0).cast(MONEY)
     return j.select(
         "payment_id",

@@ -46,7 +46,8 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             .groupBy(F.col("o_custkey").alias("c_custkey"))
             .agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")))
     default = F.lit(DEFAULT_TIME).cast(TS)
-    df = (cust.join(maybe_broadcast(nation), "c_nationkey")
+    # Input tables carry file sizes: the planner broadcasts small ones itself.
+    df = (cust.join(nation, "c_nationkey")
               .join(span, "c_custkey", "left")
               .select(pad_id("c_custkey").alias("customer_id"),
                       F.col("c_name").alias("company_name"),
@@ -105,7 +106,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.round(amount * F.lit("0.029").cast("decimal(4,3)") + F.lit("0.30").cast("decimal(3,2)"), 2)
                   .cast(RAW_PAYMENTS["amount"].dataType))
     df = (orders.join(cust, "o_custkey")
-                .join(maybe_broadcast(nation), "c_nationkey")
+                .join(nation, "c_nationkey")
                 .join(order_products(spark, sf_dir), "o_orderkey", "left")
                 .select(pad_id("o_orderkey").alias("payment_id"),
                         pad_id("o_custkey").alias("customer_id"),
