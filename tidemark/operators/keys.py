@@ -35,6 +35,12 @@ def dense_key(df: DataFrame, order_cols: list[str], key: str,
     them); equal order values would get different keys.  Output is the input
     columns with the ``key`` (bigint) first.
     """
+    return dense_key_counted(df, order_cols, key, num_partitions)[0]
+
+
+def dense_key_counted(df: DataFrame, order_cols: list[str], key: str,
+                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """``dense_key`` and the number of rows (known from the partition counts)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
@@ -51,7 +57,8 @@ def dense_key(df: DataFrame, order_cols: list[str], key: str,
         base += [F.lit(pid), F.lit(offset + 1 - first)]
         offset += n_rows
     shift = F.element_at(F.create_map(*base), F.col("_pid")) if base else F.lit(0)
-    return ranged.select((F.col("_pos") + shift).cast("bigint").alias(key), *[F.col(c) for c in df.columns])
+    out = ranged.select((F.col("_pos") + shift).cast("bigint").alias(key), *[F.col(c) for c in df.columns])
+    return out, offset
 
 
 def dense_rank_key(df: DataFrame, order_cols: list[str], key: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import PAGE_SIZE_DEFAULT, PAGE_SIZE_MAX, iso_to_ts, ts_to_iso
-from tidemark.operators.keys import dense_key
+from tidemark.operators.keys import dense_key_counted
 from tidemark.operators.watermark import mark_lit, updated_since
 from tidemark.schemas import ENTITY_JSON, RAW, bronze, conform, envelope
 
@@ -79,10 +79,15 @@ def filter_resource(df: DataFrame, updated_since_ts=None, equals: dict | None =
 def numbered(df: DataFrame, order_by: str, page_size: int) -> DataFrame:
     """Add ``page`` (1-based) and ``pos`` (0-based) from the rank of ``order_by``
     (a unique column).  Ranking uses the range-partitioned ``dense_key``."""
-    idx = dense_key(df, [order_by], "_idx")
-    return idx.select(*df.columns,
-                      (F.floor((F.col("_idx") - 1) / page_size) + 1).cast("int").alias("page"),
-                      ((F.col("_idx") - 1) % page_size).cast("int").alias("pos"))
+    return numbered_counted(df, order_by, page_size)[0]
+
+
+def numbered_counted(df: DataFrame, order_by: str, page_size: int) -> tuple[DataFrame, int]:
+    idx, total = dense_key_counted(df, [order_by], "_idx")
+    out = idx.select(*df.columns,
+                     (F.floor((F.col("_idx") - 1) / page_size) + 1).cast("int").alias("page"),
+                     ((F.col("_idx") - 1) % page_size).cast("int").alias("pos"))
+    return out, total
 
 
 def paginate(df: DataFrame, entity: str, order_by: str, page_size: int = PAGE_SIZE_DEFAULT) -> DataFrame:
@@ -93,10 +98,10 @@ def paginate(df: DataFrame, entity: str, order_by: str, page_size: int = PAGE_SI
     """
     page_size = clamp_page_size(page_size)
     rows = to_service_rows(df, entity)
-    total = rows.count()
-    total_pages = (total + page_size - 1) // page_size
     fields = [f.name for f in ENTITY_JSON[entity].fields]
-    pages = (numbered(rows, order_by, page_size)
+    with_pos, total = numbered_counted(rows, order_by, page_size)
+    total_pages = (total + page_size - 1) // page_size
+    pages = (with_pos
              .groupBy("page")
              .agg(F.sort_array(F.collect_list(F.struct("pos", F.struct(*fields).alias("row")))).alias("_rows")))
     return pages.select(
