@@ -54,8 +54,12 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, on_match: str = "updat
     The batch is reduced to one row per key first (last arrival for update,
     first for nothing) by ``order``; pass ``order=None`` for a batch already
     unique on the key.  ``revive`` names a boolean column set to FALSE on
-    every upserted row (soft-deleted rows come back).  The batch keys are
-    broadcast only after a row-count check.
+    every upserted row (soft-deleted rows come back).
+
+    Update is one full outer join on the key: the batch and the target are
+    each computed once.  Insert-only anti-joins the batch with the target's
+    keys (a key-only scan; broadcast only after a row-count check) and
+    appends.  For a large target and a small batch use ``inplace``.
     """
     cols = target.columns
     if order is not None:
@@ -64,9 +68,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, on_match: str = "updat
         batch = batch.withColumn(revive, F.lit(False))
     batch = batch.select(*cols)
     if on_match == "update":
-        keys = maybe_broadcast(batch.select(key))
-        kept = target.join(keys, key, "left_anti")
-        return kept.unionByName(batch)
+        return _replace_by_key(target, batch, key, [c for c in cols if c != key])
     if on_match == "nothing":
         keys = maybe_broadcast(target.select(key))
         new = batch.join(keys, key, "left_anti")
@@ -74,6 +76,24 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, on_match: str = "updat
     raise ValueError(f"on_match must be 'update' or 'nothing', not {on_match!r}")
 
 
+def _replace_by_key(target: DataFrame, batch: DataFrame, key: str, update_cols: list[str]) -> DataFrame:
+    """Full outer join on the key; a matched row takes ``update_cols`` from the
+    batch and keeps the rest; unmatched rows come from their own side.
+    Columns keep the target's order."""
+    t = target.withColumn("_in_t", F.lit(True))
+    b = batch.withColumn("_in_b", F.lit(True))
+    j = t.alias("t").join(b.alias("b"), key, "full_outer")
+    out = []
+    for c in target.columns:
+        if c == key:
+            out.append(F.col(key))
+        elif c in update_cols:
+            out.append(F.when(F.col("b._in_b"), F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
+        else:
+            out.append(F.when(F.col("t._in_t"), F.col(f"t.{c}")).otherwise(F.col(f"b.{c}")).alias(c))
+    return j.select(*out)
+
+
 def merge(target: DataFrame, batch: DataFrame, key: str, update_cols: list[str] | None = None) -> DataFrame:
     """Keyed merge: matched rows take ``update_cols`` from the batch and keep
     the other columns; new keys are inserted whole; other target rows stay.
@@ -84,19 +104,8 @@ def merge(target: DataFrame, batch: DataFrame, key: str, update_cols: list[str]
     cols = target.columns
     update_cols = [c for c in cols if c != key] if update_cols is None else list(update_cols)
     b = batch.select(*cols).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
-    b = b.where(F.assert_true(F.col("_n") == 1, F.lit(f"merge batch has a duplicate {key}")).isNull())
-    t = target.withColumn("_in_t", F.lit(True))
-    b = b.drop("_n").withColumn("_in_b", F.lit(True))
-    j = t.alias("t").join(b.alias("b"), key, "full_outer")
-    out = [F.col(key)]
-    for c in cols:
-        if c == key:
-            continue
-        if c in update_cols:
-            out.append(F.when(F.col("b._in_b"), F.col(f"b.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-        else:
-            out.append(F.when(F.col("t._in_t"), F.col(f"t.{c}")).otherwise(F.col(f"b.{c}")).alias(c))
-    return j.select(*out)
+    b = b.where(F.assert_true(F.col("_n") == 1, F.lit(f"merge batch has a duplicate {key}")).isNull()).drop("_n")
+    return _replace_by_key(target, b, key, update_cols)
 
 
 def stale_flag(as_of, days: int, seen: str = "last_seen_at", deleted: str = "is_deleted") -> Column:
