@@ -31,31 +31,28 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, on, max_rows: int | None = No
     return fact.join(maybe_broadcast(dim, max_rows), on, "left")
 
 
-DEFAULT_HOT_SHARE = 0.01      # a key with at least 1 % of the sampled rows is hot
+DEFAULT_HOT_SHARE = 0.01        # a key with at least 1 % of the sampled rows is hot
 DEFAULT_SALTS = 32
-DEFAULT_SAMPLE_ROWS = 1_000_000
+DEFAULT_SAMPLE_FRACTION = 0.01
 
 
 def hot_keys(df: DataFrame, key: str, share: float = DEFAULT_HOT_SHARE,
-             sample_rows: int = DEFAULT_SAMPLE_ROWS, seed: int = 17) -> list:
-    """Keys holding at least ``share`` of the rows, from a sample.
+             fraction: float | None = None, seed: int = 17) -> list:
+    """Keys holding at least ``share`` of the (non-NULL) rows, from a sample.
 
-    At most 1/share keys can pass, so the list collected to the driver is
-    bounded whatever the data size.  NULL is never returned (it is handled
-    separately).
+    One pass over the key column: ``rollup`` yields the per-key counts and the
+    sample total together.  At most 1/share keys can pass, so what reaches the
+    driver is bounded whatever the data size.
     """
-    total = df.count()
-    if total == 0:
-        return []
-    frac = min(1.0, sample_rows / total)
+    if fraction is None:
+        fraction = float(df.sparkSession.conf.get("tidemark.hotKeys.sampleFraction", str(DEFAULT_SAMPLE_FRACTION)))
     sample = df.select(key).where(F.col(key).isNotNull())
-    if frac < 1.0:
-        sample = sample.sample(fraction=frac, seed=seed)
-    n = max(1, int(total * frac))
-    rows = (sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                  .where(F.col("_n") >= F.lit(share * n))
-                  .orderBy(F.desc("_n")).limit(int(1 / share) + 1).collect())
-    return [r[0] for r in rows]
+    if fraction < 1.0:
+        sample = sample.sample(fraction=fraction, seed=seed)
+    top = (sample.rollup(key).agg(F.count(F.lit(1)).alias("_n"), F.grouping(key).alias("_total"))
+                 .orderBy(F.desc("_n")).limit(int(1 / share) + 2).collect())
+    total = next((r["_n"] for r in top if r["_total"] == 1), 0)
+    return [r[key] for r in top if r["_total"] == 0 and total and r["_n"] >= share * total]
 
 
 def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_rows: int | None = None,
