@@ -37,12 +37,13 @@ DEFAULT_SAMPLE_FRACTION = 0.01
 
 
 def hot_keys(df: DataFrame, key: str, share: float = DEFAULT_HOT_SHARE,
-             fraction: float | None = None, seed: int = 17) -> list:
+             fraction: float | None = None, seed: int = 17, min_hits: int = 30) -> list:
     """Keys holding at least ``share`` of the (non-NULL) rows, from a sample.
 
     One pass over the key column: ``rollup`` yields the per-key counts and the
     sample total together.  At most 1/share keys can pass, so what reaches the
-    driver is bounded whatever the data size.
+    driver is bounded whatever the data size.  A key also needs ``min_hits``
+    sampled rows, so small samples do not flag noise.
     """
     if fraction is None:
         fraction = float(df.sparkSession.conf.get("tidemark.hotKeys.sampleFraction", str(DEFAULT_SAMPLE_FRACTION)))
@@ -52,7 +53,8 @@ def hot_keys(df: DataFrame, key: str, share: float = DEFAULT_HOT_SHARE,
     top = (sample.rollup(key).agg(F.count(F.lit(1)).alias("_n"), F.grouping(key).alias("_total"))
                  .orderBy(F.desc("_n")).limit(int(1 / share) + 2).collect())
     total = next((r["_n"] for r in top if r["_total"] == 1), 0)
-    return [r[key] for r in top if r["_total"] == 0 and total and r["_n"] >= share * total]
+    return [r[key] for r in top
+            if r["_total"] == 0 and total and r["_n"] >= max(share * total, min_hits)]
 
 
 def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_rows: int | None = None,
