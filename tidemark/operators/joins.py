@@ -58,7 +58,8 @@ def hot_keys(df: DataFrame, key: str, share: float = DEFAULT_HOT_SHARE,
 
 
 def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_rows: int | None = None,
-                         hot: list | None = None, salts: int = DEFAULT_SALTS) -> DataFrame:
+                        hot: list | None = None, salts: int = DEFAULT_SALTS,
+                        spread_by: list[str] | None = None) -> DataFrame:
     """Left join, many fact rows to one dimension row, safe against skew.
 
     * NULL keys never match, but hash partitioning would send every one of
@@ -76,7 +77,7 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_rows: int
     if hot is None:
         hot = hot_keys(fact, key)
     k = F.col(key).cast("string")
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+    row_hash = F.xxhash64(*[F.col(c) for c in (spread_by or fact.columns)])
     spread = F.concat(F.lit("\u0000"), row_hash.cast("string"))
     fact_key = F.when(F.col(key).isNull(), spread)
     dim_keys = F.array(k)

@@ -20,7 +20,8 @@ def fact_payments(stg_payments: DataFrame, dim_customer: DataFrame, dim_product:
     f = stg_payments.select("payment_id", "customer_id", "product", "country", "amount", "fee",
                             "refunded_amount", "payment_method", "status", "updated_at",
                             day("created_at").alias("_day"))
-    f = left_join_skew_safe(f, dim_customer.select("customer_id", "customer_key"), "customer_id")
+    f = left_join_skew_safe(f, dim_customer.select("customer_id", "customer_key"), "customer_id",
+                            spread_by=["payment_id"])
     f = left_join_dim(f, dim_product.select(F.col("product_name").alias("product"), "product_key"), "product")
     f = left_join_dim(f, dim_country.select(F.col("country_name").alias("country"), "country_key"), "country")
     f = left_join_dim(f, dim_date.select(F.col("full_date").alias("_day"), F.col("date_key").alias("order_date_key")), "_day")
@@ -35,7 +36,8 @@ def fact_sessions(stg_sessions: DataFrame, dim_customer: DataFrame, dim_country:
                             "pageviews", "session_duration_s", "bounced", "converted", "updated_at",
                             day("session_start").alias("_day"))
     # Anonymous sessions (NULL customer) never match; they bypass the shuffle.
-    s = left_join_skew_safe(s, dim_customer.select("customer_id", "customer_key"), "customer_id")
+    s = left_join_skew_safe(s, dim_customer.select("customer_id", "customer_key"), "customer_id",
+                            spread_by=["session_id"])
     s = left_join_dim(s, dim_country.select(F.col("country_name").alias("country"), "country_key"), "country")
     s = left_join_dim(s, dim_device.select(F.col("device_name").alias("device"), "device_key"), "device")
     # Plain equality on three columns: a NULL part never matches.
