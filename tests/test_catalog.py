@@ -28,6 +28,10 @@ def test_half_written_version_is_not_read(spark, scratch):
     import os
     os.remove(f"{root}/t/v=000002/_SUCCESS")
     assert current(spark, root, "t").count() == 2
+    # the next publish after the crashed attempt gets a fresh number
+    publish(spark.range(7), root, "t")
+    assert versions(spark, root, "t") == [1, 3]
+    assert current(spark, root, "t").count() == 7
 
 
 def test_register_points_catalog_at_current(spark, scratch):

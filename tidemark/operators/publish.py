@@ -26,8 +26,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Finished versions of a table, ascending."""
+def versions(spark: SparkSession, root: str, name: str, finished: bool = True) -> list[int]:
+    """Versions of a table, ascending: only finished ones (with ``_SUCCESS``)
+    unless ``finished=False``."""
     base = f"{root.rstrip('/')}/{name}"
     fs, p = _fs(spark, base)
     if not fs.exists(p):
@@ -35,7 +36,7 @@ def versions(spark: SparkSession, root: str, name: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         m = _V.match(st.getPath().getName())
-        if m and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        if m and (not finished or fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
             out.append(int(m.group(1)))
     return sorted(out)
 
@@ -53,7 +54,8 @@ def publish(df: DataFrame, root: str, name: str, partition_by: list[str] | None
     reads skip most of the file -- the role of a time index.
     """
     spark = df.sparkSession
-    vs = versions(spark, root, name)
+    # Number past every attempt, finished or not: a crashed write stays unread.
+    vs = versions(spark, root, name, finished=False)
     path = version_path(root, name, (vs[-1] + 1) if vs else 1)
     if cluster_by:
         df = df.sortWithinPartitions(cluster_by)
