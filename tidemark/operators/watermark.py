@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.publish import path_exists
+from tidemark.operators.publish import current, publish
 from tidemark.schemas import TS
 
 DEFAULT_LOOKBACK_DAYS = 365
@@ -17,24 +17,27 @@ def default_mark(as_of: dt.datetime) -> dt.datetime:
     return as_of - dt.timedelta(days=DEFAULT_LOOKBACK_DAYS)
 
 
-def _mark_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/_meta/watermarks/{name}"
+def _marks_root(root: str) -> str:
+    return f"{root.rstrip('/')}/_meta/watermarks"
 
 
 def get_watermark(spark: SparkSession, root: str, name: str, default: dt.datetime) -> dt.datetime:
-    """The stored mark, else ``default`` (first run)."""
-    path = _mark_path(root, name)
-    if not path_exists(spark, path):
+    """The last stored mark, else ``default`` (first run)."""
+    df = current(spark, _marks_root(root), name)
+    if df is None:
         return default
-    row = spark.read.parquet(path).agg(F.max("value").alias("v")).first()
+    row = df.agg(F.max("value").alias("v")).first()
     return row["v"] if row and row["v"] is not None else default
 
 
 def set_watermark(spark: SparkSession, root: str, name: str, value: dt.datetime) -> None:
-    """Overwrite the mark (call only after the data it covers is published)."""
+    """Store a new mark (call only after the data it covers is published).
+
+    Each mark is a new one-row version: a crash while writing leaves the
+    previous mark readable.
+    """
     df = spark.createDataFrame([(name, value.isoformat(sep=" "))], "name string, value string")
-    df.select("name", F.col("value").cast(TS).alias("value")).coalesce(1) \
-      .write.mode("overwrite").parquet(_mark_path(root, name))
+    publish(df.select("name", F.col("value").cast(TS).alias("value")).coalesce(1), _marks_root(root), name)
 
 
 def mark_lit(value) -> Column:
