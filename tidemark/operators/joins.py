@@ -80,7 +80,7 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_rows: int
     row_hash = F.xxhash64(*[F.col(c) for c in (spread_by or fact.columns)])
     spread = F.concat(F.lit("\u0000"), row_hash.cast("string"))
     fact_key = F.when(F.col(key).isNull(), spread)
-    dim_keys = F.array(k)
+    dim_keys = None
     if hot:
         is_hot = F.col(key).isin(hot)
         salted = F.concat(k, F.lit("\u0001"), F.pmod(row_hash, F.lit(salts)).cast("string"))
@@ -89,6 +89,6 @@ def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_rows: int
                                               lambda i: F.concat(k, F.lit("\u0001"), i.cast("string")))
                           ).otherwise(F.array(k))
     f = fact.withColumn("_jk", fact_key.otherwise(k))
-    d = dim.withColumn("_dk", F.explode(dim_keys)).drop(key)
+    d = dim.withColumn("_dk", F.explode(dim_keys) if hot else k).drop(key)
     j = f.join(d, (f["_jk"] == d["_dk"]) & f[key].isNotNull(), "left")
     return j.drop("_jk", "_dk")
