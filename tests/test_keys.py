@@ -54,3 +54,11 @@ def test_ranked_part_types_give_same_products(spark):
     assert same_rows(ranked, plain)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_many_partitions_use_offset_table(spark):
+    df = spark.range(30000).select(F.format_string("k%06d", (F.col("id") * 7919) % 30000).alias("k"))
+    got = dense_key(df, ["k"], "key", num_partitions=300)
+    r = got.agg(F.min("key"), F.max("key"), F.countDistinct("key")).first()
+    assert tuple(r) == (1, 30000, 30000)
+    assert got.where(F.col("k") == "k000123").first()["key"] == 124

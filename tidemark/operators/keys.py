@@ -23,6 +23,10 @@ from pyspark.sql import functions as F
 from tidemark.session import checkpoint_dir, shuffle_partitions
 
 
+# Up to this many partitions the offsets are a literal map, beyond it a table.
+MAP_MAX_PARTITIONS = 256
+
+
 def _order(cols):
     return [F.col(c).asc_nulls_last() for c in cols]
 
@@ -52,12 +56,20 @@ def dense_key_counted(df: DataFrame, order_cols: list[str], key: str,
     # At most one row per range partition.
     stats = sorted(ranged.groupBy("_pid")
                    .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")).collect())
-    base, offset = [], 0
+    shifts, offset = [], 0
     for pid, n_rows, first in stats:
-        base += [F.lit(pid), F.lit(offset + 1 - first)]
+        shifts.append((pid, offset + 1 - first))
         offset += n_rows
-    shift = F.element_at(F.create_map(*base), F.col("_pid")) if base else F.lit(0)
-    out = ranged.select((F.col("_pos") + shift).cast("bigint").alias(key), *[F.col(c) for c in df.columns])
+    cols = [F.col(c) for c in df.columns]
+    if len(shifts) <= MAP_MAX_PARTITIONS:
+        lits = [F.lit(x) for pair in shifts for x in pair]
+        shift = F.element_at(F.create_map(*lits), F.col("_pid")) if lits else F.lit(0)
+        out = ranged.select((F.col("_pos") + shift).cast("bigint").alias(key), *cols)
+    else:
+        # Many partitions: a table of one row per partition, broadcast.
+        table = spark.createDataFrame(shifts, "_pid int, _shift long")
+        out = (ranged.join(F.broadcast(table), "_pid")
+                     .select((F.col("_pos") + F.col("_shift")).cast("bigint").alias(key), *cols))
     return out, offset
 
 
