@@ -64,3 +64,13 @@ def test_read_envelopes_keeps_arrival_and_drops_empty_pages(spark, scratch):
         f.write("\n".join(json.dumps(p) for p in pages))
     rows = landing.read_envelopes(spark, f"{scratch}/l", "sessions").collect()
     assert [(r["session_id"], r["page"], r["pos"]) for r in rows] == [("s1", 1, 0), ("s2", 1, 1)]
+
+
+def test_list_resource_filters_then_pages(spark):
+    df = spark.range(100).select(F.format_string("p%03d", "id").alias("payment_id"),
+                                 F.when(F.col("id") % 2 == 0, "succeeded").otherwise("failed").alias("status"))
+    rows, totals = landing.list_resource(df, "payment_id", equals={"status": "failed"}, page=2, page_size=20)
+    got = [r["payment_id"] for r in rows.orderBy("pos").collect()]
+    assert got == [f"p{i:03d}" for i in range(41, 80, 2)]
+    t = totals.first()
+    assert (t["total"], t["total_pages"], t["next_page"], t["count"]) == (50, 3, 3, 20)

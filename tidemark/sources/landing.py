@@ -133,6 +133,13 @@ def page_totals(df: DataFrame, page: int = 1, page_size: int = PAGE_SIZE_DEFAULT
         total.cast("bigint").alias("total"))
 
 
+def list_resource(df: DataFrame, order_by: str, updated_since_ts=None, equals: dict | None = None,
+                  page: int = 1, page_size: int = PAGE_SIZE_DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """One list request: filters, then (rows of the page, envelope totals)."""
+    filtered = filter_resource(df, updated_since_ts, equals)
+    return page_slice(filtered, order_by, page, page_size), page_totals(filtered, page, page_size)
+
+
 # --- landing files -----------------------------------------------------------
 def write_landing(envelopes: DataFrame, path: str) -> None:
     """One JSON page per line (what the extract receives)."""
