@@ -83,8 +83,10 @@ def numbered(df: DataFrame, order_by: str, page_size: int) -> DataFrame:
 
 
 def numbered_counted(df: DataFrame, order_by: str, page_size: int) -> tuple[DataFrame, int]:
-    idx, total = dense_key_counted(df, [order_by], "_idx")
-    out = idx.select(*df.columns,
+    # Rank the key column only: the checkpoint in the shared folder stays
+    # narrow, and the rows meet their rank in a shuffle join on the key.
+    idx, total = dense_key_counted(df.select(order_by), [order_by], "_idx")
+    out = df.join(idx, order_by).select(*df.columns,
                      (F.floor((F.col("_idx") - 1) / page_size) + 1).cast("int").alias("page"),
                      ((F.col("_idx") - 1) % page_size).cast("int").alias("pos"))
     return out, total
