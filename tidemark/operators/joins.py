@@ -1,4 +1,11 @@
-"""Join helpers: broadcast only behind a row-count check; NULL keys split off."""
+"""Join helpers.
+
+* ``maybe_broadcast`` / ``left_join_dim``: broadcast a dimension only after
+  checking its row count (dimension rows are narrow: a key and a few
+  attributes); beyond the bound the join is a shuffle join.
+* ``left_join_skew_safe``: the shuffled form for a dimension that grows with
+  the data, with NULL keys spread and hot keys salted.
+"""
 
 from __future__ import annotations
 
