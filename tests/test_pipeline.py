@@ -70,6 +70,7 @@ def test_watermark_moved_after_publish(run1):
     mx = b.raw_payments.agg(F.max("updated_at")).first()[0]
     assert mark == mx + dt.timedelta(microseconds=1)
     assert report["land_payments"]["rows"] == b.raw_payments.count()
+    assert report["raw_payments"][1]["table_rows"] == b.raw_payments.count()
 
 
 def test_second_run_lands_nothing_and_changes_nothing(run1):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import STALE_DAYS
@@ -59,7 +59,10 @@ def upsert_raw(spark: SparkSession, root: str, entity: str, batch: DataFrame) ->
     target = current(spark, f"{root}/raw", entity, RAW[entity]) or empty(spark, RAW[entity])
     out = dml.upsert(target, batch, KEYS[entity], on_match=RAW_MODE[entity], order=BRONZE_ORDER,
                      revive="is_deleted" if entity == "customers" else None)
-    return publish(out, f"{root}/raw", entity, cluster_by=CLUSTER.get(entity)), {}
+    obs = Observation(f"raw_{entity}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("table_rows"))
+    path = publish(out, f"{root}/raw", entity, cluster_by=CLUSTER.get(entity))
+    return path, dict(obs.get)
 
 
 def raw_path(root: str, entity: str) -> str:
