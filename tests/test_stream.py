@@ -56,3 +56,15 @@ def test_in_place_stream_equals_versioned(spark, tmp_path):
     a = current(spark, f"{base}/v", "customers")
     b = read_bucketed(spark, f"{base}/p/customers")
     assert same_rows(b.select(*a.columns), a)
+
+
+def test_bounded_micro_batches_give_the_same_table(spark, tmp_path):
+    from tidemark.schemas import RAW_SESSIONS
+    base = str(tmp_path)
+    raw = Build(spark, SF_SMALL).raw_sessions
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for i, part in enumerate((raw.where(F.col("session_start") <= cut), raw.where(F.col("session_start") > cut))):
+        landing.write_landing(landing.paginate(part, "sessions", "session_id").coalesce(1), f"{base}/landing/run={i}")
+    ran = run_stream(spark, f"{base}/landing/*", "sessions", f"{base}/ck", f"{base}/t", max_files_per_trigger=1)
+    assert len(ran) == 2
+    assert same_rows(current(spark, f"{base}/t", "sessions", RAW_SESSIONS), raw)

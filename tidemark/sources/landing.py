@@ -148,9 +148,15 @@ def write_landing(envelopes: DataFrame, path: str) -> None:
     envelopes.write.mode("append").json(path)
 
 
-def read_envelopes(spark: SparkSession, path: str, entity: str, stream: bool = False) -> DataFrame:
-    """Landed pages -> one row per entity with (page, pos); empty pages drop out."""
+def read_envelopes(spark: SparkSession, path: str, entity: str, stream: bool = False,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed pages -> one row per entity with (page, pos); empty pages drop out.
+
+    As a stream, ``max_files_per_trigger`` bounds each micro-batch.
+    """
     reader = spark.readStream if stream else spark.read
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = reader.schema(envelope(entity)).json(path)
     return explode_pages(pages)
 

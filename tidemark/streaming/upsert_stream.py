@@ -22,18 +22,20 @@ ORDER = ["_batch", "page", "pos"]
 
 def run_stream(spark: SparkSession, landing_path: str, entity: str, checkpoint: str,
                table_root: str, on_match: str | None = None, in_place: bool = False,
-               buckets: int = 1024) -> list[int]:
+               buckets: int = 1024, max_files_per_trigger: int | None = None) -> list[int]:
     """Process everything landed so far, then stop (``availableNow``).
 
     ``in_place=False`` publishes a new version of the whole table per batch;
     ``in_place=True`` appends new keys (insert-only) or rewrites only the
     touched hash buckets (update) of ``<table_root>/<entity>``.
+    ``max_files_per_trigger`` bounds the landed files per micro-batch
+    (``availableNow`` then runs several batches).
     Returns the ids of the micro-batches that ran.
     """
     configure(spark)
     key = KEYS[entity]
     mode = on_match or ("nothing" if entity == "sessions" else "update")
-    rows = read_envelopes(spark, landing_path, entity, stream=True)
+    rows = read_envelopes(spark, landing_path, entity, stream=True, max_files_per_trigger=max_files_per_trigger)
     seen: list[int] = []
 
     def upsert_batch(batch: DataFrame, epoch: int) -> None:
