@@ -12,7 +12,8 @@ from tests.conftest import SF_SMALL
 from tests.test_oracle import _rows, duck  # noqa: F401  (fixture)
 
 FORCED = {"tidemark.stage.minBytes": "0", "tidemark.rankTypes.minBytes": "0", "tidemark.broadcast.maxRows": "100"}
-NAMES = ["raw_payments", "dim_product", "dim_date", "fact_payments", "fact_sessions",
+NAMES = ["raw_payments", "dim_product", "dim_date", "dim_country", "dim_device", "dim_campaign",
+         "fact_payments", "fact_sessions",
          "agg_payments_daily", "agg_sessions_daily", "agg_customer_summary", "upsert_customers"]
 
 

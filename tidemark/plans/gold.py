@@ -76,10 +76,23 @@ class Build:
     def stg_sessions(self) -> DataFrame:
         return staging.stg_sessions(self.raw_sessions)
 
+    # Members of the small dimensions: on large inputs one grouping-sets
+    # pass per table, materialised once (small) and read by every dimension;
+    # on small inputs each dimension's own distinct is cheaper than the extra
+    # jobs.
+    @cached_property
+    def _pay_members(self) -> DataFrame | None:
+        return dims.payment_members(self._stg_payments).checkpoint() if self.stage_payments else None
+
+    @cached_property
+    def _ses_members(self) -> DataFrame | None:
+        return dims.session_members(self._stg_sessions).checkpoint() if self.stage_payments else None
+
     # dimensions
     @cached_property
     def dim_country(self) -> DataFrame:
-        return dims.dim_country(self._stg_customers, self._stg_payments, self._stg_sessions)
+        return dims.dim_country(self._stg_customers, self._stg_payments, self._stg_sessions,
+                                self._pay_members, self._ses_members)
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -87,19 +100,19 @@ class Build:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self._stg_payments, self._stg_sessions)
+        return dims.dim_date(self._stg_payments, self._stg_sessions, self._pay_members, self._ses_members)
 
     @cached_property
     def dim_device(self) -> DataFrame:
-        return dims.dim_device(self._stg_sessions)
+        return dims.dim_device(self._stg_sessions, self._ses_members)
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dims.dim_product(self._stg_payments)
+        return dims.dim_product(self._stg_payments, self._pay_members)
 
     @cached_property
     def dim_campaign(self) -> DataFrame:
-        return dims.dim_campaign(self._stg_sessions)
+        return dims.dim_campaign(self._stg_sessions, self._ses_members)
 
     # facts
     @cached_property

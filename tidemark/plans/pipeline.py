@@ -165,13 +165,15 @@ def build_gold(spark: SparkSession, root: str, in_place: bool = False) -> dict[s
     stg_s = read_staging(spark, root, "stg_sessions", in_place)
     g = f"{root}/gold"
     out = {}
+    pm = dims.payment_members(stg_p).checkpoint()     # one pass per table for
+    sm = dims.session_members(stg_s).checkpoint()     # all small dimensions
     d = {
-        "dim_country": dims.dim_country(stg_c, stg_p, stg_s),
+        "dim_country": dims.dim_country(stg_c, stg_p, stg_s, pm, sm),
         "dim_customer": dims.dim_customer(stg_c),
-        "dim_date": dims.dim_date(stg_p, stg_s),
-        "dim_device": dims.dim_device(stg_s),
-        "dim_product": dims.dim_product(stg_p),
-        "dim_campaign": dims.dim_campaign(stg_s),
+        "dim_date": dims.dim_date(stg_p, stg_s, pm, sm),
+        "dim_device": dims.dim_device(stg_s, sm),
+        "dim_product": dims.dim_product(stg_p, pm),
+        "dim_campaign": dims.dim_campaign(stg_s, sm),
     }
     for name, df in d.items():
         out[name] = publish(df, g, name)
