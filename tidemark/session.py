@@ -38,6 +38,9 @@ def build_session(master: str | None = None, app: str = "tidemark",
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # keep local runs from creating a warehouse folder in the working directory
+        builder = builder.config("spark.sql.warehouse.dir", os.path.join(tempfile.gettempdir(), "tidemark-warehouse"))
     for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
