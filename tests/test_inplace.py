@@ -36,3 +36,16 @@ def test_append_new_keeps_existing_rows(spark, scratch):
     assert append_new(spark, path, batch, "id") == 1
     got = sorted((r["id"], r["v"]) for r in spark.read.parquet(path).collect())
     assert got == [("a", 1), ("b", 2)]
+
+
+def test_one_file_per_bucket(spark, scratch):
+    import glob
+    path = f"{scratch}/f"
+    rows = spark.range(5000).select(F.format_string("k%05d", "id").alias("id"), F.col("id").cast("int").alias("v"),
+                                    F.lit(D(2024, 1, 1)).cast("timestamp_ntz").alias("updated_at"),
+                                    F.lit(1).alias("page"), F.col("id").cast("int").alias("pos")).repartition(8)
+    upsert_buckets(spark, path, rows, "id", buckets=16)
+    upsert_buckets(spark, path, rows.limit(100), "id", buckets=16)
+    for folder in glob.glob(f"{path}/_bucket=*"):
+        assert len(glob.glob(f"{folder}/*.parquet")) == 1
+    assert read_bucketed(spark, path).count() == 5000

@@ -47,13 +47,22 @@ def append_new(spark: SparkSession, path: str, batch: DataFrame, key: str,
     return obs.get["rows"]
 
 
+def _by_bucket(df: DataFrame, key: str, files_per_bucket: int) -> DataFrame:
+    """One shuffle so each bucket folder gets ``files_per_bucket`` files
+    (instead of one file per task and bucket)."""
+    sub = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(files_per_bucket))
+    return df.repartition(F.col(BUCKET), sub)
+
+
 def upsert_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS,
                    order: list[str] | None = dml.ARRIVAL, revive: str | None = None,
-                   columns: list[str] | None = None) -> list[int]:
+                   columns: list[str] | None = None, files_per_bucket: int = 1) -> list[int]:
     """Update-or-insert rewriting only the touched hash buckets.
 
     The touched bucket ids (at most ``buckets`` values) are collected so the
-    target read is pruned to those partition folders.  Returns them.
+    target read is pruned to those partition folders.  Returns them.  Choose
+    ``buckets`` so one bucket is a few GB; a batch of scattered keys touches
+    most buckets, so this pays off when batches are small next to the table.
     """
     if order is not None:
         batch = dml.last_in_batch(batch, key, order)
@@ -63,15 +72,22 @@ def upsert_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str, b
     batch = batch.select(*cols).withColumn(BUCKET, bucket_of(key, buckets))
     writer_opts = {"partitionOverwriteMode": "dynamic"}
     if not path_exists(spark, path):
-        batch.write.partitionBy(BUCKET).parquet(path)
-        return sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
+        _by_bucket(batch, key, files_per_bucket).write.partitionBy(BUCKET).parquet(path)
+        return sorted(r[0] for r in spark.read.parquet(path).select(BUCKET).distinct().collect())
     touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
     target = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
     out = dml.upsert(target, batch, key, on_match="update", order=None)
-    (out.write.mode("overwrite").options(**writer_opts)
+    (_by_bucket(out, key, files_per_bucket).write.mode("overwrite").options(**writer_opts)
         .partitionBy(BUCKET).parquet(path))
     return touched
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS,
+                   files_per_bucket: int = 1) -> None:
+    """Replace the whole table, laid out in hash buckets of the key."""
+    out = df.withColumn(BUCKET, bucket_of(key, buckets))
+    _by_bucket(out, key, files_per_bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BUCKET)

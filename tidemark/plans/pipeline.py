@@ -149,8 +149,7 @@ def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: b
     if in_place:
         path = f"{root.rstrip('/')}/staging/{name}"
         if full_refresh and path_exists(spark, path):
-            new.withColumn(inplace.BUCKET, inplace.bucket_of(KEYS[entity], buckets)) \
-               .write.mode("overwrite").partitionBy(inplace.BUCKET).parquet(path)
+            inplace.write_bucketed(new, path, KEYS[entity], buckets)
         else:
             inplace.upsert_buckets(spark, path, new, KEYS[entity], buckets=buckets, order=None)
         return path
