@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import rules
 from tidemark.operators.publish import (current, ensure_layers, ensure_table, publish, qualified, register,
-                                        table_exists, versions)
+                                        retain, table_exists, versions)
 from tidemark.schemas import RAW_PAYMENTS
 
 
@@ -61,3 +61,13 @@ def test_list_amount_and_company_name(spark):
         rules.list_amount(F.lit(rules.PRICES["Pro"]), "seats").alias("a"),
         rules.company_name_from_id("id").alias("n")).first()
     assert str(r["a"]) == "297.00" and r["n"] == "Company 3f2a9c1d"
+
+
+def test_retain_keeps_the_last_versions(spark, scratch):
+    root = f"{scratch}/g"
+    for i in range(4):
+        publish(spark.range(i + 1), root, "t")
+    assert retain(spark, root, "t", keep=2) == [1, 2]
+    assert versions(spark, root, "t") == [3, 4]
+    assert current(spark, root, "t").count() == 4
+    assert retain(spark, root, "t", keep=2) == []

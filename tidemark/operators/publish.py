@@ -77,6 +77,22 @@ def current(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame
     return r.parquet(version_path(root, name, vs[-1]))
 
 
+def retain(spark: SparkSession, root: str, name: str, keep: int = 2) -> list[int]:
+    """Delete versions older than the last ``keep`` finished ones (crashed
+    attempts older than those too).  Returns the deleted version numbers."""
+    if keep < 1:
+        raise ValueError("keep at least the current version")
+    done = versions(spark, root, name)
+    if len(done) <= keep:
+        return []
+    oldest_kept = done[-keep]
+    doomed = [v for v in versions(spark, root, name, finished=False) if v < oldest_kept]
+    for v in doomed:
+        fs, p = _fs(spark, version_path(root, name, v))
+        fs.delete(p, True)
+    return doomed
+
+
 LAYERS = ["bronze", "raw", "staging", "gold", "meta"]
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import STALE_DAYS
 from tidemark.operators import dml, inplace
-from tidemark.operators.publish import current, path_exists, publish
+from tidemark.operators.publish import current, path_exists, publish, retain
 from tidemark.operators.watermark import default_mark, get_watermark, incremental, next_mark, set_watermark
 from tidemark.plans import dims, facts, marts, staging
 from tidemark.schemas import KEYS, RAW, TS_FIELD
@@ -189,11 +189,13 @@ def build_gold(spark: SparkSession, root: str, in_place: bool = False) -> dict[s
 
 
 def run(spark: SparkSession, root: str, landing: dict[str, str], as_of: dt.datetime,
-        full_refresh: bool = False, initial_mark: dt.datetime | None = None, in_place: bool = False) -> dict:
+        full_refresh: bool = False, initial_mark: dt.datetime | None = None, in_place: bool = False,
+        keep_versions: int | None = None) -> dict:
     """Landing -> bronze -> raw -> staging -> gold for all three entities.
 
     Only the run just landed is read back from bronze (its date folder).
     ``in_place=True`` keeps raw tables bucketed and rewrites only what changes.
+    ``keep_versions`` deletes versioned tables' older versions at the end.
     """
     report = {}
     for entity, path in landing.items():
@@ -206,4 +208,11 @@ def run(spark: SparkSession, root: str, landing: dict[str, str], as_of: dt.datet
             report["soft_delete_customers"] = soft_delete_raw(spark, root, as_of, in_place)
         report[f"stg_{entity}"] = refresh_staging(spark, root, entity, full_refresh, in_place)
     report["gold"] = build_gold(spark, root, in_place)
+    if keep_versions:
+        report["deleted_versions"] = {
+            f"{layer}.{name}": retain(spark, f"{root}/{layer}", name, keep_versions)
+            for layer, names in (("raw", [] if in_place else list(KEYS)),
+                                 ("staging", [] if in_place else [f"stg_{e}" for e in KEYS]),
+                                 ("gold", list(report["gold"])))
+            for name in names}
     return report
