@@ -132,3 +132,18 @@ def test_in_place_two_halves_equal_full_load(spark, tmp_path):
         pipeline.refresh_staging(spark, wh, "payments", in_place=True, buckets=32)
     got = pipeline.read_staging(spark, wh, "stg_payments", in_place=True)
     assert same_rows(got.select(*b.stg_payments.columns), b.stg_payments)
+
+
+def test_keep_versions_prunes_old_versions(run1, tmp_path):
+    spark, base, b, paths, _ = run1
+    wh = f"{tmp_path}/wh"
+    pipeline.run(spark, wh, paths, AS_OF, initial_mark=START)
+    report = pipeline.run(spark, wh, paths, AS_OF + dt.timedelta(days=1), initial_mark=START, keep_versions=1)
+    assert report["deleted_versions"]["gold.fact_payments"] == [1]
+    assert versions(spark, f"{wh}/gold", "agg_payments_daily", finished=False) == [2]
+    # nothing new landed the second time: raw and staging were not rewritten
+    assert report["land_payments"]["rows"] == 0
+    assert versions(spark, f"{wh}/raw", "payments", finished=False) == [1]
+    assert versions(spark, f"{wh}/staging", "stg_payments", finished=False) == [1]
+    assert same_rows(current(spark, f"{wh}/gold", "agg_payments_daily"),
+                     current(spark, f"{base}/wh/gold", "agg_payments_daily"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import STALE_DAYS
 from tidemark.operators import dml, inplace
-from tidemark.operators.publish import current, path_exists, publish, retain
+from tidemark.operators.publish import current, path_exists, publish, retain, version_path, versions
 from tidemark.operators.watermark import default_mark, get_watermark, incremental, next_mark, set_watermark
 from tidemark.plans import dims, facts, marts, staging
 from tidemark.schemas import KEYS, RAW, TS_FIELD
@@ -146,6 +146,10 @@ def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: b
     name = f"stg_{entity}"
     target = None if full_refresh else read_staging(spark, root, name, in_place)
     new = staging.STAGING[entity](incremental(raw, target, "updated_at"))
+    if target is not None and new.isEmpty():
+        # nothing newer than the staging max: keep the current table as it is
+        return f"{root.rstrip('/')}/staging/{name}" if in_place else \
+            version_path(f"{root}/staging", name, versions(spark, f"{root}/staging", name)[-1])
     if in_place:
         path = f"{root.rstrip('/')}/staging/{name}"
         if full_refresh and path_exists(spark, path):
