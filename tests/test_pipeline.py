@@ -147,3 +147,12 @@ def test_keep_versions_prunes_old_versions(run1, tmp_path):
     assert versions(spark, f"{wh}/staging", "stg_payments", finished=False) == [1]
     assert same_rows(current(spark, f"{wh}/gold", "agg_payments_daily"),
                      current(spark, f"{base}/wh/gold", "agg_payments_daily"))
+
+
+def test_parallel_entity_chains_equal_sequential(run1, tmp_path):
+    spark, base, b, paths, _ = run1
+    wh = f"{tmp_path}/wh"
+    pipeline.run(spark, wh, paths, AS_OF, initial_mark=START, parallel=True)
+    for layer, name in (("staging", "stg_customers"), ("staging", "stg_payments"), ("staging", "stg_sessions"),
+                        ("gold", "agg_payments_daily"), ("gold", "agg_sessions_daily"), ("gold", "dim_customer")):
+        assert same_rows(current(spark, f"{wh}/{layer}", name), current(spark, f"{base}/wh/{layer}", name)), name

@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--full-refresh", action="store_true")
     r.add_argument("--in-place", action="store_true", help="bucketed raw and staging, rewrite only what changes")
     r.add_argument("--keep-versions", type=int, help="delete versions older than the last N of each table")
+    r.add_argument("--parallel", action="store_true", help="run the three entity chains at once")
     g = sub.add_parser("gold", help="rebuild the gold layer from staging")
     g.add_argument("--root", required=True)
     g.add_argument("--in-place", action="store_true")
@@ -40,7 +41,8 @@ def main(argv: list[str] | None = None) -> int:
         report = pipeline.run(spark, args.root, landing, dt.datetime.fromisoformat(args.as_of),
                               full_refresh=args.full_refresh,
                               initial_mark=dt.datetime.fromisoformat(args.initial_mark) if args.initial_mark else None,
-                              in_place=args.in_place, keep_versions=args.keep_versions)
+                              in_place=args.in_place, keep_versions=args.keep_versions,
+                              parallel=args.parallel)
     else:
         report = pipeline.build_gold(spark, args.root, args.in_place)
     print(json.dumps(report, default=str))

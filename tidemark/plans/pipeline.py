@@ -192,25 +192,45 @@ def build_gold(spark: SparkSession, root: str, in_place: bool = False) -> dict[s
     return out
 
 
+def run_entity(spark: SparkSession, root: str, entity: str, landing_path: str, as_of: dt.datetime,
+               full_refresh: bool = False, initial_mark: dt.datetime | None = None,
+               in_place: bool = False) -> dict:
+    """One entity's chain: land -> raw (only the landed run) -> soft delete
+    (customers) -> staging."""
+    report: dict = {}
+    stats = land(spark, root, entity, landing_path, as_of, initial_mark)
+    report[f"land_{entity}"] = stats
+    if stats["rows"]:
+        report[f"raw_{entity}"] = bronze_to_raw(spark, root, entity, since_date=stats["ingestion_date"],
+                                                run=stats["run_id"], in_place=in_place)
+    if entity == "customers":
+        report["soft_delete_customers"] = soft_delete_raw(spark, root, as_of, in_place)
+    report[f"stg_{entity}"] = refresh_staging(spark, root, entity, full_refresh, in_place)
+    return report
+
+
 def run(spark: SparkSession, root: str, landing: dict[str, str], as_of: dt.datetime,
         full_refresh: bool = False, initial_mark: dt.datetime | None = None, in_place: bool = False,
-        keep_versions: int | None = None) -> dict:
+        keep_versions: int | None = None, parallel: bool = False) -> dict:
     """Landing -> bronze -> raw -> staging -> gold for all three entities.
 
     Only the run just landed is read back from bronze (its date folder).
     ``in_place=True`` keeps raw tables bucketed and rewrites only what changes.
+    ``parallel=True`` runs the three entity chains at once (independent Spark
+    jobs submitted from three driver threads), then gold.
     ``keep_versions`` deletes versioned tables' older versions at the end.
     """
-    report = {}
-    for entity, path in landing.items():
-        stats = land(spark, root, entity, path, as_of, initial_mark)
-        report[f"land_{entity}"] = stats
-        if stats["rows"]:
-            report[f"raw_{entity}"] = bronze_to_raw(spark, root, entity, since_date=stats["ingestion_date"],
-                                                    run=stats["run_id"], in_place=in_place)
-        if entity == "customers":
-            report["soft_delete_customers"] = soft_delete_raw(spark, root, as_of, in_place)
-        report[f"stg_{entity}"] = refresh_staging(spark, root, entity, full_refresh, in_place)
+    report: dict = {}
+    args = (as_of, full_refresh, initial_mark, in_place)
+    if parallel:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(landing)) as pool:
+            futures = [pool.submit(run_entity, spark, root, e, p, *args) for e, p in landing.items()]
+            for f in futures:
+                report.update(f.result())
+    else:
+        for entity, path in landing.items():
+            report.update(run_entity(spark, root, entity, path, *args))
     report["gold"] = build_gold(spark, root, in_place)
     if keep_versions:
         report["deleted_versions"] = {
