@@ -156,3 +156,21 @@ def test_parallel_entity_chains_equal_sequential(run1, tmp_path):
     for layer, name in (("staging", "stg_customers"), ("staging", "stg_payments"), ("staging", "stg_sessions"),
                         ("gold", "agg_payments_daily"), ("gold", "agg_sessions_daily"), ("gold", "dim_customer")):
         assert same_rows(current(spark, f"{wh}/{layer}", name), current(spark, f"{base}/wh/{layer}", name)), name
+
+
+def test_command_line_run_and_gold(run1, tmp_path, capsys):
+    import json
+
+    from tidemark.__main__ import main
+    spark, base, b, paths, _ = run1
+    wh = f"{tmp_path}/wh"
+    args = ["run", "--root", wh, "--as-of", AS_OF.isoformat(), "--initial-mark", START.isoformat()]
+    for e, p in paths.items():
+        args += ["--landing", f"{e}={p}"]
+    assert main(args) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["land_payments"]["rows"] == b.raw_payments.count()
+    assert main(["gold", "--root", wh]) == 0
+    assert versions(spark, f"{wh}/gold", "agg_payments_daily") == [1, 2]
+    assert same_rows(current(spark, f"{wh}/gold", "agg_payments_daily"),
+                     current(spark, f"{base}/wh/gold", "agg_payments_daily"))
