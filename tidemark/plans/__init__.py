@@ -1,0 +1 @@
+"""Plans: staging, dimensions, facts, aggregates, the build and the pipeline."""
