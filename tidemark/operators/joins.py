@@ -33,9 +33,15 @@ def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, limit) else df
 
 
-def left_join_dim(fact: DataFrame, dim: DataFrame, on, max_rows: int | None = None) -> DataFrame:
-    """Many fact rows to one dimension row; never multiplies the fact."""
-    return fact.join(maybe_broadcast(dim, max_rows), on, "left")
+def left_join_dim(fact: DataFrame, dim: DataFrame, on, max_rows: int | None = None,
+                  check: bool = True) -> DataFrame:
+    """Many fact rows to one dimension row; never multiplies the fact.
+
+    ``check=False`` trusts the dimension's own size: a broadcast hint set
+    where its row count was known (``plans.dims``), or the planner's
+    file-size statistics for a table read from files.
+    """
+    return fact.join(maybe_broadcast(dim, max_rows) if check else dim, on, "left")
 
 
 DEFAULT_HOT_SHARE = 0.01        # a key with at least 1 % of the sampled rows is hot

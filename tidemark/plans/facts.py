@@ -1,9 +1,10 @@
 """Fact tables: staging rows with the surrogate keys of their dimensions.
 
 Every join is a left join to a table unique on its key, so facts keep exactly
-the staging row count.  Small dimensions are broadcast after a row-count
-check; the customer dimension grows with the data and is joined by shuffle
-unless it passes the same check, with NULL customer ids split off first.
+the staging row count.  Small dimensions arrive with a broadcast hint set
+where their exact row count was known (``plans.dims``), or are sized by the
+planner from their files; the customer dimension grows with the data and is
+joined by the skew-safe shuffle join unless it passes the row check.
 """
 
 from __future__ import annotations
@@ -22,9 +23,12 @@ def fact_payments(stg_payments: DataFrame, dim_customer: DataFrame, dim_product:
                             day("created_at").alias("_day"))
     f = left_join_skew_safe(f, dim_customer.select("customer_id", "customer_key"), "customer_id",
                             spread_by=["payment_id"])
-    f = left_join_dim(f, dim_product.select(F.col("product_name").alias("product"), "product_key"), "product")
-    f = left_join_dim(f, dim_country.select(F.col("country_name").alias("country"), "country_key"), "country")
-    f = left_join_dim(f, dim_date.select(F.col("full_date").alias("_day"), F.col("date_key").alias("order_date_key")), "_day")
+    f = left_join_dim(f, dim_product.select(F.col("product_name").alias("product"), "product_key"), "product",
+                      check=False)
+    f = left_join_dim(f, dim_country.select(F.col("country_name").alias("country"), "country_key"), "country",
+                      check=False)
+    f = left_join_dim(f, dim_date.select(F.col("full_date").alias("_day"), F.col("date_key").alias("order_date_key")),
+                      "_day", check=False)
     return f.select("payment_id", "customer_key", "product_key", "country_key", "order_date_key",
                     net_revenue().alias("net_revenue"), "amount", "fee", "refunded_amount",
                     "payment_method", "status", "updated_at")
@@ -38,10 +42,13 @@ def fact_sessions(stg_sessions: DataFrame, dim_customer: DataFrame, dim_country:
     # Anonymous sessions (NULL customer) never match; they bypass the shuffle.
     s = left_join_skew_safe(s, dim_customer.select("customer_id", "customer_key"), "customer_id",
                             spread_by=["session_id"])
-    s = left_join_dim(s, dim_country.select(F.col("country_name").alias("country"), "country_key"), "country")
-    s = left_join_dim(s, dim_device.select(F.col("device_name").alias("device"), "device_key"), "device")
+    s = left_join_dim(s, dim_country.select(F.col("country_name").alias("country"), "country_key"), "country",
+                      check=False)
+    s = left_join_dim(s, dim_device.select(F.col("device_name").alias("device"), "device_key"), "device",
+                      check=False)
     # Plain equality on three columns: a NULL part never matches.
-    s = left_join_dim(s, dim_campaign, ["source", "medium", "campaign"])
-    s = left_join_dim(s, dim_date.select(F.col("full_date").alias("_day"), F.col("date_key").alias("session_date_key")), "_day")
+    s = left_join_dim(s, dim_campaign, ["source", "medium", "campaign"], check=False)
+    s = left_join_dim(s, dim_date.select(F.col("full_date").alias("_day"), F.col("date_key").alias("session_date_key")),
+                      "_day", check=False)
     return s.select("session_id", "customer_key", "country_key", "device_key", "campaign_key",
                     "session_date_key", "pageviews", "session_duration_s", "bounced", "converted", "updated_at")
