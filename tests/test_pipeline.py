@@ -174,3 +174,16 @@ def test_command_line_run_and_gold(run1, tmp_path, capsys):
     assert versions(spark, f"{wh}/gold", "agg_payments_daily") == [1, 2]
     assert same_rows(current(spark, f"{wh}/gold", "agg_payments_daily"),
                      current(spark, f"{base}/wh/gold", "agg_payments_daily"))
+
+
+def test_first_run_with_an_empty_extract(run1, tmp_path):
+    spark, base, b, paths, _ = run1
+    empty = f"{tmp_path}/landing/sessions"
+    import os
+    os.makedirs(empty)
+    open(f"{empty}/part-empty.json", "w").close()
+    wh = f"{tmp_path}/wh"
+    report = pipeline.run(spark, wh, {**paths, "sessions": empty}, AS_OF, initial_mark=START)
+    assert report["land_sessions"]["rows"] == 0
+    assert current(spark, f"{wh}/gold", "fact_sessions").count() == 0
+    assert current(spark, f"{wh}/gold", "fact_payments").count() == b.raw_payments.count()

@@ -135,8 +135,14 @@ def read_staging(spark: SparkSession, root: str, name: str, in_place: bool = Fal
     return inplace.read_bucketed(spark, path) if path_exists(spark, path) else None
 
 
+def read_staging_or_empty(spark: SparkSession, root: str, entity: str, in_place: bool = False) -> DataFrame:
+    """The staging table, or an empty one with its schema when nothing landed yet."""
+    df = read_staging(spark, root, f"stg_{entity}", in_place)
+    return df if df is not None else staging.STAGING[entity](empty(spark, RAW[entity]))
+
+
 def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: bool = False,
-                    in_place: bool = False, buckets: int = inplace.DEFAULT_BUCKETS) -> str:
+                    in_place: bool = False, buckets: int = inplace.DEFAULT_BUCKETS) -> str | None:
     """Incremental staging: rows newer than the staging max, merged on the key.
 
     Every non-key column is a merge column, so the merge is a keyed replace;
@@ -144,6 +150,8 @@ def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: b
     """
     raw = read_raw(spark, root, entity, in_place)
     name = f"stg_{entity}"
+    if raw is None:
+        return None   # nothing has landed for this entity yet
     target = None if full_refresh else read_staging(spark, root, name, in_place)
     new = staging.STAGING[entity](incremental(raw, target, "updated_at"))
     if target is not None and new.isEmpty():
@@ -163,9 +171,8 @@ def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: b
 
 def build_gold(spark: SparkSession, root: str, in_place: bool = False) -> dict[str, str]:
     """Rebuild dimensions, facts and aggregates together (keys stay consistent)."""
-    stg_c = read_staging(spark, root, "stg_customers", in_place)
-    stg_p = read_staging(spark, root, "stg_payments", in_place)
-    stg_s = read_staging(spark, root, "stg_sessions", in_place)
+    stg_c, stg_p, stg_s = (read_staging_or_empty(spark, root, e, in_place)
+                           for e in ("customers", "payments", "sessions"))
     g = f"{root}/gold"
     out = {}
     pm = dims.payment_members(stg_p).checkpoint()     # one pass per table for
