@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import PAGE_SIZE_DEFAULT, PAGE_SIZE_MAX, iso_to_ts, ts_to_iso
 from tidemark.operators.keys import dense_key_counted
+from tidemark.operators.publish import path_exists
 from tidemark.operators.watermark import mark_lit, updated_since
 from tidemark.schemas import ENTITY_JSON, RAW, bronze, conform, envelope
 
@@ -206,8 +207,12 @@ def write_bronze(landed: DataFrame, root: str, endpoint: str, ts_field: str = "u
 
 
 def read_bronze(spark: SparkSession, root: str, endpoint: str, since_date: dt.date | None = None) -> DataFrame:
-    """All landed runs of one endpoint; ``since_date`` prunes ingestion_date folders."""
-    df = spark.read.schema(bronze(endpoint)).parquet(f"{root.rstrip('/')}/{endpoint}")
+    """All landed runs of one endpoint; ``since_date`` prunes ingestion_date folders.
+    Nothing landed yet reads as an empty table."""
+    path = f"{root.rstrip('/')}/{endpoint}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], bronze(endpoint))
+    df = spark.read.schema(bronze(endpoint)).parquet(path)
     if since_date is not None:
         df = df.where(F.col("ingestion_date") >= F.lit(since_date.isoformat()).cast("date"))
     return df
