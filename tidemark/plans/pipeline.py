@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.rules import STALE_DAYS
 from tidemark.operators import dml, inplace
 from tidemark.operators.publish import current, path_exists, publish, retain, version_path, versions
-from tidemark.operators.watermark import default_mark, get_watermark, incremental, next_mark, set_watermark
+from tidemark.operators.watermark import default_mark, get_watermark, incremental, set_watermark
 from tidemark.plans import dims, facts, marts, staging
 from tidemark.schemas import KEYS, RAW, TS_FIELD
 from tidemark.session import configure
@@ -45,8 +45,9 @@ def land(spark: SparkSession, root: str, entity: str, landing_path: str, as_of:
     stats["run_id"] = run_id(as_of)
     stats["ingestion_date"] = as_of.date()
     if stats["rows"]:
-        new = spark.range(1).select(next_mark(F.lit(stats["max_ts"]).cast("timestamp_ntz"), mark).alias("m")).first()["m"]
-        set_watermark(spark, root, name, new)
+        # next_mark's rule on the max observed by the write: never below the
+        # old mark, plus one microsecond (the source filter is >=).
+        set_watermark(spark, root, name, max(stats["max_ts"], mark) + dt.timedelta(microseconds=1))
     return stats
 
 
