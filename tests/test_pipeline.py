@@ -187,3 +187,15 @@ def test_first_run_with_an_empty_extract(run1, tmp_path):
     assert report["land_sessions"]["rows"] == 0
     assert current(spark, f"{wh}/gold", "fact_sessions").count() == 0
     assert current(spark, f"{wh}/gold", "fact_payments").count() == b.raw_payments.count()
+
+
+def test_published_tables_keep_their_keys(run1):
+    from tidemark.operators.quality import is_key
+    spark, base, b, _, _ = run1
+    wh = f"{base}/wh"
+    for layer, name, key in (("raw", "customers", "customer_id"), ("raw", "payments", "payment_id"),
+                             ("raw", "sessions", "session_id"), ("staging", "stg_payments", "payment_id"),
+                             ("staging", "stg_sessions", "session_id"), ("gold", "fact_payments", "payment_id"),
+                             ("gold", "dim_customer", "customer_key")):
+        assert is_key(current(spark, f"{wh}/{layer}", name), key), (layer, name)
+    assert current(spark, f"{wh}/gold", "fact_sessions").count() == current(spark, f"{wh}/staging", "stg_sessions").count()
