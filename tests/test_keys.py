@@ -62,3 +62,15 @@ def test_many_partitions_use_offset_table(spark):
     r = got.agg(F.min("key"), F.max("key"), F.countDistinct("key")).first()
     assert tuple(r) == (1, 30000, 30000)
     assert got.where(F.col("k") == "k000123").first()["key"] == 124
+
+
+def test_default_range_count_follows_the_session(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(20000).select(F.col("id").alias("v"))
+        out = dense_key(df, ["v"], "key")
+        parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts > 1
+    assert out.agg(F.max("key")).first()[0] == 20000

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir, shuffle_partitions
+from tidemark.session import checkpoint_dir
 
 
 # Up to this many partitions the offsets are a literal map, beyond it a table.
@@ -47,9 +47,12 @@ def dense_key_counted(df: DataFrame, order_cols: list[str], key: str,
     """``dense_key`` and the number of rows (known from the partition counts)."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
-    ranged = (df.repartitionByRange(n, *_order(order_cols))
-                .sortWithinPartitions(*_order(order_cols))
+    # Without an explicit count, adaptive execution sizes the range shuffle:
+    # it merges neighbouring ranges only, so the global order is kept, and a
+    # small dimension does not run one task per configured partition.
+    by_range = (df.repartitionByRange(num_partitions, *_order(order_cols)) if num_partitions
+                else df.repartitionByRange(*_order(order_cols)))
+    ranged = (by_range.sortWithinPartitions(*_order(order_cols))
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
