@@ -71,3 +71,18 @@ def test_retain_keeps_the_last_versions(spark, scratch):
     assert versions(spark, root, "t") == [3, 4]
     assert current(spark, root, "t").count() == 4
     assert retain(spark, root, "t", keep=2) == []
+
+
+def test_retain_drops_old_crashed_attempts_only(spark, scratch):
+    import os
+    root = f"{scratch}/h"
+    publish(spark.range(1), root, "t")                       # v1
+    spark.range(2).write.parquet(f"{root}/t/v=000002")         # v2 crashed
+    os.remove(f"{root}/t/v=000002/_SUCCESS")
+    publish(spark.range(3), root, "t")                       # v3
+    publish(spark.range(4), root, "t")                       # v4
+    spark.range(5).write.parquet(f"{root}/t/v=000005")         # v5 crashed, newer: kept
+    os.remove(f"{root}/t/v=000005/_SUCCESS")
+    assert retain(spark, root, "t", keep=2) == [1, 2]
+    assert versions(spark, root, "t", finished=False) == [3, 4, 5]
+    assert current(spark, root, "t").count() == 4
