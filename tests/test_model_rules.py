@@ -6,7 +6,6 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tidemark.operators.keys import dense_key, dense_rank_key
 from tidemark.plans import dims, facts, marts, staging
