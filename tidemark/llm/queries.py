@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality_rules
+from tidemark.llm import bpe, quality_rules, secrets
 
 QUERIES = {
+    "op5_byte_bpe": bpe.query,
     "op7_quality_rules": quality_rules.query,
+    "op9_secret_scan": secrets.query,
 }
 ORACLE = {
     "op7_quality_rules": quality_rules.ORACLE,
