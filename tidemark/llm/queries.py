@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, quality_rules, secrets
+from tidemark.llm import bpe, decontaminate, licenses, nbsvm, quality_rules, secrets, shards, warc
 
 QUERIES = {
+    "op1_license_digest": licenses.query,
+    "op2_template_decontamination": decontaminate.query,
     "op5_byte_bpe": bpe.query,
+    "op6_hypergeometric_shards": shards.query,
     "op7_quality_rules": quality_rules.query,
+    "op8_warc": warc.query,
     "op9_secret_scan": secrets.query,
+    "op10_nb_svm": nbsvm.query,
 }
 ORACLE = {
+    "op1_license_digest": licenses.oracle(),
     "op7_quality_rules": quality_rules.ORACLE,
+    "op8_warc": warc.ORACLE,
 }
