@@ -34,6 +34,11 @@ def small_side(df: DataFrame, row_bytes: int, max_bytes: int = 8 << 20) -> DataF
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
 
 
+def drop_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id is not among ``ids`` (null ids stay); texts are shuffled only where the ids are proven too many to broadcast."""
+    return docs.join(small_side(ids.distinct(), 16, 64 << 20), "doc_id", "left_anti").select(*docs.columns)
+
+
 def utf8(text) -> bytes:
     """UTF-8 of a text; null is empty."""
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""

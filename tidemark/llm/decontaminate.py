@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read, row_cols, small_side, stage
+from tidemark.llm.common import drop_rows, read, row_cols, small_side, stage
 
 WINDOW, COVER = 5, 0.8
 #: Words of a window that must not be placeholders.
@@ -129,5 +129,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
-    found = findings(docs, read(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(small_side(found, 16), "doc_id", "left_anti")
+    return drop_rows(docs, findings(docs, read(spark, sf_dir, "benchmark")).select("doc_id"))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, doc_words, mix64, read, row_cols, seeds, small_side, stage
+from tidemark.llm.common import chunks, doc_words, drop_rows, mix64, read, row_cols, seeds, small_side, stage
 
 #: What counts as a symbol, and white space.
 SYMBOLS = "#*$%&|<>"
@@ -146,8 +146,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules refuse go."""
-    keep = quality_rules(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    return drop_rows(docs, quality_rules(docs).filter("NOT kept").select("doc_id"))
 
 
 ORACLE = r"""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, licenses, nbsvm, quality_rules, secrets, shards, warc
+from tidemark.llm import bpe, decontaminate, licenses, minhash, nbsvm, quality_rules, secrets, shards, warc
 
 QUERIES = {
     "op1_license_digest": licenses.query,
     "op2_template_decontamination": decontaminate.query,
+    "op4_tensored_minhash": minhash.query,
     "op5_byte_bpe": bpe.query,
     "op6_hypergeometric_shards": shards.query,
     "op7_quality_rules": quality_rules.query,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_license_digest": licenses.oracle(),
+    "op4_tensored_minhash": minhash.ORACLE,
     "op7_quality_rules": quality_rules.ORACLE,
     "op8_warc": warc.ORACLE,
 }
