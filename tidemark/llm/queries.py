@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontaminate, licenses, minhash, nbsvm, quality_rules, secrets, shards, warc
+import corpus_pipeline
+from tidemark.llm import bpe, decontaminate, licenses, minhash, nbsvm, pitman_yor, quality_rules, secrets, shards, warc
 
 QUERIES = {
     "op1_license_digest": licenses.query,
     "op2_template_decontamination": decontaminate.query,
+    "op3_pitman_yor_scores": pitman_yor.query,
     "op4_tensored_minhash": minhash.query,
     "op5_byte_bpe": bpe.query,
     "op6_hypergeometric_shards": shards.query,
@@ -14,6 +16,7 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_secret_scan": secrets.query,
     "op10_nb_svm": nbsvm.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op1_license_digest": licenses.oracle(),
