@@ -28,6 +28,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tidemark.llm.common import chunks, read, row_cols, utf8
 
@@ -306,5 +307,5 @@ def stage_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
                 ids=[x.astype(np.int32) for x in ids], n_tokens=[len(x) for x in ids],
                 ids_sha256=[hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids])
 
-    out = schema.add("ids", "array<int>").add("n_tokens", "long").add("ids_sha256", "string")
+    out = schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", T.LongType()).add("ids_sha256", T.StringType())
     return row_cols(docs, "doc_id", "text", "lang", "source").mapInPandas(run, out)
