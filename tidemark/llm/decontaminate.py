@@ -8,8 +8,8 @@ benchmark; matched windows of a document and an item are aligned, their slots
 must map one to one (the same name or number again wherever the item repeats
 it), and an item is found where consistent windows cover at least 0.8 of its words.
 
-Only documents that hold the rarest-looking (longest) word of some benchmark window reach
-the window step; any match must hold such a word, so nothing is lost.  All row work is
+Only documents that hold the longest three literal words in a row of some benchmark window
+reach the window step; any match must hold such words, so nothing is lost.  All row work is
 DataFrame functions.  The benchmark's windows are broadcast only when counted to fit.
 
 Defined cases: null or empty texts match nothing; items of fewer than five words
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import drop_rows, read, row_cols, small_side, stage
 
 WINDOW, COVER = 5, 0.8
+PAIRS = "array<struct<kind:string,item:string,doc:string>>"
 #: Words of a window that must not be placeholders.
 LITERALS = 2
 #: Alignments may drift by fewer words than this (an inserted or dropped word).
@@ -33,7 +34,8 @@ DRIFT = 8
 MARK = "\x01"
 NUM, NAME, UNIT = "#", "@", "%"
 WORD = r"[\p{L}][\p{L}\p{M}]*(?:['’][\p{L}]+)*"
-TOKEN = MARK + "?" + WORD + r"|[\p{N}]+(?:[.,][\p{N}]+)*"
+NUMBER = r"[\p{N}]+(?:[.,][\p{N}]+)*"
+TOKEN = f"{MARK}?{WORD}|{NUMBER}"
 #: Words that are a unit where they follow a number.
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard", "yards", "mile", "miles", "meter", "meters", "metre", "metres",
          "kilometer", "kilometers", "mg", "g", "kg", "gram", "grams", "kilogram", "kilograms", "pound", "pounds", "lb", "lbs", "ounce", "ounces", "oz",
@@ -42,14 +44,10 @@ UNITS = ["mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard",
          "degree", "degrees", "mph", "kmh", "w", "kw", "v", "hz", "j", "kj", "n", "pa"]
 
 
-def tokens(text: Column) -> Column:
-    """Words and numbers in order; a name carries a mark in front."""
-    t = F.translate(F.coalesce(text, F.lit("")), MARK, "")
-    return F.regexp_extract_all(F.regexp_replace(t, r"([\p{Ll},;] )([\p{Lu}])", f"$1{MARK}$2"), F.lit(f"({TOKEN})"), F.lit(1))
-
-
-def bare(token: Column) -> Column:
-    return F.lower(F.translate(token, MARK, ""))
+def tokens(df: DataFrame) -> DataFrame:
+    """Adds ``bare`` (words and numbers of ``text`` in lower case) to rows that have at least a window of them."""
+    found = F.regexp_extract_all(F.lower(F.translate("text", MARK, "")), F.lit(f"({WORD}|{NUMBER})"), F.lit(1))
+    return df.withColumn("bare", found).filter(F.size("bare") >= WINDOW)
 
 
 def is_number(token: Column) -> Column:
@@ -57,29 +55,77 @@ def is_number(token: Column) -> Column:
 
 
 def forms(df: DataFrame) -> DataFrame:
-    """Adds ``bare`` (words in lower case), ``plain`` (numbers typed) and ``typed`` (names and units too) to ``tokens``."""
-    df = df.withColumn("bare", F.transform("tokens", bare)).withColumn("plain", F.transform("bare", lambda w: F.when(is_number(w), NUM).otherwise(w)))
-    after_number = lambda w, i: (i > 0) & is_number(F.element_at("bare", F.greatest(i, F.lit(1)))) & F.col("bare")[i].isin(UNITS)
-    return df.withColumn("typed", F.transform("tokens", lambda w, i: F.when(is_number(w), NUM).when(after_number(w, i), UNIT)
-                                              .when(w.startswith(MARK), NAME).otherwise(bare(w))))
+    """Adds ``plain`` (numbers typed) and ``typed`` (names and units too) to ``tokens``."""
+    marked = F.regexp_replace(F.translate("text", MARK, ""), r"([\p{Ll},;] )([\p{Lu}])", f"$1{MARK}$2")
+    df = df.withColumn("marked", F.regexp_extract_all(marked, F.lit(f"({TOKEN})"), F.lit(1)))
+    df = df.withColumn("plain", F.transform("bare", lambda w: F.when(is_number(w), NUM).otherwise(w)))
+    unit = lambda w, i: (i > 0) & (F.element_at("plain", F.greatest(i, F.lit(1))) == NUM) & w.isin(UNITS)
+    # lower case may change the number of words in rare scripts; then no names are told apart
+    name = lambda i: (F.size("marked") == F.size("bare")) & F.get("marked", i).startswith(MARK)
+    return df.withColumn("typed", F.transform("plain", lambda w, i: F.when(unit(w, i), UNIT).when(name(i), NAME).otherwise(w))).drop("marked")
+
+
+def tail(a: str, k: int) -> Column:
+    return F.slice(a, k + 1, F.greatest(F.size(a) - k, F.lit(0)))
+
+
+def head(a: str, k: int) -> Column:
+    return F.slice(a, 1, F.greatest(F.size(a) - k, F.lit(0)))
+
+
+def hashed(df: DataFrame, words: str, n: int, name: str) -> DataFrame:
+    """Adds the hashes of the ``n``-word windows (2, 3 or 5) of an array, in order."""
+    pair = lambda x, y: F.xxhash64(x, y)
+    df = df.withColumn("h2", F.zip_with(head(words, 1), tail(words, 1), pair))
+    if n == 2:
+        return df.withColumnRenamed("h2", name)
+    if n == 3:
+        return df.withColumn(name, F.zip_with(head("h2", 1), tail(words, 2), pair)).drop("h2")
+    return df.withColumn("h4", F.zip_with(head("h2", 2), tail("h2", 2), pair)).withColumn(name, F.zip_with(head("h4", 1), tail(words, 4), pair)).drop("h2", "h4")
+
+
+def windows(df: DataFrame) -> DataFrame:
+    """Adds the window hashes of both forms: ``plain5`` and ``typed5``."""
+    return hashed(hashed(forms(df), "plain", WINDOW, "plain5"), "typed", WINDOW, "typed5")
+
+
+def literal(word: Column) -> Column:
+    return ~word.isin(NUM, NAME, UNIT)
+
+
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """(item_id, item_n, form, hash, at, ours, template) of the items' windows with enough literal words."""
+    df = windows(tokens(row_cols(benchmark, "item_id", "text").filter(F.col("item_id").isNotNull())))
+    one = lambda form, k: F.transform(f"{form}5", lambda h, i: F.struct(
+        F.lit(k).alias("form"), h.alias("hash"), i.alias("at"), F.slice("bare", i + 1, WINDOW).alias("ours"), F.slice(form, i + 1, WINDOW).alias("template")))
+    rows = df.select("item_id", F.size("bare").alias("item_n"), F.explode(F.concat(one("plain", 0), one("typed", 1))).alias("w")).select("item_id", "item_n", "w.*")
+    return rows.filter(F.size(F.filter("template", literal)) >= LITERALS)
 
 
-def windows(df: DataFrame, key: str) -> DataFrame:
-    """(key, n words, form, pos, hash, words, template) of every five-word window with enough literal words."""
-    is_slot = lambda w: w.isin(NUM, NAME, UNIT)
-    one = lambda name, k: F.transform(
-        F.sequence(F.lit(0), F.size("tokens") - WINDOW),
-        lambda i: F.struct(F.lit(k).alias("form"), i.alias("pos"), F.slice("bare", i + 1, WINDOW).alias("words"), F.slice(name, i + 1, WINDOW).alias("template")))
-    rows = (forms(df.filter(F.size("tokens") >= WINDOW))
-            .select(key, F.size("tokens").alias("n"), F.explode(F.concat(one("plain", 0), one("typed", 1))).alias("w")).select(key, "n", "w.*"))
-    return (rows.filter(F.size(F.filter("template", lambda w: ~is_slot(w))) >= LITERALS)
-            .withColumn("hash", F.xxhash64("form", F.array_join("template", " "))))
+def anchors(items: DataFrame) -> DataFrame:
+    """(n, h): what a document must hold to share a window: of every window its longest run of
+    three literal words, else of two, else its longest literal word."""
+    rows = items.select("template").distinct()
+    for n in (1, 2, 3):
+        runs = F.transform(F.sequence(F.lit(1), F.lit(WINDOW + 1 - n)), lambda i: F.slice("template", i, n))  # noqa: B023
+        runs = F.filter(runs, lambda r: F.forall(r, literal))
+        longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(F.array_join(r, "")).alias("n"), r.alias("r"))))["r"]
+        rows = rows.withColumn(f"r{n}", longest)
+    r = F.coalesce("r3", "r2", "r1")
+    h = F.when(F.size(r) == 1, F.xxhash64(r[0])).when(F.size(r) == 2, F.xxhash64(r[0], r[1])).otherwise(F.xxhash64(F.xxhash64(r[0], r[1]), F.get(r, F.lit(2))))
+    return rows.select(F.size(r).alias("n"), h.alias("h")).distinct()
 
 
-def anchor(template: Column, slots: list[str]) -> Column:
-    """The longest literal word of a window, the first in order of those."""
-    literal = F.filter(template, lambda w: ~w.isin(slots))
-    return F.array_max(F.transform(literal, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Ids of the documents that hold an anchor."""
+    need = stage(anchors(items), "anchors")
+    said, found = tokens(docs), None
+    for n in sorted(r["n"] for r in need.select("n").distinct().collect()):  # at most three numbers
+        grams = said.select("doc_id", F.transform("bare", lambda w: F.xxhash64(w)).alias("g")) if n == 1 else hashed(said, "bare", n, "g")
+        hit = (grams.select("doc_id", F.explode(F.array_distinct("g")).alias("h"))
+               .join(small_side(need.filter(F.col("n") == n).select("h"), 16), "h", "left_semi").select("doc_id"))
+        found = hit if found is None else found.union(hit)
+    return stage(found.distinct() if found is not None else docs.select("doc_id").limit(0), "near")
 
 
 def slot_pairs(template: Column, ours: Column, theirs: Column) -> Column:
@@ -91,22 +137,23 @@ def slot_pairs(template: Column, ours: Column, theirs: Column) -> Column:
 
 def findings(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """(doc_id, item_id, covered share) of every item found in a document."""
-    items = stage(windows(row_cols(benchmark, "item_id", "text").filter(F.col("item_id").isNotNull())
-                          .withColumn("tokens", tokens(F.col("text"))), "item_id"), "items")
-    anchors = small_side(items.select(F.xxhash64(anchor(F.col("template"), [NUM, NAME, UNIT])).alias("h")).distinct(), 16)
-    docs = row_cols(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull())
-    said = docs.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))).alias("w"), "doc_id")
-    said = said.select("doc_id", F.xxhash64(F.lower("w")).alias("h"))
-    near = stage(said.join(anchors, "h", "left_semi").select("doc_id").distinct(), "near")
-    near = F.broadcast(near) if near.count() * 16 <= 8 << 20 else near
-    there = windows(docs.join(near, "doc_id", "left_semi").withColumn("tokens", tokens(F.col("text"))), "doc_id")
-    ours = items.select("item_id", F.col("n").alias("item_n"), F.col("pos").alias("at"), F.col("words").alias("ours"), "hash")
-    ours = F.broadcast(ours) if items.count() * 400 <= 16 << 20 else ours
-    met = there.drop("n").join(ours, "hash")
+    items = stage(item_windows(benchmark), "items")
+    docs = row_cols(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull()).withColumn("row", F.xxhash64("text"))  # ids may repeat
+    near = candidates(docs, items)
+    docs = docs.join(F.broadcast(near) if near.count() * 16 <= 8 << 20 else near, "doc_id", "left_semi")
+    one = lambda form, k: F.transform(f"{form}5", lambda h, i: F.struct(F.lit(k).alias("form"), h.alias("hash"), i.alias("pos")))
+    there = windows(tokens(docs)).select("doc_id", "row", F.explode(F.concat(one("plain", 0), one("typed", 1))).alias("w")).select("doc_id", "row", "w.*")
+    size = items.agg(F.sum(200 + 4 * F.length(F.array_join("ours", " "))).alias("n")).first()["n"] or 0
+    met = stage(there.join(F.broadcast(items) if size <= 16 << 20 else items, ["form", "hash"]).drop("hash"), "met")
+    # the document's words are looked up again where a window has slots
+    slots = F.exists("template", lambda w: ~literal(w))
+    free = met.filter(~slots).withColumn("pairs", F.array().cast(PAIRS))
+    bound = met.filter(slots)
+    said = tokens(docs.join(small_side(bound.select("doc_id").distinct(), 16), "doc_id", "left_semi")).select("doc_id", "row", "bare").dropDuplicates(["doc_id", "row"])
+    bound = bound.join(said, ["doc_id", "row"]).withColumn("pairs", slot_pairs(F.col("template"), F.col("ours"), F.slice("bare", F.col("pos") + 1, WINDOW))).drop("bare")
     shift = F.col("pos") - F.col("at")
     groups = F.array(*[F.struct(F.lit(k).alias("k"), F.floor((shift + k * DRIFT // 2) / DRIFT).alias("d")) for k in (0, 1)])
-    met = met.withColumn("near", F.explode(groups)).withColumn("pairs", slot_pairs(F.col("template"), F.col("ours"), F.col("words")))
-    lined = met.groupBy("doc_id", "item_id", "form", "near").agg(
+    lined = free.unionByName(bound).withColumn("near", F.explode(groups)).groupBy("doc_id", "row", "item_id", "form", "near").agg(
         F.first("item_n").alias("item_n"), F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     side = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["kind"], x[name]))))
     covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + WINDOW - 1)))))
