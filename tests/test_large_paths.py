@@ -1,8 +1,7 @@
 """The paths taken on large inputs give the oracle's answers too.
 
-Byte and row thresholds are lowered so the small input takes them: payments
-staging written once, part types ranked, no broadcast of the customer, date
-or campaign dimensions (skew-safe shuffled joins).
+The broadcast bound and the rows a task should get are lowered so that the small
+input takes the shuffled, salted joins.
 """
 
 import pytest
@@ -11,7 +10,7 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.test_oracle import _rows, duck  # noqa: F401  (fixture)
 
-FORCED = {"tidemark.stage.minBytes": "0", "tidemark.rankTypes.minBytes": "0", "tidemark.broadcast.maxRows": "100"}
+FORCED = {"tidemark.broadcast.maxBytes": "0", "tidemark.join.rowsPerTask": "50", "tidemark.hotKeys.sampleFraction": "1.0"}
 NAMES = ["raw_payments", "dim_product", "dim_date", "dim_country", "dim_device", "dim_campaign",
          "fact_payments", "fact_sessions",
          "agg_payments_daily", "agg_sessions_daily", "agg_customer_summary", "upsert_customers"]

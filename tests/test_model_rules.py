@@ -7,7 +7,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tidemark.operators.keys import dense_key, dense_rank_key
+from tests.reference_forms import dense_rank_key
+from tidemark.operators.keys import dense_key
 from tidemark.plans import dims, facts, marts, staging
 from tidemark.schemas import RAW_CUSTOMERS, RAW_PAYMENTS, RAW_SESSIONS
 

@@ -12,7 +12,6 @@ from tidemark.schemas import MONEY, TS
 PRODUCTS = ["Basic", "Pro", "Enterprise", "Addon-Analytics", "Addon-Support"]
 PRICES = {"Basic": 29, "Pro": 99, "Enterprise": 499, "Addon-Analytics": 49, "Addon-Support": 99}
 EUR_COUNTRIES = ["DE", "FR", "NL", "PT", "IT", "ES"]
-COMPANY_SIZES = ["1-10", "11-50", "51-200", "201-500", "500+"]
 BLANK_CAMPAIGN_MEDIUMS = ["organic", "none", "referral"]
 CAMPAIGN_NAME = "product_launch"
 FEE_RATE = "0.029"

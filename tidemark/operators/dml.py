@@ -11,7 +11,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import maybe_broadcast
 from tidemark.schemas import TS
 
 ARRIVAL = ["page", "pos"]
@@ -58,8 +57,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, on_match: str = "updat
 
     Update is one full outer join on the key: the batch and the target are
     each computed once.  Insert-only anti-joins the batch with the target's
-    keys (a key-only scan; broadcast only after a row-count check) and
-    appends.  For a large target and a small batch use ``inplace``.
+    keys (a key-only scan) and appends.  For a large target and a small batch use ``inplace``.
     """
     cols = target.columns
     if order is not None:
@@ -70,8 +68,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: str, on_match: str = "updat
     if on_match == "update":
         return _replace_by_key(target, batch, key, [c for c in cols if c != key])
     if on_match == "nothing":
-        keys = maybe_broadcast(target.select(key))
-        new = batch.join(keys, key, "left_anti")
+        new = batch.join(target.select(key), key, "left_anti")
         return target.unionByName(new)
     raise ValueError(f"on_match must be 'update' or 'nothing', not {on_match!r}")
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import dml
 from tidemark.operators.publish import path_exists
 
-BUCKET = "_bucket"
+BUCKET = "_bucket_of_"   # the folder column is named with the number of buckets
 DEFAULT_BUCKETS = 1024
 
 
@@ -28,6 +28,13 @@ def bucket_of(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+def bucket_column(spark: SparkSession, path: str) -> str | None:
+    """The stored table's folder column; its name ends with the number of buckets."""
+    if not path_exists(spark, path):
+        return None
+    return next((c for c in spark.read.parquet(path).columns if c.startswith(BUCKET)), None)
+
+
 def append_new(spark: SparkSession, path: str, batch: DataFrame, key: str,
                order: list[str] | None = dml.ARRIVAL, columns: list[str] | None = None) -> int:
     """Insert-only: append first arrivals whose key is not in the table yet.
@@ -47,11 +54,11 @@ def append_new(spark: SparkSession, path: str, batch: DataFrame, key: str,
     return obs.get["rows"]
 
 
-def _by_bucket(df: DataFrame, key: str, files_per_bucket: int) -> DataFrame:
+def _by_bucket(df: DataFrame, key: str, column: str, files_per_bucket: int) -> DataFrame:
     """One shuffle so each bucket folder gets ``files_per_bucket`` files
     (instead of one file per task and bucket)."""
     sub = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(files_per_bucket))
-    return df.repartition(F.col(BUCKET), sub)
+    return df.repartition(F.col(column), sub)
 
 
 def upsert_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS,
@@ -69,25 +76,30 @@ def upsert_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str, b
     if revive:
         batch = batch.withColumn(revive, F.lit(False))
     cols = columns or [c for c in batch.columns if c not in (order or [])]
-    batch = batch.select(*cols).withColumn(BUCKET, bucket_of(key, buckets))
+    column, stored = f"{BUCKET}{buckets}", bucket_column(spark, path)
+    if stored is not None and stored != column:
+        raise ValueError(f"{path} has {stored.removeprefix(BUCKET)} buckets, not {buckets}")
+    batch = batch.select(*cols).withColumn(column, bucket_of(key, buckets))
     writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if not path_exists(spark, path):
-        _by_bucket(batch, key, files_per_bucket).write.partitionBy(BUCKET).parquet(path)
-        return sorted(r[0] for r in spark.read.parquet(path).select(BUCKET).distinct().collect())
-    touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
-    target = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
+    if stored is None:
+        _by_bucket(batch, key, column, files_per_bucket).write.partitionBy(column).parquet(path)
+        return sorted(r[0] for r in spark.read.parquet(path).select(column).distinct().collect())
+    touched = sorted(r[0] for r in batch.select(column).distinct().collect())
+    target = spark.read.parquet(path).where(F.col(column).isin(touched))
     out = dml.upsert(target, batch, key, on_match="update", order=None)
-    (_by_bucket(out, key, files_per_bucket).write.mode("overwrite").options(**writer_opts)
-        .partitionBy(BUCKET).parquet(path))
+    (_by_bucket(out, key, column, files_per_bucket).write.mode("overwrite").options(**writer_opts)
+        .partitionBy(column).parquet(path))
     return touched
 
 
 def write_bucketed(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS,
                    files_per_bucket: int = 1) -> None:
     """Replace the whole table, laid out in hash buckets of the key."""
-    out = df.withColumn(BUCKET, bucket_of(key, buckets))
-    _by_bucket(out, key, files_per_bucket).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+    column = f"{BUCKET}{buckets}"
+    out = df.withColumn(column, bucket_of(key, buckets))
+    _by_bucket(out, key, column, files_per_bucket).write.mode("overwrite").partitionBy(column).parquet(path)
 
 
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+    df = spark.read.parquet(path)
+    return df.drop(*[c for c in df.columns if c.startswith(BUCKET)])

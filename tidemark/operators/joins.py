@@ -1,10 +1,9 @@
 """Join helpers.
 
-* ``maybe_broadcast`` / ``left_join_dim``: broadcast a dimension only after
-  checking its row count (dimension rows are narrow: a key and a few
-  attributes); beyond the bound the join is a shuffle join.
+* ``fits`` / ``maybe_broadcast``: a side is broadcast only when its rows and
+  bytes were counted; beyond the bound the join is a shuffle join.
 * ``left_join_skew_safe``: the shuffled form for a dimension that grows with
-  the data, with NULL keys spread and hot keys salted.
+  the data, with NULL keys spread and hot keys salted by their size.
 """
 
 from __future__ import annotations
@@ -12,96 +11,83 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows (checked).
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# A side is broadcast only when it holds at most this many bytes (counted).
+DEFAULT_BROADCAST_MAX_BYTES = 32 << 20
+# Fact rows of one key that a task may get before the key is salted.
+DEFAULT_ROWS_PER_TASK = 2_000_000
 
 
-def broadcast_max_rows(spark) -> int:
-    return int(spark.conf.get("tidemark.broadcast.maxRows", str(DEFAULT_BROADCAST_MAX_ROWS)))
+def broadcast_max_bytes(spark) -> int:
+    return int(spark.conf.get("tidemark.broadcast.maxBytes", str(DEFAULT_BROADCAST_MAX_BYTES)))
 
 
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most n + 1 rows."""
-    return df.limit(n + 1).count() <= n
+def row_bytes(df: DataFrame):
+    """Size of a row as a column: text by its length, other values as eight bytes, a little for the row."""
+    text = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c, t in df.dtypes if t == "string"]
+    return sum(text, F.lit(16 + 8 * len(df.columns))).cast("long")
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only for a side whose row count was checked; beyond the
-    bound the join stays a shuffle join (AQE may still switch it at run time
-    from measured sizes, and splits skewed partitions)."""
-    limit = broadcast_max_rows(df.sparkSession) if max_rows is None else max_rows
-    return F.broadcast(df) if has_at_most(df, limit) else df
+def fits(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when all rows together hold at most ``max_bytes``: one distributed sum, one row per task."""
+    limit = broadcast_max_bytes(df.sparkSession) if max_bytes is None else max_bytes
+    return (df.agg(F.sum(row_bytes(df)).alias("b")).first()["b"] or 0) <= limit
 
 
-def left_join_dim(fact: DataFrame, dim: DataFrame, on, max_rows: int | None = None,
+def maybe_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only for a side whose size was counted; beyond the bound
+    the join stays a shuffle join (AQE may still switch it at run time from
+    measured sizes, and splits skewed partitions)."""
+    return F.broadcast(df) if fits(df, max_bytes) else df
+
+
+def left_join_dim(fact: DataFrame, dim: DataFrame, on, max_bytes: int | None = None,
                   check: bool = True) -> DataFrame:
     """Many fact rows to one dimension row; never multiplies the fact.
 
     ``check=False`` trusts the dimension's own size: a broadcast hint set
-    where its row count was known (``plans.dims``), or the planner's
-    file-size statistics for a table read from files.
+    where its size was counted (``plans.dims``), or the planner's file-size
+    statistics for a table read from files.
     """
-    return fact.join(maybe_broadcast(dim, max_rows) if check else dim, on, "left")
-
-
-DEFAULT_HOT_SHARE = 0.01        # a key with at least 1 % of the sampled rows is hot
-DEFAULT_SALTS = 32
-DEFAULT_SAMPLE_FRACTION = 0.01
+    return fact.join(maybe_broadcast(dim, max_bytes) if check else dim, on, "left")
 
 
-def hot_keys(df: DataFrame, key: str, share: float = DEFAULT_HOT_SHARE,
-             fraction: float | None = None, seed: int = 17, min_hits: int = 30) -> list:
-    """Keys holding at least ``share`` of the (non-NULL) rows, from a sample.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = DEFAULT_ROWS_PER_TASK,
+             fraction: float | None = None, seed: int = 17) -> DataFrame:
+    """(key, salts) of the keys estimated from a sample to hold more than
+    ``rows_per_task`` rows: one salt for every ``rows_per_task`` of them.
 
-    One pass over the key column: ``rollup`` yields the per-key counts and the
-    sample total together.  At most 1/share keys can pass, so what reaches the
-    driver is bounded whatever the data size.  A key also needs ``min_hits``
-    sampled rows, so small samples do not flag noise.
+    At most (rows / rows_per_task) keys; the result stays a table.
     """
     if fraction is None:
-        fraction = float(df.sparkSession.conf.get("tidemark.hotKeys.sampleFraction", str(DEFAULT_SAMPLE_FRACTION)))
+        fraction = float(df.sparkSession.conf.get("tidemark.hotKeys.sampleFraction", "0.01"))
     sample = df.select(key).where(F.col(key).isNotNull())
     if fraction < 1.0:
         sample = sample.sample(fraction=fraction, seed=seed)
-    top = (sample.rollup(key).agg(F.count(F.lit(1)).alias("_n"), F.grouping(key).alias("_total"))
-                 .orderBy(F.desc("_n")).limit(int(1 / share) + 2).collect())
-    total = next((r["_n"] for r in top if r["_total"] == 1), 0)
-    return [r[key] for r in top
-            if r["_total"] == 0 and total and r["_n"] >= max(share * total, min_hits)]
+    rows = F.count(F.lit(1)) / fraction
+    return (sample.groupBy(key).agg(F.ceil(rows / rows_per_task).cast("int").alias("_salts"))
+            .where(F.col("_salts") > 1))
 
 
-def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_rows: int | None = None,
-                        hot: list | None = None, salts: int = DEFAULT_SALTS,
+def left_join_skew_safe(fact: DataFrame, dim: DataFrame, key: str, max_bytes: int | None = None,
+                        rows_per_task: int | None = None, fraction: float | None = None,
                         spread_by: list[str] | None = None) -> DataFrame:
     """Left join, many fact rows to one dimension row, safe against skew.
 
     * NULL keys never match, but hash partitioning would send every one of
-      them to the same task: each NULL row gets a per-row spread key (a hash
-      of the row) and the ``key IS NOT NULL`` clause keeps it unmatched.
-    * Hot keys (``hot``, or found by ``hot_keys`` from a sample) are salted:
-      their fact rows spread over ``salts`` values and only their dimension
-      rows are replicated ``salts`` times.
-    One pass over ``fact``.  When the dimension passes the broadcast check
-    there is no shuffle to skew and the plain join is used.
+      them to the same task: each NULL row gets a salt of its own.
+    * Keys with more rows than a task should get are salted in proportion to
+      their size; only their dimension rows are copied, once per salt.
+    The join is on (key, salt), one pass over ``fact``.  When the dimension
+    fits the broadcast bound there is no shuffle to skew.
     """
-    limit = broadcast_max_rows(fact.sparkSession) if max_rows is None else max_rows
-    if has_at_most(dim, limit):
+    if fits(dim, max_bytes):
         return fact.join(F.broadcast(dim), key, "left")
-    if hot is None:
-        hot = hot_keys(fact, key)
-    k = F.col(key).cast("string")
+    spark = fact.sparkSession
+    rows = rows_per_task or int(spark.conf.get("tidemark.join.rowsPerTask", str(DEFAULT_ROWS_PER_TASK)))
+    hot = maybe_broadcast(hot_keys(fact, key, rows, fraction).checkpoint())
     row_hash = F.xxhash64(*[F.col(c) for c in (spread_by or fact.columns)])
-    spread = F.concat(F.lit("\u0000"), row_hash.cast("string"))
-    fact_key = F.when(F.col(key).isNull(), spread)
-    dim_keys = None
-    if hot:
-        is_hot = F.col(key).isin(hot)
-        salted = F.concat(k, F.lit("\u0001"), F.pmod(row_hash, F.lit(salts)).cast("string"))
-        fact_key = fact_key.when(is_hot, salted)
-        dim_keys = F.when(is_hot, F.transform(F.sequence(F.lit(0), F.lit(salts - 1)),
-                                              lambda i: F.concat(k, F.lit("\u0001"), i.cast("string")))
-                          ).otherwise(F.array(k))
-    f = fact.withColumn("_jk", fact_key.otherwise(k))
-    d = dim.withColumn("_dk", F.explode(dim_keys) if hot else k).drop(key)
-    j = f.join(d, (f["_jk"] == d["_dk"]) & f[key].isNotNull(), "left")
-    return j.drop("_jk", "_dk")
+    salt = F.when(F.col(key).isNull(), row_hash).otherwise(F.pmod(row_hash, F.coalesce("_salts", F.lit(1)).cast("long")))
+    f = fact.join(hot, key, "left").withColumn("_salt", salt).drop("_salts")
+    d = (dim.join(hot, key, "left")
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1))).drop("_salts"))
+    return f.join(d, [key, "_salt"], "left").drop("_salt")

@@ -10,23 +10,19 @@ one task.  ``dense_key`` gets the same numbers from a range-partitioned sort:
    later read sees the same partitions;
 3. count rows per partition (one row per partition: bounded by the partition
    count, never by the data), turn the counts into running offsets on the
-   driver and apply them as a literal map.
+   driver and apply them as a broadcast table.
 
 key = offset(partition) + position in partition + 1.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import checkpoint_dir
 
 
-# Up to this many partitions the offsets are a literal map, beyond it a table.
-MAP_MAX_PARTITIONS = 256
-
-
 def _order(cols):
     return [F.col(c).asc_nulls_last() for c in cols]
 
@@ -64,22 +60,8 @@ def dense_key_counted(df: DataFrame, order_cols: list[str], key: str,
         shifts.append((pid, offset + 1 - first))
         offset += n_rows
     cols = [F.col(c) for c in df.columns]
-    if len(shifts) <= MAP_MAX_PARTITIONS:
-        lits = [F.lit(x) for pair in shifts for x in pair]
-        shift = F.element_at(F.create_map(*lits), F.col("_pid")) if lits else F.lit(0)
-        out = ranged.select((F.col("_pos") + shift).cast("bigint").alias(key), *cols)
-    else:
-        # Many partitions: a table of one row per partition, broadcast.
-        table = spark.createDataFrame(shifts, "_pid int, _shift long")
-        out = (ranged.join(F.broadcast(table), "_pid")
-                     .select((F.col("_pos") + F.col("_shift")).cast("bigint").alias(key), *cols))
+    # one row per partition: bounded by the partition count
+    table = spark.createDataFrame(shifts, "_pid int, _shift long")
+    out = (ranged.join(F.broadcast(table), "_pid")
+                 .select((F.col("_pos") + F.col("_shift")).cast("bigint").alias(key), *cols))
     return out, offset
-
-
-def dense_rank_key(df: DataFrame, order_cols: list[str], key: str) -> DataFrame:
-    """Reference form: ``dense_rank() over (order by ...)`` in one task.
-
-    Only for small inputs and for tests that check ``dense_key`` against it.
-    """
-    w = Window.orderBy(*_order(order_cols))
-    return df.select(F.dense_rank().over(w).cast("bigint").alias(key), *df.columns)

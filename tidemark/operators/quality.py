@@ -16,6 +16,11 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
               .where((F.col("n") > 1) | F.col(key).isNull()))
 
 
+def require_key(df: DataFrame, key: str) -> DataFrame:
+    """The rows, failing the job that reads them where a key is NULL (as a primary key does on load)."""
+    return df.where(F.assert_true(F.col(key).isNotNull(), F.lit(f"NULL {key}")).isNull())
+
+
 def is_key(df: DataFrame, key: str) -> bool:
     return key_violations(df, key).isEmpty()
 

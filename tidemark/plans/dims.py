@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import day_of_week
-from tidemark.operators.joins import broadcast_max_rows
-from tidemark.operators.keys import dense_key_counted
+from tidemark.operators.joins import maybe_broadcast
+from tidemark.operators.keys import dense_key as operators_dense_key
 
 # Member sets read from one table in a single grouping-sets pass.
 SESSION_SETS = {"country": ["country"], "date": ["session_day"], "device": ["device"],
@@ -20,11 +20,9 @@ PAYMENT_SETS = {"product": ["product"], "country": ["country"], "date": ["order_
 
 
 def dense_key(df: DataFrame, order_cols: list[str], key: str) -> DataFrame:
-    """``operators.keys.dense_key`` for a dimension: the exact row count comes
-    with the keys, so a dimension within the broadcast bound carries the
-    broadcast hint from here on (joins need no second size check)."""
-    out, rows = dense_key_counted(df, order_cols, key)
-    return F.broadcast(out) if rows <= broadcast_max_rows(df.sparkSession) else out
+    """``operators.keys.dense_key`` for a dimension; one within the broadcast
+    bound carries the broadcast hint from here on (joins need no second size check)."""
+    return maybe_broadcast(operators_dense_key(df, order_cols, key))
 
 
 def _columns(sets: dict) -> list[str]:

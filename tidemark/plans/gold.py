@@ -9,38 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.plans import dims, facts, marts, staging
 from tidemark.session import configure, stage
 from tidemark.sources import fixtures
-from tidemark.sources.tables import input_bytes
-
-# Inputs above this size write payments staging once for all gold models.
-STAGE_MIN_BYTES = 256 * 1024 * 1024
-
 
 class Build:
     """raw -> staging -> dimensions -> facts -> aggregates (dependency order)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, stage_payments: bool | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
-        self._stage_payments = stage_payments
 
     # Staging feeds two to five gold models.  Payments carry the product of
     # each order (lineitem x part, aggregated), the heaviest step of the
-    # build: on large inputs it is written once and read by every model; on
-    # small ones re-deriving it is cheaper than the extra write.  Customers
-    # and sessions are narrow derivations that each reader re-derives with
-    # only the columns it needs (Parquet column pruning).
+    # build: they are written once and read by every model.  Customers and
+    # sessions are narrow derivations that each reader re-derives with only
+    # the columns it needs (Parquet column pruning).
     @cached_property
     def _stg_payments(self) -> DataFrame:
-        if self.stage_payments:
-            return stage(self.stg_payments, "stg_payments")
-        return self.stg_payments
-
-    @cached_property
-    def stage_payments(self) -> bool:
-        if self._stage_payments is not None:
-            return self._stage_payments
-        limit = int(self.spark.conf.get("tidemark.stage.minBytes", str(STAGE_MIN_BYTES)))
-        return input_bytes(self.spark, self.sf_dir, ["orders", "lineitem", "part"]) > limit
+        return stage(self.stg_payments, "stg_payments")
 
     @property
     def _stg_customers(self) -> DataFrame:
@@ -76,17 +60,15 @@ class Build:
     def stg_sessions(self) -> DataFrame:
         return staging.stg_sessions(self.raw_sessions)
 
-    # Members of the small dimensions: on large inputs one grouping-sets
-    # pass per table, materialised once (small) and read by every dimension;
-    # on small inputs each dimension's own distinct is cheaper than the extra
-    # jobs.
+    # Members of the small dimensions: one grouping-sets pass per table,
+    # materialised once (small) and read by every dimension.
     @cached_property
-    def _pay_members(self) -> DataFrame | None:
-        return dims.payment_members(self._stg_payments).checkpoint() if self.stage_payments else None
+    def _pay_members(self) -> DataFrame:
+        return dims.payment_members(self._stg_payments).checkpoint()
 
     @cached_property
-    def _ses_members(self) -> DataFrame | None:
-        return dims.session_members(self._stg_sessions).checkpoint() if self.stage_payments else None
+    def _ses_members(self) -> DataFrame:
+        return dims.session_members(self._stg_sessions).checkpoint()
 
     # dimensions
     @cached_property

@@ -19,7 +19,7 @@ from tidemark.operators.watermark import incremental, mark_lit, next_mark, updat
 from tidemark.plans import staging
 from tidemark.plans.gold import Build
 from tidemark.plans.oracle import with_models
-from tidemark.schemas import MONEY, RAW_PAYMENTS, RAW_SESSIONS
+from tidemark.schemas import MONEY, RAW, RAW_PAYMENTS, RAW_SESSIONS
 from tidemark.session import scratch_path
 from tidemark.sources import landing
 from tidemark.sources.fixtures import pad_id
@@ -173,7 +173,7 @@ SELECT payment_id, customer_id, product, CAST(amount AS DOUBLE) AS amount, curre
        CAST(refunded_amount AS DOUBLE) AS refunded_amount, CAST(fee AS DOUBLE) AS fee,
        payment_method, country, {_iso_sql('created_at')} AS created_at, {_iso_sql('updated_at')} AS updated_at,
        '{AS_OF.isoformat()}' AS ingestion_ts, 'payments' AS source_endpoint,
-       '{landing.run_id(AS_OF)}' AS run_id, CAST(NULL AS INTEGER) AS page, CAST(NULL AS INTEGER) AS pos,
+       '{landing.run_id(AS_OF)}' AS run_id, CAST(NULL AS VARCHAR) AS landed, CAST(NULL AS INTEGER) AS page, CAST(NULL AS INTEGER) AS pos,
        DATE '{AS_OF.date().isoformat()}' AS ingestion_date
 FROM raw_payments
 """))
@@ -221,12 +221,14 @@ def latest_in_batch(spark, sf_dir):
 
 
 @query("key_violations", with_models(["raw_customers"], f"""
-SELECT customer_id, CAST(count(*) AS BIGINT) AS n
+SELECT CASE WHEN arrival_seq % 50 <> 0 THEN customer_id END AS customer_id, CAST(count(*) AS BIGINT) AS n
 FROM ({CUSTOMER_BATCH_SQL}) b
-GROUP BY customer_id HAVING count(*) > 1 OR customer_id IS NULL
+GROUP BY 1 HAVING count(*) > 1 OR max(customer_id) FILTER (arrival_seq % 50 <> 0) IS NULL
 """))
 def key_violations(spark, sf_dir):
-    return quality.key_violations(customer_batch(spark, sf_dir), "customer_id")
+    """A load whose batch repeats keys and has lost every fiftieth one: the keys that a primary key refuses."""
+    batch = customer_batch(spark, sf_dir).withColumn("customer_id", F.when(F.col("arrival_seq") % 50 != 0, F.col("customer_id")))
+    return quality.key_violations(batch, "customer_id")
 
 
 @query("upsert_customers", with_models(["raw_customers"], f"""
@@ -323,15 +325,39 @@ def fee_rule(spark, sf_dir):
     return p.select("payment_id", "amount", rules.fee("amount").alias("fee_rule"))
 
 
-_eur = ", ".join(f"'{c}'" for c in rules.EUR_COUNTRIES)
+# Payments as the service sends them: some in list products and euro countries, some values missing or
+# blank.  The SQL spells the cases and the rules' constants out by hand.
+def service_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Build(spark, sf_dir).raw_payments
+    k = F.col("payment_id").cast("long")
+    pick = lambda step, values, c: F.coalesce(F.get(F.array(*[F.lit(v) for v in values]), (k % step).cast("int")), F.col(c))
+    return (p.withColumn("product", pick(7, rules.PRODUCTS, "product"))
+             .withColumn("country", pick(11, rules.EUR_COUNTRIES, "country"))
+             .withColumn("amount", F.when(k % 13 == 0, F.lit(0).cast(MONEY)).when(k % 17 != 0, F.col("amount")))
+             .withColumn("currency", F.when(k % 5 == 0, "").when(k % 9 != 0, F.col("currency")))
+             .withColumn("status", F.when(k % 8 == 1, "").when(k % 10 != 3, F.col("status"))))
+
+
+SERVICE_PAYMENTS_SQL = """
+SELECT payment_id, customer_id, refunded_amount, fee,
+       CASE k % 7 WHEN 0 THEN 'Basic' WHEN 1 THEN 'Pro' WHEN 2 THEN 'Enterprise' WHEN 3 THEN 'Addon-Analytics'
+                  WHEN 4 THEN 'Addon-Support' ELSE product END AS product,
+       CASE k % 11 WHEN 0 THEN 'DE' WHEN 1 THEN 'FR' WHEN 2 THEN 'NL' WHEN 3 THEN 'PT' WHEN 4 THEN 'IT' WHEN 5 THEN 'ES'
+                   ELSE country END AS country,
+       CAST(CASE WHEN k % 13 = 0 THEN 0 WHEN k % 17 <> 0 THEN amount END AS DECIMAL(18,2)) AS amount,
+       CASE WHEN k % 5 = 0 THEN '' WHEN k % 9 <> 0 THEN currency END AS currency,
+       CASE WHEN k % 8 = 1 THEN '' WHEN k % 10 <> 3 THEN status END AS status
+FROM (SELECT *, CAST(payment_id AS BIGINT) AS k FROM raw_payments) numbered"""
+PRICE_LIST_SQL = "(VALUES ('Basic', 29), ('Pro', 99), ('Enterprise', 499), ('Addon-Analytics', 49), ('Addon-Support', 99))"
 
 
 @query("currency_rule", with_models(["raw_payments"], f"""
-SELECT payment_id, country, CASE WHEN country IN ({_eur}) THEN 'EUR' ELSE 'USD' END AS currency_rule
-FROM raw_payments
+SELECT payment_id, country,
+       CASE WHEN country IN ('DE', 'FR', 'NL', 'PT', 'IT', 'ES') THEN 'EUR' ELSE 'USD' END AS currency_rule
+FROM ({SERVICE_PAYMENTS_SQL}) p
 """))
 def currency_rule(spark, sf_dir):
-    p = Build(spark, sf_dir).raw_payments
+    p = service_payments(spark, sf_dir)
     return p.select("payment_id", "country", rules.currency("country").alias("currency_rule"))
 
 
@@ -345,12 +371,9 @@ def bounce_rule(spark, sf_dir):
     return s.select("session_id", "pageviews", "session_duration_s", rules.bounced().alias("bounce_rule"))
 
 
-_blank = ", ".join(f"'{m}'" for m in rules.BLANK_CAMPAIGN_MEDIUMS)
-
-
 @query("campaign_rule", with_models(["raw_sessions"], f"""
 SELECT session_id, medium,
-       CASE WHEN lower(medium) IN ({_blank}) THEN '' ELSE '{rules.CAMPAIGN_NAME}' END AS campaign_rule
+       CASE WHEN lower(medium) IN ('organic', 'none', 'referral') THEN '' ELSE 'product_launch' END AS campaign_rule
 FROM raw_sessions
 """))
 def campaign_rule(spark, sf_dir):
@@ -371,20 +394,16 @@ def conversion_score(spark, sf_dir):
     return s.select("session_id", rules.conversion_score().alias("conversion_score"))
 
 
-def _price_values_sql() -> str:
-    return ", ".join(f"('{p}', {rules.PRICES[p]})" for p in rules.PRODUCTS)
-
-
 @query("price_join", with_models(["raw_payments"], f"""
 SELECT p.payment_id, p.product, p.amount, pr.list_price,
        CAST(CASE WHEN pr.list_price IS NOT NULL THEN p.amount / pr.list_price END AS DOUBLE) AS seats
-FROM raw_payments p
-LEFT JOIN (VALUES {_price_values_sql()}) AS pr(product, list_price) ON p.product = pr.product
+FROM ({SERVICE_PAYMENTS_SQL}) p
+LEFT JOIN {PRICE_LIST_SQL} AS pr(product, list_price) ON p.product = pr.product
 """))
 def price_join(spark, sf_dir):
     """List price by product (the five-row price table, broadcast) and
     seats = amount / price; products outside the price list get NULL."""
-    p = Build(spark, sf_dir).raw_payments
+    p = service_payments(spark, sf_dir)
     j = p.join(F.broadcast(rules.price_table(spark)), "product", "left")   # five rows by construction
     return j.select("payment_id", "product", "amount", "list_price",
                     F.when(F.col("list_price").isNotNull(),
@@ -400,13 +419,13 @@ SELECT p.payment_id,
        CAST(coalesce(nullif(p.fee, 0),
                      round(CAST(coalesce(nullif(p.amount, 0), pr.list_price) AS DECIMAL(18,2)) * 0.029 + 0.30, 2))
             AS DECIMAL(18,2)) AS fee
-FROM raw_payments p
-LEFT JOIN (VALUES {_price_values_sql()}) AS pr(product, list_price) ON p.product = pr.product
+FROM ({SERVICE_PAYMENTS_SQL}) p
+LEFT JOIN {PRICE_LIST_SQL} AS pr(product, list_price) ON p.product = pr.product
 """))
 def fill_defaults(spark, sf_dir):
     """``value or default`` on insert: a NULL or falsy value takes the default
     (list price, USD, succeeded, no refund, the fee rule)."""
-    p = Build(spark, sf_dir).raw_payments
+    p = service_payments(spark, sf_dir)
     j = p.join(F.broadcast(rules.price_table(spark)), "product", "left")   # five rows by construction
     amount = rules.or_default("amount", F.col("list_price").cast(MONEY), falsy=0).cast(MONEY)
     return j.select(
@@ -439,6 +458,58 @@ def bronze_roundtrip(spark, sf_dir):
     return landing.to_raw(bronze, "payments")
 
 
+def two_runs(spark: SparkSession, entity: str, first: DataFrame, second: DataFrame, key: str) -> DataFrame:
+    """Two landed runs that share keys but not page positions (other page sizes), through bronze into an empty raw table."""
+    base = scratch_path(spark, f"two-runs-{entity}")
+    for i, (rows, size) in enumerate(((first, 500), (second, 300))):
+        landing.write_landing(landing.paginate(rows, entity, key, size), f"{base}/landing/run={9 + i}")
+    pages = landing.read_pages(spark, f"{base}/landing/*", entity)
+    landing.write_bronze(landing.add_lineage(landing.explode_pages(pages), entity, AS_OF), f"{base}/bronze", entity)
+    batch = landing.to_raw(landing.read_bronze(spark, f"{base}/bronze", entity), entity, keep=landing.BRONZE_ORDER)
+    return dml.upsert(spark.createDataFrame([], RAW[entity]), batch, key, on_match="nothing" if entity == "sessions" else "update",
+                      order=landing.BRONZE_ORDER, revive="is_deleted" if entity == "customers" else None)
+
+
+@query("landing_two_runs_payments", with_models(["raw_payments"], """
+SELECT payment_id, customer_id, product, CAST(CASE WHEN CAST(payment_id AS BIGINT) % 3 = 0 THEN amount + 10 ELSE amount END AS DECIMAL(18,2)) AS amount,
+       currency, status, refunded_amount, fee, payment_method, country, created_at, updated_at
+FROM raw_payments
+"""))
+def landing_two_runs_payments(spark, sf_dir):
+    """Run 9 lands every payment with another amount, run 10 two thirds of them as they are: the later run's rows stay."""
+    raw = Build(spark, sf_dir).raw_payments
+    changed = raw.withColumn("amount", (F.col("amount") + 10).cast(MONEY))
+    return two_runs(spark, "payments", changed, raw.where(F.col("payment_id").cast("long") % 3 != 0), "payment_id")
+
+
+@query("landing_two_runs_sessions", with_models(["raw_sessions"], """
+SELECT session_id, customer_id, source, medium, campaign, device, country,
+       CASE WHEN CAST(session_id AS BIGINT) % 4 <> 0 THEN pageviews + 1 ELSE pageviews END AS pageviews,
+       session_duration_s, bounced, converted, session_start, updated_at
+FROM raw_sessions
+"""))
+def landing_two_runs_sessions(spark, sf_dir):
+    """Run 9 lands three quarters of the sessions with another count, run 10 all as they are: the first arrival stays."""
+    raw = Build(spark, sf_dir).raw_sessions
+    changed = raw.withColumn("pageviews", F.col("pageviews") + 1).where(F.col("session_id").cast("long") % 4 != 0)
+    return two_runs(spark, "sessions", changed, raw, "session_id")
+
+
+@query("landing_two_runs_customers", with_models(["raw_customers"], f"""
+SELECT customer_id, CASE WHEN CAST(customer_id AS BIGINT) % 3 = 0 THEN concat(company_name, ' (old)') ELSE company_name END AS company_name,
+       country, industry, company_size, signup_date, updated_at, is_churned,
+       greatest(updated_at, CASE WHEN CAST(customer_id AS BIGINT) % 2 = 0 THEN last_seen_at ELSE {_ts_sql(AS_OF)} END) AS last_seen_at,
+       false AS is_deleted
+FROM raw_customers
+"""))
+def landing_two_runs_customers(spark, sf_dir):
+    """As for payments; half of the rows bring a last_seen_at, the others take the clock; deleted customers come back."""
+    raw = Build(spark, sf_dir).raw_customers
+    raw = raw.withColumn("last_seen_at", F.when(F.col("customer_id").cast("long") % 2 == 0, F.col("last_seen_at")))
+    old = raw.withColumn("company_name", F.concat("company_name", F.lit(" (old)")))
+    return two_runs(spark, "customers", old, raw.where(F.col("customer_id").cast("long") % 3 != 0), "customer_id")
+
+
 @query("stream_upsert", with_models(["raw_sessions"], "SELECT * FROM raw_sessions"))
 def stream_upsert(spark, sf_dir):
     """Two landed runs (halves by time) streamed insert-only into raw.sessions."""
@@ -454,17 +525,20 @@ def stream_upsert(spark, sf_dir):
 
 @query("customer_defaults", with_models(["raw_customers"], f"""
 SELECT customer_id,
-       coalesce(company_name, concat('Company ', substr(customer_id, 1, 8))) AS company_name,
+       CASE WHEN k % 4 = 0 THEN concat('Company ', substr(customer_id, 1, 8)) ELSE company_name END AS company_name,
        concat('Company ', substr(customer_id, 1, 8)) AS default_name,
-       coalesce(is_churned, false) AS is_churned,
-       coalesce(signup_date, {_ts_sql(AS_OF)}) AS signup_date,
-       coalesce(updated_at, {_ts_sql(AS_OF)}) AS updated_at
-FROM raw_customers
+       CASE WHEN k % 6 = 0 THEN false ELSE is_churned END AS is_churned,
+       CASE WHEN k % 5 = 0 THEN {_ts_sql(AS_OF)} ELSE signup_date END AS signup_date,
+       CASE WHEN k % 7 = 0 THEN {_ts_sql(AS_OF)} ELSE updated_at END AS updated_at
+FROM (SELECT *, CAST(customer_id AS BIGINT) AS k FROM raw_customers) c
 """))
 def customer_defaults(spark, sf_dir):
     """``data.get(x, default)`` on a customer insert: only a missing value
     takes the default (name from the id, not churned, times = now)."""
-    c = Build(spark, sf_dir).raw_customers
+    k = F.col("customer_id").cast("long")
+    c = Build(spark, sf_dir).raw_customers.withColumns({   # values that the service left out
+        name: F.when(k % step != 0, F.col(name))
+        for name, step in (("company_name", 4), ("signup_date", 5), ("is_churned", 6), ("updated_at", 7))})
     now = mark_lit(AS_OF)
     return c.select(
         "customer_id",

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.rules import STALE_DAYS
 from tidemark.operators import dml, inplace
 from tidemark.operators.publish import current, path_exists, publish, retain, version_path, versions
-from tidemark.operators.watermark import default_mark, get_watermark, incremental, set_watermark
+from tidemark.operators.quality import require_key
+from tidemark.operators.watermark import default_mark, get_watermark, incremental, mark_lit, set_watermark
 from tidemark.plans import dims, facts, marts, staging
-from tidemark.schemas import KEYS, RAW, TS_FIELD
+from tidemark.schemas import KEYS, RAW
 from tidemark.session import configure
-from tidemark.sources.landing import (BRONZE_ORDER, add_lineage, read_bronze, read_envelopes, run_id, to_raw,
-                                      updated_since_text, write_bronze)
+from tidemark.sources.landing import (BRONZE_ORDER, add_lineage, explode_pages, page_problems, read_bronze, read_pages,
+                                      run_id, to_raw, updated_since_text, write_bronze)
 
 # Sessions are insert-only on landing; customers and payments are updated.
 RAW_MODE = {"customers": "update", "payments": "update", "sessions": "nothing"}
@@ -39,9 +40,14 @@ def land(spark: SparkSession, root: str, entity: str, landing_path: str, as_of:
     configure(spark)
     name = f"wm_{entity}"
     mark = get_watermark(spark, root, name, initial_mark or default_mark(as_of))
-    rows = read_envelopes(spark, landing_path, entity)
-    rows = updated_since_text(rows, mark)
-    stats = write_bronze(add_lineage(rows, entity, as_of), f"{root}/bronze", entity, TS_FIELD[entity])
+    pages = read_pages(spark, landing_path, entity)
+    bad = page_problems(pages).take(5)
+    if bad:
+        raise ValueError(f"landed {entity} pages are incomplete: {[r.asDict() for r in bad]}")
+    if as_of <= get_watermark(spark, root, f"raw_{entity}", dt.datetime.min):
+        raise ValueError(f"as_of {as_of} is not after the last run that was applied to raw.{entity}")
+    rows = updated_since_text(explode_pages(pages), mark)
+    stats = write_bronze(add_lineage(rows, entity, as_of), f"{root}/bronze", entity)
     stats["run_id"] = run_id(as_of)
     stats["ingestion_date"] = as_of.date()
     if stats["rows"]:
@@ -58,6 +64,7 @@ def empty(spark: SparkSession, schema) -> DataFrame:
 def upsert_raw(spark: SparkSession, root: str, entity: str, batch: DataFrame) -> tuple[str, dict]:
     """Upsert a typed batch (with arrival order columns) into raw.<entity>; new version."""
     target = current(spark, f"{root}/raw", entity, RAW[entity]) or empty(spark, RAW[entity])
+    batch = require_key(batch, KEYS[entity])
     out = dml.upsert(target, batch, KEYS[entity], on_match=RAW_MODE[entity], order=BRONZE_ORDER,
                      revive="is_deleted" if entity == "customers" else None)
     obs = Observation(f"raw_{entity}")
@@ -85,6 +92,7 @@ def upsert_raw_in_place(spark: SparkSession, root: str, entity: str, batch: Data
     rewrite only the hash buckets the batch touches."""
     path = raw_path(root, entity)
     key = KEYS[entity]
+    batch = require_key(batch, key)
     if RAW_MODE[entity] == "nothing":
         return path, {"appended_rows": inplace.append_new(spark, path, batch, key, order=BRONZE_ORDER)}
     touched = inplace.upsert_buckets(spark, path, batch, key, buckets=buckets, order=BRONZE_ORDER,
@@ -129,6 +137,25 @@ def bronze_to_raw(spark: SparkSession, root: str, entity: str, since_date: dt.da
     return upsert_raw(spark, root, entity, batch)
 
 
+def apply_bronze(spark: SparkSession, root: str, entity: str, in_place: bool = False) -> tuple[str, dict] | None:
+    """Every bronze run not applied yet -> raw, then raw's own mark.
+
+    The mark moves only after raw is published, so a run that stopped in
+    between is taken up by the next one; applying a run twice changes nothing.
+    """
+    name = f"raw_{entity}"
+    mark = get_watermark(spark, root, name, dt.datetime(1970, 1, 1))
+    bronze = read_bronze(spark, f"{root}/bronze", entity, mark.date())
+    bronze = bronze.where(F.to_timestamp_ntz("ingestion_ts") > mark_lit(mark))
+    last = bronze.agg(F.max(F.to_timestamp_ntz("ingestion_ts")).alias("m")).first()["m"]
+    if last is None:
+        return None
+    batch = to_raw(bronze, entity, keep=BRONZE_ORDER)
+    done = upsert_raw_in_place(spark, root, entity, batch) if in_place else upsert_raw(spark, root, entity, batch)
+    set_watermark(spark, root, name, last)
+    return done
+
+
 def read_staging(spark: SparkSession, root: str, name: str, in_place: bool = False) -> DataFrame | None:
     if not in_place:
         return current(spark, f"{root}/staging", name)
@@ -203,14 +230,14 @@ def build_gold(spark: SparkSession, root: str, in_place: bool = False) -> dict[s
 def run_entity(spark: SparkSession, root: str, entity: str, landing_path: str, as_of: dt.datetime,
                full_refresh: bool = False, initial_mark: dt.datetime | None = None,
                in_place: bool = False) -> dict:
-    """One entity's chain: land -> raw (only the landed run) -> soft delete
+    """One entity's chain: land -> raw (every run not applied yet) -> soft delete
     (customers) -> staging."""
     report: dict = {}
     stats = land(spark, root, entity, landing_path, as_of, initial_mark)
     report[f"land_{entity}"] = stats
-    if stats["rows"]:
-        report[f"raw_{entity}"] = bronze_to_raw(spark, root, entity, since_date=stats["ingestion_date"],
-                                                run=stats["run_id"], in_place=in_place)
+    applied = apply_bronze(spark, root, entity, in_place)
+    if applied:
+        report[f"raw_{entity}"] = applied
     if entity == "customers":
         report["soft_delete_customers"] = soft_delete_raw(spark, root, as_of, in_place)
     report[f"stg_{entity}"] = refresh_staging(spark, root, entity, full_refresh, in_place)
@@ -222,7 +249,7 @@ def run(spark: SparkSession, root: str, landing: dict[str, str], as_of: dt.datet
         keep_versions: int | None = None, parallel: bool = False) -> dict:
     """Landing -> bronze -> raw -> staging -> gold for all three entities.
 
-    Only the run just landed is read back from bronze (its date folder).
+    Only runs not applied to raw yet are read back from bronze (their date folders).
     ``in_place=True`` keeps raw tables bucketed and rewrites only what changes.
     ``parallel=True`` runs the three entity chains at once (independent Spark
     jobs submitted from three driver threads), then gold.

@@ -69,6 +69,7 @@ LINEAGE = [
     T.StructField("ingestion_ts", T.StringType()),
     T.StructField("source_endpoint", T.StringType()),
     T.StructField("run_id", T.StringType()),
+    T.StructField("landed", T.StringType()),
     T.StructField("page", T.IntegerType()),
     T.StructField("pos", T.IntegerType()),
     T.StructField("ingestion_date", T.DateType()),
@@ -123,13 +124,6 @@ RAW_SESSIONS = T.StructType([
 ])
 RAW = {"customers": RAW_CUSTOMERS, "payments": RAW_PAYMENTS, "sessions": RAW_SESSIONS}
 KEYS = {"customers": "customer_id", "payments": "payment_id", "sessions": "session_id"}
-# Field that drives the high-water mark of each entity.
-TS_FIELD = {"customers": "updated_at", "payments": "updated_at", "sessions": "updated_at"}
-
-WATERMARKS = T.StructType([
-    T.StructField("name", T.StringType()),
-    T.StructField("value", TS),
-])
 
 
 def conform(df, schema: T.StructType):

@@ -78,10 +78,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local
     on a cluster)."""

@@ -12,11 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import money
-from tidemark.operators.joins import maybe_broadcast
 from tidemark.schemas import RAW_CUSTOMERS, RAW_PAYMENTS, RAW_SESSIONS, TS, conform
 from tidemark.session import configure
-from tidemark.operators.keys import dense_key
-from tidemark.sources.tables import input_bytes, read_table
+from tidemark.sources.tables import read_table
 
 # Fixed values of the fixture mapping.
 DEFAULT_TIME = "1995-01-01 00:00:00"
@@ -62,34 +60,13 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(df, RAW_CUSTOMERS)
 
 
-# Inputs above this size rank part types before the per-order minimum.
-RANK_TYPES_MIN_BYTES = 256 * 1024 * 1024
-
-
-def order_products(spark: SparkSession, sf_dir: str, rank_types: bool | None = None) -> DataFrame:
-    """One product per order: the smallest part type among its lines.
-
-    A minimum over strings runs as a sort aggregate.  On large inputs the
-    part types are first replaced by their rank (``dense_key`` over the
-    distinct types), so the lineitem-sized join and shuffle carry an integer
-    and the per-order minimum is a hash aggregate; the rank is mapped back to
-    the name at the end.  Both forms give the same product.
-    """
+def order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One product per order: the smallest part type among its lines (combined before the shuffle)."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey"))
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    if rank_types is None:
-        limit = int(spark.conf.get("tidemark.rankTypes.minBytes", str(RANK_TYPES_MIN_BYTES)))
-        rank_types = input_bytes(spark, sf_dir, ["lineitem", "part"]) > limit
-    if not rank_types:
-        return (li.join(part, "p_partkey")
-                  .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-                  .agg(F.min("p_type").alias("product")))
-    types = dense_key(part.select("p_type").distinct(), ["p_type"], "type_rank")
-    ranked_part = part.join(maybe_broadcast(types), "p_type").select("p_partkey", "type_rank")
-    per_order = (li.join(ranked_part, "p_partkey")
-                   .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-                   .agg(F.min("type_rank").alias("type_rank")))
-    return per_order.join(maybe_broadcast(types), "type_rank").select("o_orderkey", F.col("p_type").alias("product"))
+    return (li.join(part, "p_partkey")
+              .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+              .agg(F.min("p_type").alias("product")))
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,8 +64,12 @@ def clamp_page_size(page_size: int | None) -> int:
 def updated_since_text(rows: DataFrame, since, fields=("updated_at", "created_at", "session_start")) -> DataFrame:
     """The service's incremental filter on landed text rows: the first
     non-empty of updated_at, created_at, session_start, parsed, ``>= since``."""
-    present = [F.nullif(F.col(c), F.lit("")) for c in fields if c in rows.columns]
-    return rows.where(iso_to_ts(F.coalesce(*present)) >= mark_lit(since))
+    return rows.where(row_time(rows, fields) >= mark_lit(since))
+
+
+def row_time(rows: DataFrame, fields=("updated_at", "created_at", "session_start")):
+    """The time a landed row counts by, in the filter and in the mark."""
+    return iso_to_ts(F.coalesce(*[F.nullif(F.col(c), F.lit("")) for c in fields if c in rows.columns]))
 
 
 def filter_resource(df: DataFrame, updated_since_ts=None, equals: dict | None = None) -> DataFrame:
@@ -151,20 +155,45 @@ def write_landing(envelopes: DataFrame, path: str) -> None:
 
 def read_envelopes(spark: SparkSession, path: str, entity: str, stream: bool = False,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landed pages -> one row per entity with (page, pos); empty pages drop out.
+    """Landed pages -> one row per entity with (landed, page, pos), the arrival
+    order; empty pages drop out and a page that cannot be parsed is an error.
 
     As a stream, ``max_files_per_trigger`` bounds each micro-batch.
     """
+    return explode_pages(read_pages(spark, path, entity, stream, max_files_per_trigger))
+
+
+def read_pages(spark: SparkSession, path: str, entity: str, stream: bool = False,
+               max_files_per_trigger: int | None = None) -> DataFrame:
+    """Landed pages with ``landed``, the order key of the folder (one per run) they lie in."""
     reader = spark.readStream if stream else spark.read
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    pages = reader.schema(envelope(entity)).json(path)
-    return explode_pages(pages)
+    pages = reader.schema(envelope(entity)).option("mode", "FAILFAST").json(path)
+    return pages.select("*", landed_key(F.col("_metadata.file_path")).alias("landed"))
+
+
+def landed_key(file_path):
+    """Text that orders landed folders: the folder's name with its numbers padded (``run=9`` before ``run=10``)."""
+    folder = F.regexp_extract(file_path, "([^/]*)/[^/]*$", 1)
+    parts = F.regexp_extract_all(folder, F.lit("([0-9]+|[^0-9]+)"), F.lit(1))
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]"), F.lpad(x, 20, "0")).otherwise(x)), "")
+
+
+def page_problems(pages: DataFrame) -> DataFrame:
+    """Landed runs whose pages are not exactly 1..total_pages, or hold another number of rows than they say."""
+    wrong = (F.col("count") != F.size("data")) | F.col("data").isNull() | F.col("page").isNull()
+    return (pages.groupBy("landed")
+            .agg(F.countDistinct("page").cast("int").alias("pages"), F.min("page").alias("first"), F.max("page").alias("last"),
+                 F.min("total_pages").alias("least"), F.max("total_pages").alias("total_pages"),
+                 F.sum(wrong.cast("int")).alias("wrong_pages"))
+            .where("wrong_pages > 0 OR first <> 1 OR last <> total_pages OR pages <> total_pages OR least <> total_pages"
+                   " OR total_pages IS NULL"))
 
 
 def explode_pages(pages: DataFrame) -> DataFrame:
-    return (pages.select("page", F.posexplode("data").alias("pos", "row"))
-                 .select("row.*", F.col("page").cast("int").alias("page"), F.col("pos").cast("int").alias("pos")))
+    return (pages.select("landed", "page", F.posexplode("data").alias("pos", "row"))
+                 .select("row.*", "landed", F.col("page").cast("int").alias("page"), F.col("pos").cast("int").alias("pos")))
 
 
 def last_seen(updated_at: str = "updated_at", seen: str = "last_seen_at", as_of=None):
@@ -193,7 +222,7 @@ def add_lineage(rows: DataFrame, endpoint: str, as_of: dt.datetime, run: str | N
     return conform(out, bronze(endpoint))
 
 
-def write_bronze(landed: DataFrame, root: str, endpoint: str, ts_field: str = "updated_at") -> dict:
+def write_bronze(landed: DataFrame, root: str, endpoint: str) -> dict:
     """Append one run under ``ingestion_date=``; an empty extract writes nothing.
 
     Row count and max time come from the write itself (``observe``).
@@ -201,7 +230,7 @@ def write_bronze(landed: DataFrame, root: str, endpoint: str, ts_field: str = "u
     if landed.isEmpty():
         return {"rows": 0, "max_ts": None}
     obs = Observation(f"bronze_{endpoint}")
-    (landed.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(iso_to_ts(ts_field)).alias("max_ts"))
+    (landed.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(row_time(landed)).alias("max_ts"))
            .write.mode("append").partitionBy("ingestion_date").parquet(f"{root.rstrip('/')}/{endpoint}"))
     return dict(obs.get)
 
@@ -218,4 +247,5 @@ def read_bronze(spark: SparkSession, root: str, endpoint: str, since_date: dt.da
     return df
 
 
-BRONZE_ORDER = ["ingestion_ts", "page", "pos"]
+# Arrival: the run that took the rows in, the landed folder, the page, the place on it.
+BRONZE_ORDER = ["ingestion_ts", "landed", "page", "pos"]

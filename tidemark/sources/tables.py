@@ -17,16 +17,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Column pruning and filters reach the Parquet scan through Catalyst."""
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def input_bytes(spark: SparkSession, sf_dir: str, names: list[str]) -> int:
-    """On-disk size of input tables, from file-system metadata (no job)."""
-    sc = spark.sparkContext
-    jvm = sc._jvm
-    total = 0
-    for n in names:
-        p = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, n))
-        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
-        if fs.exists(p):
-            total += fs.getContentSummary(p).getLength()
-    return total

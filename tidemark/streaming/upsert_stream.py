@@ -17,7 +17,7 @@ from tidemark.schemas import KEYS, RAW
 from tidemark.session import configure
 from tidemark.sources.landing import read_envelopes, to_raw
 
-ORDER = ["_batch", "page", "pos"]
+ORDER = ["_batch", "landed", "page", "pos"]
 
 
 def run_stream(spark: SparkSession, landing_path: str, entity: str, checkpoint: str,
