@@ -1,0 +1,56 @@
+import hashlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tests.llm.test_minhash import brute
+from tidemark.llm import bpe, decontaminate, quality_rules, secrets
+from tidemark.llm.common import read
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_against_brute_force(spark):
+    tiktoken = pytest.importorskip("tiktoken")
+    import base64
+
+    import public_tokenizers
+
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                            mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(bpe.default_ranks(), "rb"))})
+    docs = {r["doc_id"]: r for r in read(spark, SF, "documents").collect()}
+    keep = {r["doc_id"] for r in quality_rules.quality_rules(read(spark, SF, "documents")).collect() if r["kept"]}
+    groups = brute([(i, docs[i]["text"]) for i in sorted(keep)], 5)
+    keep = {i for i in keep if groups[i][1] == i}
+    dirty = {r["doc_id"] for r in decontaminate.query(spark, SF).collect() if r["contaminated"]}
+    assert dirty & keep
+    keep -= dirty
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF).collect()}
+    assert set(got) == keep and len(keep) > 500
+    redacted = 0
+    for i, r in got.items():
+        text = secrets.redact(docs[i]["text"])
+        redacted += text != docs[i]["text"]
+        assert r["ids"] == enc.encode_ordinary(text) and r["n_tokens"] == len(r["ids"])
+        assert r["ids_sha256"] == hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest()
+        assert (r["lang"], r["source"]) == (docs[i]["lang"], docs[i]["source"])
+    assert redacted
+
+
+def test_stages_return_the_columns_of_documents(spark, odd_docs, no_docs, tmp_path):
+    spark.createDataFrame([(0, "a benchmark item of some seven words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for docs in (odd_docs, no_docs):
+        for name, f in corpus_pipeline.STAGES[:-1]:
+            out = f(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+            out.count()
+    assert bpe.stage_encode(spark, odd_docs, "").count() == 11
+
+
+def test_registered():
+    import __spark_entry__ as entry
+
+    names = set(entry.queries())
+    assert {"pipeline"} <= names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert set(entry.oracle_sql()) <= names

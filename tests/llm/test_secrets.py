@@ -1,0 +1,101 @@
+import base64
+import hashlib
+import json
+import random
+import re
+
+from tidemark.llm import secrets as op
+from tidemark.llm.common import read
+
+
+def tlv(tag, body):
+    n = len(body)
+    size = bytes([n]) if n < 128 else (lambda b: bytes([0x80 | len(b)]) + b)(n.to_bytes((n.bit_length() + 7) // 8, "big"))
+    return bytes([tag]) + size + body
+
+
+def number(x):
+    return tlv(2, x.to_bytes(x.bit_length() // 8 + 1, "big"))
+
+
+rng = random.Random(3)
+PKCS1 = tlv(0x30, number(0) + b"".join(number(rng.getrandbits(512)) for _ in range(8)))
+PKCS8 = tlv(0x30, number(0) + tlv(0x30, tlv(6, bytes.fromhex("2a864886f70d010101")) + b"\x05\0") + tlv(4, PKCS1))
+SEC1 = tlv(0x30, number(1) + tlv(4, rng.randbytes(32)) + tlv(0xA0, tlv(6, bytes.fromhex("2a8648ce3d030107"))))
+block = lambda b: len(b).to_bytes(4, "big") + b
+SSH = op.SSH_MAGIC + block(b"none") + block(b"none") + block(b"") + (1).to_bytes(4, "big") + block(rng.randbytes(51)) + block(rng.randbytes(136))
+b64 = lambda b: base64.b64encode(b).decode()
+url64 = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+JWT = ".".join([url64(json.dumps({"alg": "HS256", "typ": "JWT"}).encode()), url64(b'{"sub":"1"}'), url64(rng.randbytes(32))])
+
+
+def pem(name, data):
+    text = b64(data)
+    return f"-----BEGIN {name}-----\n" + "\n".join(text[i : i + 64] for i in range(0, len(text), 64)) + f"\n-----END {name}-----"
+
+
+def added(text):
+    return [(text[a:b], k) for a, b, k in op.spans(text) if k in ("key", "token")]
+
+
+def test_confirmed_structures():
+    for name, data in (("RSA PRIVATE KEY", PKCS1), ("PRIVATE KEY", PKCS8), ("EC PRIVATE KEY", SEC1), ("OPENSSH PRIVATE KEY", SSH)):
+        text = pem(name, data)
+        assert added(f"é before {text} after") == [(text, "key")]
+    assert added(f"key {b64(PKCS8)} end") == [(b64(PKCS8), "key")]
+    assert added(f"key {PKCS1.hex()} end") == [(PKCS1.hex(), "key")]
+    assert added(f"bearer {JWT} end") == [(JWT, "token")]
+
+
+def test_broken_structures_are_left_alone():
+    cut = bytearray(PKCS8)
+    cut[3] ^= 1  # the outer length no longer fits
+    for text in (pem("PRIVATE KEY", bytes(cut)), b64(bytes(cut)), b64(rng.randbytes(200)), "M" + "A" * 200, pem("PRIVATE KEY", b"hello world" * 9),
+                 "eyJhbGciOiJub25l.eyJhbGciOi.aaaaaaaaaaaaaaaaaaaa", ".".join([url64(b'{"typ":"x"}'), url64(b"{}"), "a" * 40]),
+                 ".".join([url64(b"[1]"), url64(b"{}"), "a" * 40]), "3082" + "ab" * 60):
+        assert added(text) == []
+
+
+def test_base_rules():
+    f = lambda t: [(t[a:b], k) for a, b, k in op.base_spans(t)]
+    assert f("x API_KEY: 'abcdefghijkl' y") == [("API_KEY: 'abcdefghijkl", "assign")]
+    assert f("token: token: abcdefghijklmnop") == []  # the short match has used up the second word
+    assert f("paſſword=abcdefghijklmnop") == []  # long s is not an ASCII letter in either case
+    assert f("AKIA" + "A" * 14) == [("AKIA" + "A" * 14, "access")] and f("AKIA" + "A" * 13) == []
+    assert f("0" * 16) == [("0" * 16, "hex")] and f("0" * 15 + "G") == []
+
+
+def brute(text):
+    """The rules as they are stated."""
+    out = []
+    for kind, pattern, ok in (("assign", r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", lambda m: len(m[2]) >= 12),
+                              ("access", r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 18), ("hex", r"[0-9a-f]+", lambda m: len(m[0]) >= 16)):
+        out += [(m.start(), ("assign", "access", "hex").index(kind), f"{kind}:{m.start()}:{m.end()}") for m in re.finditer(pattern, text) if ok(m)]
+    return [x[2] for x in sorted(out)]
+
+
+def test_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r["doc_id"]: r for r in op.query(spark, sf).collect()}
+    hits = 0
+    for d in read(spark, sf, "documents").collect():
+        want, r = brute(d["text"] or ""), got[d["doc_id"]]
+        hits += len(want)
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert r["n_assign"] + r["n_access"] + r["n_hex"] == len(want) and set(want) <= set(filter(None, r["spans"].split(",")))
+    assert hits > 10
+
+
+def test_redaction():
+    assert op.redact(None) is None and op.redact("") == "" and op.redact("plain text") == "plain text"
+    assert op.redact("a token = 'abcdefabcdef0123456789' b") == "a [SECRET]' b"  # the hex span lies inside
+    assert op.spans(op.redact(pem("PRIVATE KEY", PKCS8) + " x " + JWT)) == []
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    got = op.find_secrets(odd_docs).collect()
+    assert len(got) == 11 and all(r["spans"] == "" for r in got)
+    assert op.find_secrets(no_docs).count() == 0
+    out = op.stage_secrets(spark, odd_docs, "")
+    assert out.columns == odd_docs.columns and out.count() == 11
+    assert [r["text"] for r in out.collect() if r["doc_id"] == 1] == [None]

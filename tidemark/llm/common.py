@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
-__all__ = ["read", "stage", "small_side", "utf8", "words", "chunks", "doc_words", "mix64", "row_cols"]
+__all__ = ["read", "stage", "stage_narrow", "small_side", "utf8", "words", "chunks", "doc_words", "mix64", "row_cols"]
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
@@ -34,6 +34,12 @@ def small_side(df: DataFrame, row_bytes: int, max_bytes: int = 8 << 20) -> DataF
     return F.broadcast(df) if df.count() * row_bytes <= max_bytes else df
 
 
+def stage_narrow(df: DataFrame, tag: str) -> DataFrame:
+    """``stage`` for rows of a few numbers: an eighth of the shuffle's tasks and files (no further shuffle)."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(df.coalesce(max(8, parts // 8)), tag)
+
+
 def drop_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows whose doc_id is not among ``ids`` (null ids stay); texts are shuffled only where the ids are proven too many to broadcast."""
     return docs.join(small_side(ids.distinct(), 16, 64 << 20), "doc_id", "left_anti").select(*docs.columns)
