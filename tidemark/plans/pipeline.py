@@ -44,9 +44,9 @@ def land(spark: SparkSession, root: str, entity: str, landing_path: str, as_of:
     bad = page_problems(pages).take(5)
     if bad:
         raise ValueError(f"landed {entity} pages are incomplete: {[r.asDict() for r in bad]}")
-    if as_of <= get_watermark(spark, root, f"raw_{entity}", dt.datetime.min):
-        raise ValueError(f"as_of {as_of} is not after the last run that was applied to raw.{entity}")
     rows = updated_since_text(explode_pages(pages), mark)
+    if as_of <= get_watermark(spark, root, f"raw_{entity}", dt.datetime.min) and not rows.isEmpty():
+        raise ValueError(f"as_of {as_of} is not after the last run that was applied to raw.{entity}")
     stats = write_bronze(add_lineage(rows, entity, as_of), f"{root}/bronze", entity)
     stats["run_id"] = run_id(as_of)
     stats["ingestion_date"] = as_of.date()
