@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.llm.common import chunks, read, row_cols, utf8
+from tidemark.llm.common import chunks, read, release, row_cols, utf8
 
 # Classes of code points, after look-ahead.
 LETTER, NUMBER, OTHER, APO1, APO2, APO, BLANK_WORD, BLANK_RUN, SPACE_WORD, SPACE_RUN, CUT = range(11)
@@ -39,7 +39,8 @@ START, IN_L, IN_N, IN_P, GLUE, IN_S, WANT1, WANT2, LAST, N_STATES = range(10)
 
 #: The code points with the White_Space property.
 WHITE_SPACE = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-CACHE = 600_000
+#: Merged slices that a worker keeps while a task runs.
+CACHE = 300_000
 
 
 @lru_cache(1)
@@ -161,6 +162,11 @@ class Encoder:
         self.at = np.cumsum(self.lens) - self.lens
         self.cache: dict[str, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        """Drop the cache at a task's end; workers live on in other stages."""
+        self.cache.clear()
+        release()
+
     def merge(self, piece: bytes) -> tuple[int, ...]:
         """Join the adjacent pair of lowest rank, leftmost first, until none is left."""
         ranks = self.ranks
@@ -266,6 +272,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
             ids, offsets = enc.encode([t if isinstance(t, str) else "" for t in pdf["text"]])
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [x.astype(np.int32) for x in ids],
                                 "offsets": offsets, "decoded": [enc.decode(x) for x in ids]})
+        enc.forget()
 
     return row_cols(docs, "doc_id", "text").mapInPandas(
         run, f"doc_id {kind}, ids array<int>, offsets array<long>, decoded binary")
@@ -282,6 +289,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(x) for x in ids],
                                 "ids_sha256": [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids],
                                 "decoded_sha256": [hashlib.sha256(enc.decode(x)).hexdigest() for x in ids]})
+        enc.forget()
 
     return row_cols(docs, "doc_id", "text").mapInPandas(
         run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
@@ -306,6 +314,7 @@ def stage_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
             yield pdf[["doc_id", "lang", "source"]].assign(
                 ids=[x.astype(np.int32) for x in ids], n_tokens=[len(x) for x in ids],
                 ids_sha256=[hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids])
+        enc.forget()
 
     out = schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", T.LongType()).add("ids_sha256", T.StringType())
     return row_cols(docs, "doc_id", "text", "lang", "source").mapInPandas(run, out)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,6 +65,14 @@ def chunks(frames: Iterator[pd.DataFrame], column: str = "text", limit: int = 2
         part = (np.cumsum(size) - size) // limit
         for start, stop in zip(*_runs(part)):
             yield pdf.iloc[start:stop].reset_index(drop=True)
+        release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system, so that workers kept for later stages stay small."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def _runs(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
