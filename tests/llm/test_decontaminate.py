@@ -82,3 +82,20 @@ def test_stage_keeps_clean_documents(spark, docs_of, tmp_path):
     docs = docs_of([*CASES.items(), *CLEAN.items(), (None, PAD)])
     out = op.stage_decontaminate(spark, docs, str(tmp_path))
     assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == {*CLEAN, None}
+
+
+REPEATS = [
+    "The farmer paid 3 dollars for hay, 4 dollars for hay, 6 dollars for hay. How much did the farmer pay for all of the hay",
+    "Each child has 3 apples and 4 apples and 5 apples in the basket and 4 apples and 3 apples on the table",
+]
+
+
+def test_repeated_phrases_and_coinciding_values(spark, docs_of):
+    """An item that repeats a phrase meets itself at other shifts too; different values may become equal ones."""
+    bench = spark.createDataFrame(list(enumerate(REPEATS)), "item_id long, text string")
+    docs = [(10 * k + i, "pad " * k + t + " " + PAD) for i, t in enumerate(REPEATS) for k in range(8)]
+    docs += [(200, PAD + REPEATS[0].replace("4", "3").replace("6", "3")), (201, PAD + REPEATS[1].replace("3", "8").replace("4", "9").replace("5", "9")),
+             (202, PAD + REPEATS[0].replace(". How", ". So how"))]
+    got = {r["doc_id"]: r["item_ids"] for r in op.decontaminate(docs_of(docs), bench).collect()}
+    assert all(got[10 * k + i] == [i] for i in (0, 1) for k in range(8))
+    assert got[200] == [0] and got[201] == [1] and got[202] == [0]

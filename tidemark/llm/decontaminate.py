@@ -4,9 +4,10 @@ Texts become templates: numbers, units after a number, and names (capitalised
 words inside a sentence) are typed placeholders, other words are lower case and
 bare of punctuation.  A second form replaces numbers only, so that texts in another case still
 meet.  Five-word template windows are joined by hash with the windows of the
-benchmark; matched windows of a document and an item are aligned, their slots
-must map one to one (the same name or number again wherever the item repeats
-it), and an item is found where consistent windows cover at least 0.8 of its words.
+benchmark.  Matched windows that follow each other at one shift of a document against an
+item are a run; every value of the item must be one value of the document throughout the run
+(the same name or number again wherever the item repeats it).  Runs whose values agree are
+joined over neighbouring shifts, and an item is found where they cover at least 0.8 of its words.
 
 Only documents that hold the longest three literal words in a row of some benchmark window
 reach the window step; any match must hold such words, so nothing is lost.  All row work is
@@ -128,6 +129,40 @@ def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
     return stage(found.distinct() if found is not None else docs.select("doc_id").limit(0), "near")
 
 
+def agree(a: Column, b: Column) -> Column:
+    """No value of the item is one value of the document in ``a`` and another one in ``b``."""
+    return ~F.exists(a, lambda x: F.exists(b, lambda y: (x["kind"] == y["kind"]) & (x["item"] == y["item"]) & (x["doc"] != y["doc"])))
+
+
+def runs(met: DataFrame) -> DataFrame:
+    """Windows of one shift that follow each other, as ``run``: their number, shift, first and last place in the item,
+    and slots; runs in which a value of the item is two values of the document are left out."""
+    one = met.groupBy("doc_id", "row", "item_id", "form", (F.col("pos") - F.col("at")).alias("shift")).agg(
+        F.first("item_n").alias("item_n"), F.array_sort(F.collect_set(F.struct("at", "pairs"))).alias("w"))
+    at = lambda i: F.get("w", i)["at"]
+    places = F.sequence(F.lit(0), F.size("w") - 1)
+    first = F.filter(places, lambda i: (i == 0) | (at(i) != at(i - 1) + 1))
+    last = F.filter(places, lambda i: (i == F.size("w") - 1) | (at(i) != at(i + 1) - 1))
+    slots = lambda a, b: F.array_distinct(F.flatten(F.transform(F.slice("w", a + 1, b - a + 1), lambda x: x["pairs"])))
+    found = F.zip_with(first, last, lambda a, b: F.struct((b - a + 1).alias("n"), F.col("shift"), at(a).alias("a"), at(b).alias("b"), slots(a, b).alias("pairs")))
+    return one.withColumn("run", F.explode(found)).drop("w").filter(
+        F.size("run.pairs") == F.size(F.array_distinct(F.transform("run.pairs", lambda x: F.struct(x["kind"], x["item"])))))
+
+
+def joined_words(all_runs: Column) -> Column:
+    """The most words of the item that runs of agreeing values cover, the runs of any one shift taken first and long ones before short ones."""
+    longest = F.sort_array(all_runs, asc=False)
+
+    def cover(shift: Column) -> Column:
+        order = F.concat(F.filter(longest, lambda r: r["shift"] == shift), F.filter(longest, lambda r: r["shift"] != shift))
+        none = F.struct(F.array().cast("array<int>").alias("at"), F.array().cast(PAIRS).alias("pairs"))
+        add = lambda acc, r: F.when(agree(acc["pairs"], r["pairs"]), F.struct(
+            F.array_union(acc["at"], F.sequence(r["a"], r["b"] + WINDOW - 1)).alias("at"), F.array_union(acc["pairs"], r["pairs"]).alias("pairs"))).otherwise(acc)
+        return F.aggregate(order, none, add, lambda acc: F.size(acc["at"]))
+
+    return F.array_max(F.transform(F.array_distinct(F.transform(all_runs, lambda r: r["shift"])), cover))
+
+
 def slot_pairs(template: Column, ours: Column, theirs: Column) -> Column:
     """(kind, item's value, document's value) of the window's placeholders."""
     rows = F.zip_with(F.zip_with(template, ours, lambda t, a: F.struct(t.alias("kind"), a.alias("item"))), theirs,
@@ -151,14 +186,10 @@ def findings(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Dat
     bound = met.filter(slots)
     said = tokens(docs.join(small_side(bound.select("doc_id").distinct(), 16), "doc_id", "left_semi")).select("doc_id", "row", "bare").dropDuplicates(["doc_id", "row"])
     bound = bound.join(said, ["doc_id", "row"]).withColumn("pairs", slot_pairs(F.col("template"), F.col("ours"), F.slice("bare", F.col("pos") + 1, WINDOW))).drop("bare")
-    shift = F.col("pos") - F.col("at")
-    groups = F.array(*[F.struct(F.lit(k).alias("k"), F.floor((shift + k * DRIFT // 2) / DRIFT).alias("d")) for k in (0, 1)])
-    lined = free.unionByName(bound).withColumn("near", F.explode(groups)).groupBy("doc_id", "row", "item_id", "form", "near").agg(
-        F.first("item_n").alias("item_n"), F.collect_set("at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    side = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["kind"], x[name]))))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a, a + WINDOW - 1)))))
-    return (lined.filter((F.size("pairs") == side("item")) & (F.size("pairs") == side("doc")))
-            .withColumn("share", covered / F.col("item_n")).filter(F.col("share") >= cover)
+    groups = F.array(*[F.struct(F.lit(k).alias("k"), F.floor((F.col("shift") + k * DRIFT // 2) / DRIFT).alias("d")) for k in (0, 1)])
+    lined = runs(free.unionByName(bound)).withColumn("near", F.explode(groups)).groupBy("doc_id", "row", "item_id", "form", "near").agg(
+        F.first("item_n").alias("item_n"), F.collect_set("run").alias("runs"))
+    return (lined.withColumn("share", joined_words(F.col("runs")) / F.col("item_n")).filter(F.col("share") >= cover)
             .groupBy("doc_id", "item_id").agg(F.max("share").alias("share")))
 
 
