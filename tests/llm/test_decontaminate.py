@@ -99,3 +99,14 @@ def test_repeated_phrases_and_coinciding_values(spark, docs_of):
     got = {r["doc_id"]: r["item_ids"] for r in op.decontaminate(docs_of(docs), bench).collect()}
     assert all(got[10 * k + i] == [i] for i in (0, 1) for k in range(8))
     assert got[200] == [0] and got[201] == [1] and got[202] == [0]
+
+
+NUMBERS = ["What comes next in this row: 1 2 3 5 8 13 21 34 55 89 144", "Add 12 + 15 + 18 + 21 + 24 + 27 + 30", "7 * 8 = ?", "yes", "2 4 6 8 10"]
+
+
+def test_items_of_numbers_and_short_items(spark, docs_of):
+    bench = spark.createDataFrame(list(enumerate(NUMBERS)), "item_id long, text string")
+    docs = [(k, f"{PAD}\n{t}\n{PAD}") for k, t in enumerate(NUMBERS)] + [(10, "YES "), (11, "7  *  8=?"), (12, PAD + "7 8 and 7 * 8 = 56"),
+            (13, PAD + "1 2 3 5 8 14 22 and 11 22 33 44 55"), (14, None), (15, ""), (16, "2 4 6 8 10"), (17, PAD + "yes")]
+    got = {r["doc_id"]: r["item_ids"] for r in op.decontaminate(docs_of(docs), bench).collect()}
+    assert {i: x for i, x in got.items() if x} == {0: [0], 1: [1], 2: [2], 4: [4], 10: [3], 11: [2], 16: [4]}

@@ -8,13 +8,16 @@ benchmark.  Matched windows that follow each other at one shift of a document ag
 item are a run; every value of the item must be one value of the document throughout the run
 (the same name or number again wherever the item repeats it).  Runs whose values agree are
 joined over neighbouring shifts, and an item is found where they cover at least 0.8 of its words.
+Windows with fewer than ``LITERALS`` literal words meet only where their words and numbers are the same ones.
+Items of fewer than five words are found where all their words and signs stand in a row.
 
 Only documents that hold the longest three literal words in a row of some benchmark window
-reach the window step; any match must hold such words, so nothing is lost.  All row work is
+(three words or numbers in a row where a window has too few literal words) reach the window
+step; any match must hold such words, so nothing is lost.  All row work is
 DataFrame functions.  The benchmark's windows are broadcast only when counted to fit.
 
-Defined cases: null or empty texts match nothing; items of fewer than five words
-have no window and match nothing; rows with a null id match nothing; rows that share a
+Defined cases: null or empty texts and texts without words match nothing; an item of one
+word matches only a document that is nothing else; rows with a null id match nothing; rows that share a
 doc_id share their findings; equal items are all reported; an empty table on either side
 gives no findings; other columns are ignored.
 """
@@ -28,8 +31,9 @@ from tidemark.llm.common import drop_rows, read, row_cols, small_side, stage
 
 WINDOW, COVER = 5, 0.8
 PAIRS = "array<struct<kind:string,item:string,doc:string>>"
-#: Words of a window that must not be placeholders.
+#: Words of a window that must not be placeholders; windows with fewer are looked up with their values.
 LITERALS = 2
+PLAIN, TYPED, EXACT = 0, 1, 2
 #: Alignments may drift by fewer words than this (an inserted or dropped word).
 DRIFT = 8
 MARK = "\x01"
@@ -37,6 +41,8 @@ NUM, NAME, UNIT = "#", "@", "%"
 WORD = r"[\p{L}][\p{L}\p{M}]*(?:['’][\p{L}]+)*"
 NUMBER = r"[\p{N}]+(?:[.,][\p{N}]+)*"
 TOKEN = f"{MARK}?{WORD}|{NUMBER}"
+#: Words, numbers and single other signs.
+SIGN = f"{WORD}|{NUMBER}|[^\\s]"
 #: Words that are a unit where they follow a number.
 UNITS = ["mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard", "yards", "mile", "miles", "meter", "meters", "metre", "metres",
          "kilometer", "kilometers", "mg", "g", "kg", "gram", "grams", "kilogram", "kilograms", "pound", "pounds", "lb", "lbs", "ounce", "ounces", "oz",
@@ -45,10 +51,14 @@ UNITS = ["mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard",
          "degree", "degrees", "mph", "kmh", "w", "kw", "v", "hz", "j", "kj", "n", "pa"]
 
 
+def parts(pattern: str) -> Column:
+    """The matches in ``text`` in lower case."""
+    return F.regexp_extract_all(F.lower(F.translate("text", MARK, "")), F.lit(f"({pattern})"), F.lit(1))
+
+
 def tokens(df: DataFrame) -> DataFrame:
     """Adds ``bare`` (words and numbers of ``text`` in lower case) to rows that have at least a window of them."""
-    found = F.regexp_extract_all(F.lower(F.translate("text", MARK, "")), F.lit(f"({WORD}|{NUMBER})"), F.lit(1))
-    return df.withColumn("bare", found).filter(F.size("bare") >= WINDOW)
+    return df.withColumn("bare", parts(f"{WORD}|{NUMBER}")).filter(F.size("bare") >= WINDOW)
 
 
 def is_number(token: Column) -> Column:
@@ -86,8 +96,8 @@ def hashed(df: DataFrame, words: str, n: int, name: str) -> DataFrame:
 
 
 def windows(df: DataFrame) -> DataFrame:
-    """Adds the window hashes of both forms: ``plain5`` and ``typed5``."""
-    return hashed(hashed(forms(df), "plain", WINDOW, "plain5"), "typed", WINDOW, "typed5")
+    """Adds the window hashes of both forms and of the words as they are: ``plain5``, ``typed5`` and ``bare5``."""
+    return hashed(hashed(hashed(forms(df), "plain", WINDOW, "plain5"), "typed", WINDOW, "typed5"), "bare", WINDOW, "bare5")
 
 
 def literal(word: Column) -> Column:
@@ -95,21 +105,24 @@ def literal(word: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, item_n, form, hash, at, ours, template) of the items' windows with enough literal words."""
+    """(item_id, item_n, form, via, hash, at, ours, template) of the items' windows; ``via`` is the form that the hash is of."""
     df = windows(tokens(row_cols(benchmark, "item_id", "text").filter(F.col("item_id").isNotNull())))
     one = lambda form, k: F.transform(f"{form}5", lambda h, i: F.struct(
-        F.lit(k).alias("form"), h.alias("hash"), i.alias("at"), F.slice("bare", i + 1, WINDOW).alias("ours"), F.slice(form, i + 1, WINDOW).alias("template")))
-    rows = df.select("item_id", F.size("bare").alias("item_n"), F.explode(F.concat(one("plain", 0), one("typed", 1))).alias("w")).select("item_id", "item_n", "w.*")
-    return rows.filter(F.size(F.filter("template", literal)) >= LITERALS)
+        F.lit(k).alias("form"), h.alias("hash"), F.get("bare5", i).alias("same"), i.alias("at"),
+        F.slice("bare", i + 1, WINDOW).alias("ours"), F.slice(form, i + 1, WINDOW).alias("template")))
+    rows = df.select("item_id", F.size("bare").alias("item_n"), F.explode(F.concat(one("plain", PLAIN), one("typed", TYPED))).alias("w")).select("item_id", "item_n", "w.*")
+    enough = F.size(F.filter("template", literal)) >= LITERALS
+    return (rows.withColumn("via", F.when(enough, F.col("form")).otherwise(EXACT))
+            .withColumn("hash", F.when(enough, F.col("hash")).otherwise(F.col("same"))).drop("same"))
 
 
 def anchors(items: DataFrame) -> DataFrame:
     """(n, h): what a document must hold to share a window: of every window its longest run of
-    three literal words, else of two, else its longest literal word."""
-    rows = items.select("template").distinct()
+    three literal words, else of two, else its longest literal word; where values are looked up, its longest three words."""
+    rows = items.select(F.when(F.col("via") == EXACT, F.col("ours")).otherwise(F.col("template")).alias("template"), (F.col("via") == EXACT).alias("same")).distinct()
     for n in (1, 2, 3):
         runs = F.transform(F.sequence(F.lit(1), F.lit(WINDOW + 1 - n)), lambda i: F.slice("template", i, n))  # noqa: B023
-        runs = F.filter(runs, lambda r: F.forall(r, literal))
+        runs = F.filter(runs, lambda r: F.col("same") | F.forall(r, literal))
         longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(F.array_join(r, "")).alias("n"), r.alias("r"))))["r"]
         rows = rows.withColumn(f"r{n}", longest)
     r = F.coalesce("r3", "r2", "r1")
@@ -117,6 +130,24 @@ def anchors(items: DataFrame) -> DataFrame:
     return rows.select(F.size(r).alias("n"), h.alias("h")).distinct()
 
 
+def short_findings(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """(doc_id, item_id) of items shorter than a window, by all their words and signs in a row; None without such items."""
+    words = F.size(parts(f"{WORD}|{NUMBER}"))
+    items = row_cols(benchmark, "item_id", "text").filter(F.col("item_id").isNotNull() & (words > 0) & (words < WINDOW))
+    items = stage(items.select("item_id", (words == 1).alias("alone"), parts(SIGN).alias("s")).select("item_id", "alone", F.size("s").alias("n"), F.xxhash64("s").alias("h")), "short")
+    lengths = [tuple(r) for r in items.select("alone", "n").distinct().collect()]  # as many as there are lengths of short items
+    if not lengths:
+        return None
+    hashes = lambda n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("s") - n + 1), lambda i: F.xxhash64(F.slice("s", i, n))))
+    run = lambda n: F.transform(hashes(n), lambda h: F.struct(F.lit(False).alias("alone"), F.lit(n).alias("n"), h.alias("h")))
+    all_of = F.array(F.struct(F.lit(True).alias("alone"), F.size("s").alias("n"), F.xxhash64("s").alias("h")))
+    none = F.filter(all_of, lambda x: F.lit(False))
+    grams = F.concat(all_of, *[F.when(F.size("s") >= n, run(n)).otherwise(none) for alone, n in sorted(lengths) if not alone])
+    held = docs.filter(F.col("text").isNotNull()).select("doc_id", parts(SIGN).alias("s")).select("doc_id", F.explode(grams).alias("g")).select("doc_id", "g.*")
+    size = items.count() * 48
+    return held.join(F.broadcast(items) if size <= 8 << 20 else items, ["alone", "n", "h"]).select("doc_id", "item_id")
+
+
 def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Ids of the documents that hold an anchor."""
     need = stage(anchors(items), "anchors")
@@ -174,12 +205,14 @@ def findings(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Dat
     """(doc_id, item_id, covered share) of every item found in a document."""
     items = stage(item_windows(benchmark), "items")
     docs = row_cols(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull()).withColumn("row", F.xxhash64("text"))  # ids may repeat
+    short = short_findings(docs, benchmark)
     near = candidates(docs, items)
     docs = docs.join(F.broadcast(near) if near.count() * 16 <= 8 << 20 else near, "doc_id", "left_semi")
-    one = lambda form, k: F.transform(f"{form}5", lambda h, i: F.struct(F.lit(k).alias("form"), h.alias("hash"), i.alias("pos")))
-    there = windows(tokens(docs)).select("doc_id", "row", F.explode(F.concat(one("plain", 0), one("typed", 1))).alias("w")).select("doc_id", "row", "w.*")
-    size = items.agg(F.sum(200 + 4 * F.length(F.array_join("ours", " "))).alias("n")).first()["n"] or 0
-    met = stage(there.join(F.broadcast(items) if size <= 16 << 20 else items, ["form", "hash"]).drop("hash"), "met")
+    one = lambda form, k: F.transform(f"{form}5", lambda h, i: F.struct(F.lit(k).alias("via"), h.alias("hash"), i.alias("pos")))
+    facts = items.agg(F.sum(200 + 4 * F.length(F.array_join("ours", " "))).alias("n"), F.max("via").alias("via")).first()
+    size, hashes = facts["n"] or 0, [("plain", PLAIN), ("typed", TYPED), ("bare", EXACT)][: 3 if facts["via"] == EXACT else 2]
+    there = windows(tokens(docs)).select("doc_id", "row", F.explode(F.concat(*[one(*x) for x in hashes])).alias("w")).select("doc_id", "row", "w.*")
+    met = stage(there.join(F.broadcast(items) if size <= 16 << 20 else items, ["via", "hash"]).drop("hash", "via"), "met")
     # the document's words are looked up again where a window has slots
     slots = F.exists("template", lambda w: ~literal(w))
     free = met.filter(~slots).withColumn("pairs", F.array().cast(PAIRS))
@@ -189,8 +222,10 @@ def findings(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Dat
     groups = F.array(*[F.struct(F.lit(k).alias("k"), F.floor((F.col("shift") + k * DRIFT // 2) / DRIFT).alias("d")) for k in (0, 1)])
     lined = runs(free.unionByName(bound)).withColumn("near", F.explode(groups)).groupBy("doc_id", "row", "item_id", "form", "near").agg(
         F.first("item_n").alias("item_n"), F.collect_set("run").alias("runs"))
-    return (lined.withColumn("share", joined_words(F.col("runs")) / F.col("item_n")).filter(F.col("share") >= cover)
-            .groupBy("doc_id", "item_id").agg(F.max("share").alias("share")))
+    found = lined.withColumn("share", joined_words(F.col("runs")) / F.col("item_n")).filter(F.col("share") >= cover).select("doc_id", "item_id", "share")
+    if short is not None:
+        found = found.unionByName(short.withColumn("share", F.lit(1.0)))
+    return found.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
