@@ -99,3 +99,29 @@ def test_odd_rows(spark, odd_docs, no_docs):
     out = op.stage_secrets(spark, odd_docs, "")
     assert out.columns == odd_docs.columns and out.count() == 11
     assert [r["text"] for r in out.collect() if r["doc_id"] == 1] == [None]
+
+
+def test_keys_as_files_hold_them():
+    """Unpadded keys before other words, written line ends, base64 of a PEM block, the OpenSSH container in hex."""
+    from base64 import b64encode
+
+    from tidemark.llm import secrets
+
+    def keys(text):
+        return [(a, b) for a, b, k in secrets.spans(text) if k == "key"]
+
+    der = bytes.fromhex("302e020100300506032b657004220420") + bytes(range(7, 39))
+    one = b64encode(der).decode()
+    assert len(one) == 64 and "=" not in one
+    assert keys(f"x\n{one}\nwords follow") == [(2, 66)] and keys(f"MAP\n{one[:40]}\n{one[40:]}\nMore") == [(4, 69)]
+    assert keys(f"KEY={one}") == [(4, 68)] and keys(f'"a\\n{one}\\nb"') == [(4, 68)] and keys(one[:-4] + "\n, no key") == []
+    pem = f"-----BEGIN PRIVATE KEY-----\n{one}\n-----END PRIVATE KEY-----\n"
+    written = pem.replace("\n", "\\n")
+    assert keys('{"k": "' + written + '"}') == [(7, 7 + len(written) - 2)]
+    whole = b64encode(pem.encode()).decode()
+    assert keys(f"k: {whole}\nwords follow") == [(3, 3 + len(whole))]
+    part = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = secrets.SSH_MAGIC + part(b"none") + part(b"none") + part(b"") + (1).to_bytes(4, "big") + part(bytes(51)) + part(bytes(136))
+    assert keys(f"x {ssh.hex()} y") == [(2, 2 + 2 * len(ssh))]
+    text = b64encode(ssh).decode()
+    assert keys(f"{text}\nwords") == [(0, len(text))]

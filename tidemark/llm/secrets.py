@@ -37,10 +37,13 @@ KINDS = ("assign", "access", "hex", "key", "token")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a run of 16 or more is the same match as a maximal run that is then measured
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
-#: Bare candidates: base64 of at least 40 characters that starts as a DER sequence or the OpenSSH magic would, or hex alike.
-BARE64 = re.compile(r"(?<![A-Za-z0-9+/=_-])(?:M[A-P]|b3BlbnNzaC1rZXk)[A-Za-z0-9+/\n\r_-]{36,}={0,2}")
-BAREHEX = re.compile(r"(?<![0-9A-Za-z])(?:30[0-9a-fA-F]{2}|30[0-9a-fA-F]{2})(?:[0-9a-fA-F]{2}){30,}(?![0-9A-Za-z])")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,\\-]*?)-----END \1-----")
+#: Bare candidates: base64 that starts as a DER sequence, the OpenSSH magic or a PEM block would, also after a written \n; hex alike.
+BARE64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n)|(?<=\\r))(?:M[A-P]|b3BlbnNzaC1rZXk|LS0tLS1CRUdJTi)")
+RUN64 = re.compile(r"[A-Za-z0-9+/_-]+")
+GAP64 = re.compile(r"(?:\r\n?|\n|(?:\\+r)?\\+n|\\+r)[ \t]*")
+BAREHEX = re.compile(r"(?<![0-9A-Za-z])(?:30[0-9a-fA-F]{2}|6[fF]70656[eE]7373682[dD]6[bB]65792[dD]763100)(?:[0-9a-fA-F]{2}){30,}(?![0-9A-Za-z])")
+NESTED = "LS0tLS1CRUdJTi"
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(e[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{16,})")
 
 #: DER tags and the algorithm identifiers' common prefixes.
@@ -107,10 +110,10 @@ def is_encrypted_der(data: bytes) -> bool:
     return bool(f) and [x[0] for x in f] == [SEQUENCE, OCTETS] and bool(_fields(data, f[0][1], f[0][2]))
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """The OpenSSH container: magic, three length-prefixed strings, key count, public and private parts."""
+def ssh_length(data: bytes) -> int | None:
+    """Bytes of the OpenSSH container at the start: magic, three length-prefixed strings, key count, public parts and private part."""
     if not data.startswith(SSH_MAGIC):
-        return False
+        return None
     at = len(SSH_MAGIC)
 
     def block() -> bool:
@@ -120,10 +123,17 @@ def is_ssh_key(data: bytes) -> bool:
         at += 4 + n
         return ok
 
-    if not (block() and block() and block()) or int.from_bytes(data[at : at + 4], "big") < 1:
-        return False
+    if not (block() and block() and block()) or (keys := int.from_bytes(data[at : at + 4], "big")) < 1:
+        return None
     at += 4
-    return block() and block()
+    for _ in range(keys + 1):
+        if not block():
+            return None
+    return at
+
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_length(data) is not None
 
 
 def from_base64(s: str) -> bytes | None:
@@ -150,21 +160,80 @@ def is_token(header: str, payload: str) -> bool:
     return True
 
 
+def is_pem_key(m: re.Match) -> bool:
+    """The block's body, with line ends written out or not, is a key or an encrypted one."""
+    # lines with a colon are the headers of an encrypted legacy block
+    lines = re.sub(r"\\+[rn]", "\n", m.group(2)).strip().splitlines()
+    body = from_base64("".join(x for x in lines if ":" not in x and "," not in x))
+    return is_key(body) or bool(body and (is_encrypted_der(body) or any("ENCRYPTED" in x for x in lines)))
+
+
+def run64(text: str, at: int, limit: int | None = None) -> tuple[str, list[tuple[int, int]]]:
+    """Base64 characters from ``at`` on, over line ends, up to ``limit`` of them; and (characters before, place) of each line."""
+    out, lines, n = [], [], 0
+    while m := RUN64.match(text, at):
+        part = m.group(0) if limit is None else m.group(0)[: limit - n]
+        if limit is None and lines and part.startswith(NESTED):
+            break  # a candidate of its own
+        out.append(part)
+        lines.append((n, m.start()))
+        n += len(part)
+        gap = GAP64.match(text, m.end())
+        if n == limit or not gap:
+            break
+        at = gap.end()
+    return "".join(out), lines
+
+
+def ended(text: str, lines: list[tuple[int, int]], size: int) -> int:
+    """Where in the text the first ``size`` bytes of a base64 run end, padding included."""
+    n = -(-size * 4 // 3)
+    before, place = [x for x in lines if x[0] < n][-1]
+    at = place + n - before
+    while n % 4 and at < len(text) and text[at] == "=":
+        n, at = n + 1, at + 1
+    return at
+
+
+def bare_end(text: str, at: int) -> int | None:
+    """Where the key ends that starts as base64 at ``at``: its own lengths say how long it is."""
+    if text.startswith("M", at):
+        data = from_base64(run64(text, at, 16)[0]) or b""
+        k = data[1] & 0x7F if len(data) == 12 and data[1] & 0x80 else 0
+        if len(data) < 12 or k > 4 or data[2 + k : 4 + k] != bytes([INTEGER, 1]):
+            return None  # the version comes first in every key
+        size = 2 + k + (int.from_bytes(data[2 : 2 + k], "big") if k else data[1])
+        n = -(-size * 4 // 3)
+        if n > len(text) - at:
+            return None
+        s, lines = run64(text, at, n)
+        return ended(text, lines, size) if len(s) == n and is_key((from_base64(s) or b"")[:size]) else None
+    s, lines = run64(text, at)
+    data = from_base64(s if len(s) % 4 != 1 else s[:-1]) or b""
+    if text.startswith(NESTED, at):
+        found = [m.end() for m in PEM.finditer(data.decode("latin-1")) if is_pem_key(m)]
+        if not found:
+            return None
+        size = found[-1] + len(data[found[-1] :]) - len(data[found[-1] :].lstrip(b"\r\n"))
+    else:
+        size = ssh_length(data)
+    return ended(text, lines, size) if size else None
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Candidates that decode and parse."""
     out: list[tuple[int, int, str]] = []
     if "-----BEGIN" in text:
-        for m in PEM.finditer(text):
-            # lines with a colon are the headers of an encrypted legacy block
-            lines = m.group(2).strip().splitlines()
-            body = from_base64("".join(x for x in lines if ":" not in x and "," not in x))
-            if is_key(body) or (body and (is_encrypted_der(body) or any("ENCRYPTED" in x for x in lines))):
-                out.append((m.start(), m.end(), "key"))
-    if "M" in text or "b3Blbn" in text:
+        out += [(m.start(), m.end(), "key") for m in PEM.finditer(text) if is_pem_key(m)]
+    if "M" in text or "b3Blbn" in text or NESTED in text:
+        blocks, done = list(out), 0
         for m in BARE64.finditer(text):
-            if not any(a <= m.start() < b for a, b, k in out if k == "key") and is_key(from_base64(m.group(0))):
-                out.append((m.start(), m.start() + len(m.group(0).rstrip()), "key"))
-    if "30" in text:
+            if m.start() < done or any(a <= m.start() < b for a, b, _ in blocks):
+                continue
+            if end := bare_end(text, m.start()):
+                out.append((m.start(), end, "key"))
+                done = end
+    if "30" in text or "763100" in text:
         for m in BAREHEX.finditer(text):
             if is_key(bytes.fromhex(m.group(0))):
                 out.append((m.start(), m.end(), "key"))
