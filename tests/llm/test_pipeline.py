@@ -54,3 +54,20 @@ def test_registered():
     names = set(entry.queries())
     assert {"pipeline"} <= names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
     assert set(entry.oracle_sql()) <= names
+
+
+def test_rows_with_null_or_shared_ids(spark, docs_of, tmp_path):
+    """Verdicts hold for rows: null ids do not save a row, and a row does not go for another one with its id."""
+    item = "On market day the old farmer sold all of the apples to a neighbour who lived behind the mill"
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    text = {k: " ".join(f"{k}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40)) for k in "abc"}
+
+    def left(name, rows):
+        return sorted(((r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)[name](spark, docs_of(rows), str(tmp_path)).collect()), key=repr)
+
+    clean = sorted([(5, text["a"]), (None, text["b"])], key=repr)
+    assert left("quality_rules", [*clean, (5, "too short"), (None, "short")]) == clean
+    assert left("decontaminate", [*clean, (5, item), (None, item)]) == clean
+    # 5 is the smallest id of a's group and a further one of b's; c is only under null ids
+    rows = [(5, text["a"]), (5, text["a"]), (7, text["a"]), (None, text["a"]), (3, text["b"]), (5, text["b"]), (None, text["c"]), (None, text["c"])]
+    assert left("near_dedup", rows) == sorted([(5, text["a"]), (3, text["b"]), (None, text["c"])], key=repr)

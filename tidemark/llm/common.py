@@ -41,9 +41,23 @@ def stage_narrow(df: DataFrame, tag: str) -> DataFrame:
     return stage(df.coalesce(max(8, parts // 8)), tag)
 
 
-def drop_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose doc_id is not among ``ids`` (null ids stay); texts are shuffled only where the ids are proven too many to broadcast."""
-    return docs.join(small_side(ids.distinct(), 16, 64 << 20), "doc_id", "left_anti").select(*docs.columns)
+def with_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written with a key of their own (ids may be null or shared), and the key's column."""
+    key = "row_key"
+    while key in [c.lower() for c in docs.columns]:
+        key += "_"
+    return stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+
+
+def by_key(rows: DataFrame, key: str) -> DataFrame:
+    """The rows with their key in the place of doc_id, for an operator to report on."""
+    return rows.drop("doc_id").withColumnRenamed(key, "doc_id")
+
+
+def drop_rows(rows: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """The rows, without ``key``, whose key is not a doc_id of ``dropped``; texts are shuffled only where these are proven too many to broadcast."""
+    dropped = dropped.select(F.col("doc_id").alias(key)).distinct()
+    return rows.join(small_side(dropped, 16, 64 << 20), key, "left_anti").select(*[c for c in rows.columns if c != key])
 
 
 def utf8(text) -> bytes:

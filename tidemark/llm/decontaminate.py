@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import drop_rows, read, row_cols, small_side, stage
+from tidemark.llm.common import by_key, drop_rows, read, row_cols, small_side, stage, with_key
 
 WINDOW, COVER = 5, 0.8
 PAIRS = "array<struct<kind:string,item:string,doc:string>>"
@@ -242,4 +242,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
-    return drop_rows(docs, findings(docs, read(spark, sf_dir, "benchmark")).select("doc_id"))
+    rows, key = with_key(docs)
+    return drop_rows(rows, key, findings(by_key(rows, key), read(spark, sf_dir, "benchmark")))

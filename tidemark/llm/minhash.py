@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, doc_words, drop_rows, mix64, read, row_cols, seeds, small_side, stage, stage_narrow
+from tidemark.llm.common import by_key, chunks, doc_words, drop_rows, mix64, read, row_cols, seeds, small_side, stage, stage_narrow, with_key
 from tidemark.llm.components import components
 
 SIDE, ROWS = 16, 3
@@ -301,8 +301,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of every group linked by five-word shingles at 0.8, one document stays."""
-    return drop_rows(docs, near_duplicates(docs).filter("NOT kept").select("doc_id"))
+    """Pipeline stage: of every group linked by five-word shingles at 0.8, one row stays:
+    that of the smallest doc_id (null last), of equal ids the first by key."""
+    rows, key = with_key(docs)
+    found = stage_narrow(near_duplicates(by_key(rows, key)).select("doc_id", "component_id", "kept"), "groups")
+    members = found.join(found.filter("NOT kept").select("component_id").distinct(), "component_id").select(F.col("doc_id").alias(key), "component_id")
+    members = stage_narrow(members.join(row_cols(rows, key, "doc_id"), key)
+                           .select("component_id", key, F.struct(F.col("doc_id").isNull(), "doc_id", key).alias("rank")), "members")
+    first = members.groupBy("component_id").agg(F.min("rank").alias("first"))
+    return drop_rows(rows, key, members.join(first, "component_id").filter("NOT rank <=> first").select(F.col(key).alias("doc_id")))
 
 
 ORACLE = r"""

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, doc_words, drop_rows, mix64, read, row_cols, seeds, small_side, stage
+from tidemark.llm.common import by_key, chunks, doc_words, drop_rows, mix64, read, row_cols, seeds, small_side, stage, with_key
 
 #: What counts as a symbol, and white space.
 SYMBOLS = "#*$%&|<>"
@@ -146,7 +146,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules refuse go."""
-    return drop_rows(docs, quality_rules(docs).filter("NOT kept").select("doc_id"))
+    rows, key = with_key(docs)
+    return drop_rows(rows, key, quality_rules(by_key(rows, key)).filter("NOT kept"))
 
 
 ORACLE = r"""
