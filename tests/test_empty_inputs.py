@@ -3,9 +3,9 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 from tests.test_oracle import _rows
+from tidemark.plans import catalog
 from tidemark.sources.tables import INPUT_TABLES, table_path
 
 
@@ -25,10 +25,10 @@ def duck_empty(empty_dir):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_on_empty_inputs(spark, empty_dir, duck_empty, name):
-    df = E.queries()[name](spark, empty_dir)
+    df = catalog.queries()[name](spark, empty_dir)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    cur = duck_empty.execute(E.oracle_sql()[name])
+    cur = duck_empty.execute(catalog.oracle_sql()[name])
     want = _rows([d[0] for d in cur.description], cur.fetchall())
     assert got == want

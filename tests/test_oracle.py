@@ -9,9 +9,10 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tidemark.plans import catalog
 from tidemark.sources.tables import INPUT_TABLES, table_path
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.queries())
 
 
 def _norm(v):
@@ -38,7 +39,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.oracle_sql()) == set(catalog.queries())
+    assert set(catalog.queries()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -50,9 +52,9 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.queries()[name](spark, SF_SMALL)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(catalog.oracle_sql()[name])
     cols = [d[0] for d in cur.description]
     want = _rows(cols, cur.fetchall())
     assert sorted(df.columns) == sorted(cols)
