@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import bpe, decontaminate, licenses, minhash, nbsvm, pitman_yor, quality_rules, secrets, shards, warc
+from tidemark.llm import bpe, decontaminate, fill_middle, licenses, minhash, nbsvm, pitman_yor, quality_rules, secrets, shards, warc
 
 QUERIES = {
     "op1_license_digest": licenses.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_secret_scan": secrets.query,
     "op10_nb_svm": nbsvm.query,
+    "op11_fill_in_middle": fill_middle.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op4_tensored_minhash": minhash.ORACLE,
     "op7_quality_rules": quality_rules.ORACLE,
     "op8_warc": warc.ORACLE,
+    "op11_fill_in_middle": fill_middle.ORACLE,
 }
