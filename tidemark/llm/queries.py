@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import bpe, decontaminate, fill_middle, licenses, minhash, nbsvm, pitman_yor, quality_rules, secrets, shards, warc
+from tidemark.llm import align, bpe, decontaminate, fill_middle, licenses, minhash, nbsvm, pitman_yor, quality_rules, secrets, shards, warc
 
 QUERIES = {
     "op1_license_digest": licenses.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_secret_scan": secrets.query,
     "op10_nb_svm": nbsvm.query,
     "op11_fill_in_middle": fill_middle.query,
+    "op12_token_alignment": align.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
