@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tidemark.llm import align, bpe, decontaminate, fill_middle, licenses, minhash, nbsvm, pitman_yor, quality_rules, secrets, shards, warc
+from tidemark.llm import align, bpe, decontaminate, fill_middle, jaccard_join, licenses, minhash, nbsvm, pitman_yor, quality_rules, secrets, shards, warc
 
 QUERIES = {
     "op1_license_digest": licenses.query,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_nb_svm": nbsvm.query,
     "op11_fill_in_middle": fill_middle.query,
     "op12_token_alignment": align.query,
+    "op13_jaccard_join": jaccard_join.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
@@ -26,4 +27,5 @@ ORACLE = {
     "op7_quality_rules": quality_rules.ORACLE,
     "op8_warc": warc.ORACLE,
     "op11_fill_in_middle": fill_middle.ORACLE,
+    "op13_jaccard_join": jaccard_join.ORACLE,
 }
