@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import random
 
 import pytest
 
@@ -95,6 +96,18 @@ def test_pair_bound(spark, docs_of):
     assert lens[0].min() >= 1
 
 
+def test_ranks_equal_the_tokenizer():
+    """Merging by rank gives the ids of the tokenizer itself, and very long blanks do not reach its pattern."""
+    both = align.pair(*align.default_paths())
+    assert both.ranks is not None
+    texts = [*TEXTS, "a" + " " * 200_000 + "b", "\n" * 50_000, "x" * 100_000, "don't they'll I'VE 123abc!!! \u2003wide\u3000"]
+    rng = random.Random(8)
+    texts += ["".join(chr(rng.choice([rng.randrange(32, 127), rng.randrange(160, 0x2FFF), rng.randrange(0x1F300, 0x1F700), 32, 10])) for _ in range(60)) for _ in range(400)]
+    for t in texts:
+        if t:
+            assert both.a_ids(" " + t) == both.a.encode(" " + t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("size", [1, 3])
 def test_parts_do_not_matter(spark, docs_of, size):
     """However many rows a batch holds, the result is the same."""
