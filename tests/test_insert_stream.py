@@ -1,0 +1,97 @@
+"""The stateful insert-only stream equals the batch form over restarts, replays, old keys and a filled table."""
+
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import dml
+from tidemark.operators.quality import same_rows
+from tidemark.operators.tablelog import LogTable
+from tidemark.schemas import RAW_SESSIONS
+from tidemark.sources import landing
+from tidemark.streaming.insert_stream import run_insert_stream
+
+NOW = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+
+
+def sessions(spark, ids, pages, age):
+    """``age`` days before now for each id."""
+    rows = [(f"s{i:04d}", "c1", "web", "cpc", "x", "desktop", "US", pages, 5, 0, 1, NOW - dt.timedelta(days=age(i)), NOW) for i in ids]
+    return spark.createDataFrame(rows, RAW_SESSIONS)
+
+
+def land(spark, base, run, rows):
+    landing.write_landing(landing.paginate(rows, "sessions", "session_id", 40), f"{base}/landing/run={run:03d}")
+
+
+def as_batch(spark, base):
+    rows = landing.to_raw(landing.read_envelopes(spark, f"{base}/landing/*", "sessions"), "sessions", keep=["landed", "page", "pos"])
+    return dml.first_in_batch(rows, "session_id", ["landed", "page", "pos"]).select(*[f.name for f in RAW_SESSIONS.fields])
+
+
+def run(spark, base, **kw):
+    return run_insert_stream(spark, f"{base}/landing/*", "sessions", f"{base}/ck", f"{base}/t", horizon=dt.timedelta(days=7), buckets=4, **kw)
+
+
+def test_equal_to_batch_over_restarts(spark, scratch):
+    age = lambda i: i % 20                                                     # a third inside the horizon
+    rng = random.Random(3)
+    seen = 0
+    for k, ids in enumerate((range(0, 120), range(80, 200), rng.sample(range(220), 90))):
+        land(spark, scratch, k, sessions(spark, ids, pages=k + 1, age=age))
+        added = run(spark, scratch)                                           # a new query from the checkpoint each time
+        assert added["by_state"] > 0 and added["by_lookup"] > 0
+        seen += sum(added.values())
+        got = LogTable(spark, f"{scratch}/t").read()
+        assert same_rows(got, as_batch(spark, scratch)) and got.count() == seen
+    assert run(spark, scratch) == {"by_state": 0, "by_lookup": 0}              # nothing new
+
+
+def test_keys_inside_the_horizon_are_not_looked_up(spark, scratch, monkeypatch):
+    land(spark, scratch, 0, sessions(spark, range(60), 1, age=lambda i: 1))
+    run(spark, scratch)
+    asked = []
+    real = LogTable.may_hold
+    monkeypatch.setattr(LogTable, "may_hold", lambda self, keys, commit=None: (asked.append(keys.count()), real(self, keys, commit))[1])
+    land(spark, scratch, 1, sessions(spark, range(30, 90), 2, age=lambda i: 1))
+    assert run(spark, scratch) == {"by_state": 30, "by_lookup": 0}
+    assert asked == [0]
+    assert LogTable(spark, f"{scratch}/t").read().where("pageviews = 2").count() == 30
+
+
+def test_a_table_that_had_rows_before_the_stream(spark, scratch):
+    LogTable(spark, f"{scratch}/t", key="session_id", buckets=4).replace(sessions(spark, range(50), 9, age=lambda i: 1))
+    land(spark, scratch, 0, sessions(spark, range(40, 70), 1, age=lambda i: 1))
+    assert run(spark, scratch) == {"by_state": 0, "by_lookup": 20}
+    assert LogTable(spark, f"{scratch}/t").read().where("pageviews = 9").count() == 50
+
+
+def test_a_replayed_batch_is_not_added_twice(spark, scratch, monkeypatch):
+    land(spark, scratch, 0, sessions(spark, range(30), 1, age=lambda i: i % 12))
+    real, calls = LogTable.commit, []
+
+    def stop_after(self, *a, **k):
+        out = real(self, *a, **k)
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("stopped after the table's commit, before the stream's")
+        return out
+
+    monkeypatch.setattr(LogTable, "commit", stop_after)
+    try:
+        run(spark, scratch)
+    except Exception as e:
+        assert "stopped after" in str(e)
+    monkeypatch.undo()
+    run(spark, scratch)
+    got = LogTable(spark, f"{scratch}/t").read()
+    assert got.count() == 30 and got.select("session_id").distinct().count() == 30
+
+
+def test_a_repeated_key_in_one_batch_takes_the_first_arrival(spark, scratch):
+    land(spark, scratch, 0, sessions(spark, range(20), 1, age=lambda i: i))
+    land(spark, scratch, 1, sessions(spark, range(20), 2, age=lambda i: i))
+    run(spark, scratch)
+    got = LogTable(spark, f"{scratch}/t").read()
+    assert got.count() == 20 and got.agg(F.max("pageviews")).first()[0] == 1

@@ -1,105 +1,60 @@
 """Upserts that rewrite only what changes, for very large targets.
 
-``publish`` rewrites a whole table per version.  For large raw tables:
+``publish`` rewrites a whole table per version.  Large raw and staging tables are tables with a
+commit log (``tablelog``) in hash buckets of their key:
 
-* insert-only (``append_new``) reads just the key column of the target and
+* insert-only (``append_new``) reads just the keys of the files that may hold a key of the batch and
   appends the rows with new keys: nothing is rewritten;
-* update (``upsert_buckets``) stores the table partitioned by a hash bucket of
-  the key and rewrites only the buckets the batch touches, with Spark's
-  dynamic partition overwrite.
+* update (``upsert_buckets``) rewrites only the files that may hold a key of the batch.
 
-Both write in place: a reader that lists the folder during the commit can see
-part of the change, which the versioned ``publish`` never shows.
+Each change is one commit: a reader sees all of it or nothing, and two writers cannot undo each other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import dml
-from tidemark.operators.publish import path_exists
+from tidemark.operators.tablelog import DEFAULT_BUCKETS, LogTable
 
-BUCKET = "_bucket_of_"   # the folder column is named with the number of buckets
-DEFAULT_BUCKETS = 1024
+#: Columns whose least and greatest value the log keeps, where a table has them.
+TRACKED = ["updated_at", "created_at", "session_start"]
 
 
-def bucket_of(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+def table(spark: SparkSession, path: str, key: str | None = None, buckets: int | None = None, columns: list[str] | None = None) -> LogTable:
+    return LogTable(spark, path, key, buckets, tracked=[c for c in TRACKED if c in (columns or [])])
 
 
-def bucket_column(spark: SparkSession, path: str) -> str | None:
-    """The stored table's folder column; its name ends with the number of buckets."""
-    if not path_exists(spark, path):
-        return None
-    return next((c for c in spark.read.parquet(path).columns if c.startswith(BUCKET)), None)
+def _columns(batch: DataFrame, order: list[str] | None, columns: list[str] | None) -> list[str]:
+    return columns or [c for c in batch.columns if c not in (order or [])]
 
 
 def append_new(spark: SparkSession, path: str, batch: DataFrame, key: str,
-               order: list[str] | None = dml.ARRIVAL, columns: list[str] | None = None) -> int:
-    """Insert-only: append first arrivals whose key is not in the table yet.
-
-    Returns the number of rows appended (from the write itself).
-    """
-    if order is not None:
-        batch = dml.first_in_batch(batch, key, order)
-    cols = columns or [c for c in batch.columns if c not in (order or [])]
-    new = batch.select(*cols)
-    if path_exists(spark, path):
-        keys = spark.read.parquet(path).select(key)
-        new = new.join(keys, key, "left_anti")
-    from pyspark.sql import Observation
-    obs = Observation("append_new")
-    new.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return obs.get["rows"]
-
-
-def _by_bucket(df: DataFrame, key: str, column: str, files_per_bucket: int) -> DataFrame:
-    """One shuffle so each bucket folder gets ``files_per_bucket`` files
-    (instead of one file per task and bucket)."""
-    sub = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(files_per_bucket))
-    return df.repartition(F.col(column), sub)
+               order: list[str] | None = dml.ARRIVAL, columns: list[str] | None = None,
+               buckets: int | None = None) -> int:
+    """Insert-only: append first arrivals whose key is not in the table yet; returns the number of rows appended."""
+    cols = _columns(batch, order, columns)
+    t = table(spark, path, key, buckets, cols)
+    return t.insert_new(batch.select(*cols, *(order or [])), order).result
 
 
 def upsert_buckets(spark: SparkSession, path: str, batch: DataFrame, key: str, buckets: int = DEFAULT_BUCKETS,
                    order: list[str] | None = dml.ARRIVAL, revive: str | None = None,
-                   columns: list[str] | None = None, files_per_bucket: int = 1) -> list[int]:
-    """Update-or-insert rewriting only the touched hash buckets.
-
-    The touched bucket ids (at most ``buckets`` values) are collected so the
-    target read is pruned to those partition folders.  Returns them.  Choose
-    ``buckets`` so one bucket is a few GB; a batch of scattered keys touches
-    most buckets, so this pays off when batches are small next to the table.
-    """
-    if order is not None:
-        batch = dml.last_in_batch(batch, key, order)
-    if revive:
-        batch = batch.withColumn(revive, F.lit(False))
-    cols = columns or [c for c in batch.columns if c not in (order or [])]
-    column, stored = f"{BUCKET}{buckets}", bucket_column(spark, path)
-    if stored is not None and stored != column:
-        raise ValueError(f"{path} has {stored.removeprefix(BUCKET)} buckets, not {buckets}")
-    batch = batch.select(*cols).withColumn(column, bucket_of(key, buckets))
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if stored is None:
-        _by_bucket(batch, key, column, files_per_bucket).write.partitionBy(column).parquet(path)
-        return sorted(r[0] for r in spark.read.parquet(path).select(column).distinct().collect())
-    touched = sorted(r[0] for r in batch.select(column).distinct().collect())
-    target = spark.read.parquet(path).where(F.col(column).isin(touched))
-    out = dml.upsert(target, batch, key, on_match="update", order=None)
-    (_by_bucket(out, key, column, files_per_bucket).write.mode("overwrite").options(**writer_opts)
-        .partitionBy(column).parquet(path))
-    return touched
+                   columns: list[str] | None = None, files_per_bucket: int = 1) -> list[str]:
+    """Update-or-insert rewriting only the files that may hold a key of the batch; returns their names.
+
+    Choose ``buckets`` so that a bucket is a few GB; another number than the stored one is refused."""
+    cols = _columns(batch, order, columns)
+    t = table(spark, path, key, buckets, cols)
+    return t.upsert(batch.select(*cols, *(order or [])), order, revive, files_per_bucket=files_per_bucket).result
 
 
 def write_bucketed(df: DataFrame, path: str, key: str, buckets: int = DEFAULT_BUCKETS,
                    files_per_bucket: int = 1) -> None:
     """Replace the whole table, laid out in hash buckets of the key."""
-    column = f"{BUCKET}{buckets}"
-    out = df.withColumn(column, bucket_of(key, buckets))
-    _by_bucket(out, key, column, files_per_bucket).write.mode("overwrite").partitionBy(column).parquet(path)
+    table(df.sparkSession, path, key, buckets, df.columns).replace(df, files_per_bucket=files_per_bucket)
 
 
-def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.drop(*[c for c in df.columns if c.startswith(BUCKET)])
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table's last state; None where nothing was committed."""
+    return LogTable(spark, path).read()

@@ -2,7 +2,8 @@
 
 ``publish`` writes the whole new table to ``<root>/<name>/v=<n>``; readers take
 the highest version that finished (has ``_SUCCESS``), so a half-written
-version is never read and the previous one stays for rollback.  Works on any
+version is never read and the previous one stays for rollback.  A writer claims its
+version number first, so that two writers never write one folder.  Works on any
 Hadoop file system (HDFS, object stores).
 """
 
@@ -12,18 +13,13 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-_V = re.compile(r"^v=(\d+)$")
-
+from tidemark.operators.files import file_system as _fs
+from tidemark.operators.files import path_exists, put_if_absent
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+__all__ = ["path_exists", "versions", "version_path", "publish", "current", "retain", "qualified", "ensure_layers", "ensure_table",
+           "table_exists", "register", "LAYERS"]
 
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+_V = re.compile(r"^v=(\d+)$")
 
 
 def versions(spark: SparkSession, root: str, name: str, finished: bool = True) -> list[int]:
@@ -45,6 +41,15 @@ def version_path(root: str, name: str, v: int) -> str:
     return f"{root.rstrip('/')}/{name}/v={v:06d}"
 
 
+def claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next version number, past every attempt, finished or not (a crashed write stays unread), for this writer alone."""
+    vs = versions(spark, root, name, finished=False)
+    v = vs[-1] + 1 if vs else 1
+    while not put_if_absent(spark, f"{root.rstrip('/')}/{name}/_claims/{v:06d}", ""):
+        v += 1
+    return v
+
+
 def publish(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None,
             cluster_by: str | None = None) -> str:
     """Write ``df`` as the next version of ``name``; returns its path.
@@ -53,10 +58,7 @@ def publish(df: DataFrame, root: str, name: str, partition_by: list[str] | None
     extra shuffle), so Parquet row-group min/max statistics let time-range
     reads skip most of the file -- the role of a time index.
     """
-    spark = df.sparkSession
-    # Number past every attempt, finished or not: a crashed write stays unread.
-    vs = versions(spark, root, name, finished=False)
-    path = version_path(root, name, (vs[-1] + 1) if vs else 1)
+    path = version_path(root, name, claim_version(df.sparkSession, root, name))
     if cluster_by:
         df = df.sortWithinPartitions(cluster_by)
     w = df.write.mode("errorifexists")

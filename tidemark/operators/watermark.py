@@ -86,7 +86,9 @@ def incremental(source: DataFrame, target: DataFrame | None, ts: str = "updated_
     pushed into the Parquet scan.  A missing or empty target loads everything.
     Rows at or below the mark are skipped (late rows are not picked up).
     """
-    mark = target_mark(target, ts)
-    if mark is None:
-        return source
-    return source.where(F.col(ts) > mark_lit(mark))
+    return newer_than(source, target_mark(target, ts), ts)
+
+
+def newer_than(source: DataFrame, mark, ts: str = "updated_at") -> DataFrame:
+    """Rows of ``source`` past the mark; all of them without one (a missing or empty target)."""
+    return source if mark is None else source.where(F.col(ts) > mark_lit(mark))

@@ -21,13 +21,13 @@ def _model(name: str) -> Query:
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _model(name) for name in MODEL_NAMES}
-    from tidemark.plans import operator_queries
+    from tidemark.plans import operator_queries, sink_queries  # noqa: F401  (sink_queries adds its own to them)
     out.update(operator_queries.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = {name: oracle.sql_for(name) for name in MODEL_NAMES}
-    from tidemark.plans import operator_queries
+    from tidemark.plans import operator_queries, sink_queries  # noqa: F401
     out.update(operator_queries.ORACLE)
     return out

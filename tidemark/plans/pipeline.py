@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import STALE_DAYS
 from tidemark.operators import dml, inplace
-from tidemark.operators.publish import current, path_exists, publish, retain, version_path, versions
+from tidemark.operators.publish import current, publish, retain, version_path, versions
 from tidemark.operators.quality import require_key
-from tidemark.operators.watermark import default_mark, get_watermark, incremental, mark_lit, set_watermark
+from tidemark.operators.watermark import default_mark, get_watermark, incremental, mark_lit, newer_than, set_watermark
 from tidemark.plans import dims, facts, marts, staging
 from tidemark.schemas import KEYS, RAW
 from tidemark.session import configure
@@ -80,24 +80,22 @@ def raw_path(root: str, entity: str) -> str:
 def read_raw(spark: SparkSession, root: str, entity: str, in_place: bool = False) -> DataFrame | None:
     if not in_place:
         return current(spark, f"{root}/raw", entity)
-    path = raw_path(root, entity)
-    if not path_exists(spark, path):
-        return None
-    return inplace.read_bucketed(spark, path).select(*[f.name for f in RAW[entity].fields])
+    rows = inplace.read_bucketed(spark, raw_path(root, entity))
+    return rows.select(*[f.name for f in RAW[entity].fields]) if rows is not None else None
 
 
 def upsert_raw_in_place(spark: SparkSession, root: str, entity: str, batch: DataFrame,
                         buckets: int = inplace.DEFAULT_BUCKETS) -> tuple[str, dict]:
-    """Large-table form: sessions append new keys only; customers and payments
-    rewrite only the hash buckets the batch touches."""
+    """Large-table form, one commit: sessions append new keys only; customers and payments
+    rewrite only the files that may hold a key of the batch."""
     path = raw_path(root, entity)
     key = KEYS[entity]
     batch = require_key(batch, key)
     if RAW_MODE[entity] == "nothing":
-        return path, {"appended_rows": inplace.append_new(spark, path, batch, key, order=BRONZE_ORDER)}
-    touched = inplace.upsert_buckets(spark, path, batch, key, buckets=buckets, order=BRONZE_ORDER,
+        return path, {"appended_rows": inplace.append_new(spark, path, batch, key, order=BRONZE_ORDER, buckets=buckets)}
+    opened = inplace.upsert_buckets(spark, path, batch, key, buckets=buckets, order=BRONZE_ORDER,
                                      revive="is_deleted" if entity == "customers" else None)
-    return path, {"touched_buckets": len(touched)}
+    return path, {"opened_files": len(opened)}
 
 
 def soft_delete_raw(spark: SparkSession, root: str, as_of: dt.datetime, in_place: bool = False,
@@ -159,8 +157,7 @@ def apply_bronze(spark: SparkSession, root: str, entity: str, in_place: bool = F
 def read_staging(spark: SparkSession, root: str, name: str, in_place: bool = False) -> DataFrame | None:
     if not in_place:
         return current(spark, f"{root}/staging", name)
-    path = f"{root.rstrip('/')}/staging/{name}"
-    return inplace.read_bucketed(spark, path) if path_exists(spark, path) else None
+    return inplace.read_bucketed(spark, f"{root.rstrip('/')}/staging/{name}")
 
 
 def read_staging_or_empty(spark: SparkSession, root: str, entity: str, in_place: bool = False) -> DataFrame:
@@ -174,21 +171,27 @@ def refresh_staging(spark: SparkSession, root: str, entity: str, full_refresh: b
     """Incremental staging: rows newer than the staging max, merged on the key.
 
     Every non-key column is a merge column, so the merge is a keyed replace;
-    in place it rewrites only the hash buckets of the new rows.
+    in place it rewrites only the files that may hold a key of the new rows.
     """
     raw = read_raw(spark, root, entity, in_place)
     name = f"stg_{entity}"
     if raw is None:
         return None   # nothing has landed for this entity yet
     target = None if full_refresh else read_staging(spark, root, name, in_place)
-    new = staging.STAGING[entity](incremental(raw, target, "updated_at"))
+    if in_place and target is not None:
+        # the newest time stands in the commit log: no job on the target
+        mark = inplace.table(spark, f"{root.rstrip('/')}/staging/{name}").mark("updated_at")
+        rows = newer_than(raw, mark, "updated_at")
+    else:
+        rows = incremental(raw, target, "updated_at")
+    new = staging.STAGING[entity](rows)
     if target is not None and new.isEmpty():
         # nothing newer than the staging max: keep the current table as it is
         return f"{root.rstrip('/')}/staging/{name}" if in_place else \
             version_path(f"{root}/staging", name, versions(spark, f"{root}/staging", name)[-1])
     if in_place:
         path = f"{root.rstrip('/')}/staging/{name}"
-        if full_refresh and path_exists(spark, path):
+        if full_refresh:
             inplace.write_bucketed(new, path, KEYS[entity], buckets)
         else:
             inplace.upsert_buckets(spark, path, new, KEYS[entity], buckets=buckets, order=None)

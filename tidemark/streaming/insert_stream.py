@@ -1,0 +1,103 @@
+"""Insert-only landing as a stateful stream: keys in keyed state, older keys in the table's key filters.
+
+``run_stream`` looks every batch's keys up in the target.  Here keyed state holds the keys that arrived within the
+last ``horizon``.  A row is never seen before its own time, so a row whose time lies inside the horizon is known to be
+new or not from the state alone.  Rows that are older, whose state may be gone, go through the key filters of the table,
+which open only files that may hold them; so do rows from before the stream began on a table that had rows already.
+No row is dropped for being late.
+
+The commit of a micro-batch carries its number, so a batch that is replayed after a stop is not added twice.  While a
+stream runs, nothing else inserts keys into its table.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from tidemark.operators import dml
+from tidemark.operators.tablelog import Change, Commit, LogTable
+from tidemark.schemas import KEYS, RAW
+from tidemark.session import configure, stage
+from tidemark.sources.landing import read_envelopes, to_raw
+
+ORDER = ["landed", "page", "pos"]
+EVENT_TIME = {"sessions": "session_start", "payments": "created_at", "customers": "signup_date"}
+
+
+def _first_seen(horizon_ms: int):
+    """Per key: the first arrival where the state has none, and whether the state answers for it."""
+    def run(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(frames), ignore_index=True)        # arrivals of one key in one batch
+        if state.exists:
+            return
+        first = rows.sort_values(ORDER, kind="stable").head(1).copy()
+        now, at = state.getCurrentProcessingTimeMs(), first["_event_ms"].iloc[0]
+        covered = not pd.isna(at) and at >= now - horizon_ms
+        first["_covered"] = bool(covered)
+        if covered:
+            state.update((True,))
+            state.setTimeoutDuration(horizon_ms + max(int(at) - now, 0) + 1)
+        yield first
+
+    return run
+
+
+def run_insert_stream(spark: SparkSession, landing_path: str, entity: str, checkpoint: str, path: str, horizon: dt.timedelta = dt.timedelta(days=7),
+                      buckets: int | None = None, max_files_per_trigger: int | None = None, stream_id: str = "insert") -> dict[str, int]:
+    """Processes everything landed so far, then stops; returns rows added by state and by lookup.
+
+    The first arrival of a key stays, as in the batch form; ``path`` is a log table keyed by the entity's key."""
+    configure(spark)
+    key, event = KEYS[entity], EVENT_TIME[entity]
+    horizon_ms = int(horizon.total_seconds() * 1000)
+    rows = to_raw(read_envelopes(spark, landing_path, entity, stream=True, max_files_per_trigger=max_files_per_trigger), entity, keep=ORDER)
+    began_at = int(dt.datetime.now(dt.timezone.utc).timestamp() * 1000)
+    timed = rows.withColumn("_event", F.col(event).cast("timestamp")).withColumn("_event_ms", F.unix_millis("_event"))
+    schema = T.StructType([f for f in RAW[entity].fields] + [T.StructField("landed", T.StringType()), T.StructField("page", T.IntegerType()),
+                          T.StructField("pos", T.IntegerType()), T.StructField("_event_ms", T.LongType()), T.StructField("_covered", T.BooleanType())])
+    fresh = (timed.drop("_event").groupBy(key)
+             .applyInPandasWithState(_first_seen(horizon_ms), schema, "seen boolean", "append", GroupStateTimeout.ProcessingTimeTimeout))
+    added = {"by_state": 0, "by_lookup": 0}
+
+    def commit(batch: DataFrame, epoch: int) -> None:
+        table = LogTable(spark, path, key=key, buckets=buckets, tracked=[event, "updated_at"])
+        last = table.latest()
+        info = last.info if last is not None else {}
+        if info.get(f"{stream_id}.epoch", -1) >= epoch:
+            return                                                # replayed: the table has this batch
+        # on a table that had no rows the state answers for all times, else for those since the stream's first run
+        began = info.get(f"{stream_id}.began", began_at if last is not None and last.rows else 0)
+        cols = [f.name for f in RAW[entity].fields]
+        batch = stage(batch, "epoch").withColumn("_sure", F.col("_covered") & (F.col("_event_ms") >= F.lit(began)))
+        sure = batch.where("_sure").select(*cols)
+        rest = dml.first_in_batch(batch.where(~F.coalesce("_sure", F.lit(False))).select(*cols, *ORDER), key, ORDER).select(*cols)
+        rest = stage(rest, "older")
+
+        def build(state: Commit | None) -> Change | None:
+            if state is not None and state.info.get(f"{stream_id}.epoch", -1) >= epoch:
+                return None
+            kind = state.schema if state else sure.schema
+            met = table.may_hold(rest, state)
+            old = rest if not met else rest.join(table.read_files(met, kind).select(key), key, "left_anti")
+            by_state, by_lookup = sure.count(), old.count()
+            name = table.write_rows(sure.unionByName(old.select(*cols)).select(*kind.names)) if by_state + by_lookup else None
+            return Change("stream", kind, name, info={f"{stream_id}.epoch": epoch, f"{stream_id}.began": began}, result=(by_state, by_lookup))
+
+        done = table.commit(build)
+        if done:
+            added["by_state"] += done.result[0]
+            added["by_lookup"] += done.result[1]
+
+    q = (fresh.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return added

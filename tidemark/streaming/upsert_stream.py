@@ -26,8 +26,8 @@ def run_stream(spark: SparkSession, landing_path: str, entity: str, checkpoint:
     """Process everything landed so far, then stop (``availableNow``).
 
     ``in_place=False`` publishes a new version of the whole table per batch;
-    ``in_place=True`` appends new keys (insert-only) or rewrites only the
-    touched hash buckets (update) of ``<table_root>/<entity>``.
+    ``in_place=True`` commits new keys (insert-only) or rewrites only the files that may hold a
+    key of the batch (update) of ``<table_root>/<entity>``.
     ``max_files_per_trigger`` bounds the landed files per micro-batch
     (``availableNow`` then runs several batches).
     Returns the ids of the micro-batches that ran.
@@ -43,7 +43,7 @@ def run_stream(spark: SparkSession, landing_path: str, entity: str, checkpoint:
         if in_place:
             path = f"{table_root.rstrip('/')}/{entity}"
             if mode == "nothing":
-                inplace.append_new(spark, path, typed, key, order=ORDER)
+                inplace.append_new(spark, path, typed, key, order=ORDER, buckets=buckets)
             else:
                 inplace.upsert_buckets(spark, path, typed, key, buckets=buckets, order=ORDER,
                                        revive="is_deleted" if entity == "customers" else None)
