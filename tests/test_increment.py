@@ -40,6 +40,8 @@ def stage_rows(spark, entity, rows):
 def warehouse(spark, scratch):
     keys = {"customers": "customer_id", "payments": "payment_id", "sessions": "session_id"}
     tables = {e: LogTable(spark, f"{scratch}/staging/stg_{e}", key=k, buckets=4, tracked=["updated_at"]) for e, k in keys.items()}
+    for e, t in tables.items():
+        t.upsert(stage_rows(spark, e, []), order=None)          # nothing staged yet
     return scratch, tables, lambda e, rows: tables[e].upsert(stage_rows(spark, e, rows), order=None)
 
 

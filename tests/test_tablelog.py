@@ -110,7 +110,7 @@ def test_crashed_write_is_not_read_and_swept(spark, scratch):
 
 
 def test_one_day_opens_the_files_of_that_day(spark, scratch):
-    t = LogTable(spark, f"{scratch}/c", cluster="ts")
+    t = LogTable(spark, f"{scratch}/c", cluster="ts", by_day=True)
     t.append(rows(spark, 0, 2400))
     t.append(rows(spark, 2400, 4800))
     lo = START + dt.timedelta(days=3)

@@ -17,7 +17,7 @@ What the manifests hold per data file:
   average; a key sets four bits of one word, so the test is an equi-join on (file, word).
 
 Layouts: a keyed table lies in hash buckets of its key, so that a key is tested against the files of
-its bucket only; a clustered table lies in ranges of a time column, cut at days.
+its bucket only; a clustered table lies in ranges of a time column, on request cut at days.
 """
 
 from __future__ import annotations
@@ -109,15 +109,15 @@ class LogTable:
     """A table with a commit log at ``path`` (any Hadoop file system).
 
     ``key`` and ``buckets``: hash layout with key filters; or ``cluster``: a time column whose ranges
-    the files hold.  ``tracked`` columns get file statistics and marks (``cluster`` always does).
+    the files hold (``by_day``: cut at days too, for tables of large days).  ``tracked`` columns get file statistics and marks (``cluster`` always does).
     A table that exists keeps the layout it was made with; another one is refused.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str | None = None, buckets: int | None = None,
-                 cluster: str | None = None, tracked: list[str] | None = None):
+                 cluster: str | None = None, tracked: list[str] | None = None, by_day: bool = False):
         if key and cluster:
             raise ValueError("a table lies in buckets of its key or in ranges of a time, not both")
-        self.spark, self.path = spark, path.rstrip("/")
+        self.spark, self.path, self.by_day = spark, path.rstrip("/"), by_day
         last = self.latest()
         if last is not None:
             if buckets and last.buckets and buckets != last.buckets:
@@ -263,8 +263,9 @@ class LogTable:
             spread = F.pmod(F.xxhash64(F.col(self.key), F.lit(7)), F.lit(files_per_bucket))
             out, by = df.withColumn(column, self._bucket(F.col(self.key))).repartition(F.col(column), spread), [column]
         elif self.cluster:
-            out = df.withColumn(DAY, F.to_date(self.cluster))
-            out, by = out.repartitionByRange(F.col(self.cluster)).sortWithinPartitions(self.cluster), [DAY]
+            out, by = df.repartitionByRange(F.col(self.cluster)).sortWithinPartitions(self.cluster), []
+            if self.by_day:
+                out, by = out.withColumn(DAY, F.to_date(self.cluster)), [DAY]
         else:
             out, by = df, []
         out.write.partitionBy(*by).parquet(f"{self.path}/{name}")

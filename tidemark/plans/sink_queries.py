@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import dml
-from tidemark.operators import publish as pub
 from tidemark.operators.keyindex import KeyIndex
+from tidemark.operators.publish import current, ensure_layers, ensure_table, publish, qualified, register, table_exists, versions
 from tidemark.operators.tablelog import LogTable
 from tidemark.operators.watermark import default_mark, get_watermark, mark_lit, newer_than, next_mark, set_watermark, updated_since
 from tidemark.plans import pipeline, sketches, staging
@@ -91,8 +91,8 @@ def publish_roundtrip(spark, sf_dir):
     raw, root = Build(spark, sf_dir).raw_payments, scratch_path(spark, "publish")
     cut = mark_lit(PAYMENTS_CUT)
     for part in (raw.where(F.col("updated_at") <= cut), raw.where(F.col("updated_at") > cut)):
-        pub.publish(part, root, "payments", cluster_by="created_at")
-    return pub.current(spark, root, "payments", RAW_PAYMENTS).withColumn("versions", F.lit(len(pub.versions(spark, root, "payments"))).cast("long"))
+        publish(part, root, "payments", cluster_by="created_at")
+    return current(spark, root, "payments", RAW_PAYMENTS).withColumn("versions", F.lit(len(versions(spark, root, "payments"))).cast("long"))
 
 
 @query("catalog_roundtrip", with_models(["raw_customers"], """
@@ -101,15 +101,15 @@ SELECT *, false AS existed, true AS exists_empty, CAST(0 AS BIGINT) AS empty_row
 def catalog_roundtrip(spark, sf_dir):
     """Layer made if missing, empty typed table made if missing, filled by a publish, read by its routed name."""
     layer, root = f"raw_{uuid.uuid4().hex[:12]}", scratch_path(spark, "catalog")
-    pub.ensure_layers(spark, root, [layer])
-    existed = pub.table_exists(spark, f"{root}/{layer}", "customers")
-    pub.ensure_table(spark, f"{root}/{layer}", "customers", RAW["customers"])
-    made = pub.table_exists(spark, f"{root}/{layer}", "customers")
-    pub.register(spark, root, layer, "customers")
-    empty_rows = spark.table(pub.qualified("customers", layer, "public")).count()
-    pub.publish(Build(spark, sf_dir).raw_customers, f"{root}/{layer}", "customers")
-    pub.register(spark, root, layer, "customers")
-    return spark.table(pub.qualified("customers", None, layer)).withColumns(
+    ensure_layers(spark, root, [layer])
+    existed = table_exists(spark, f"{root}/{layer}", "customers")
+    ensure_table(spark, f"{root}/{layer}", "customers", RAW["customers"])
+    made = table_exists(spark, f"{root}/{layer}", "customers")
+    register(spark, root, layer, "customers")
+    empty_rows = spark.table(qualified("customers", layer, "public")).count()
+    publish(Build(spark, sf_dir).raw_customers, f"{root}/{layer}", "customers")
+    register(spark, root, layer, "customers")
+    return spark.table(qualified("customers", None, layer)).withColumns(
         {"existed": F.lit(existed), "exists_empty": F.lit(made), "empty_rows": F.lit(empty_rows).cast("long")})
 
 
