@@ -19,7 +19,7 @@ from tidemark.operators.watermark import default_mark, get_watermark, mark_lit,
 from tidemark.plans import pipeline, sketches, staging
 from tidemark.plans.gold import Build
 from tidemark.plans.operator_queries import (AS_OF, CUSTOMER_BATCH_SQL, CUSTOMER_ORDER, LAST_CUSTOMER_SQL, LATER_COPY_DAYS, OLD_MARK, ORACLE, PAGE, PAGE_SIZE,
-                                             PAYMENTS_CUT, SESSIONS_CUT, STALE_DAYS, _later_copy, _ts_sql, customer_batch, query, refund_batch)
+                                             PAYMENTS_CUT, SESSIONS_CUT, STALE_DAYS, _later_copy, _ts_sql, customer_batch, query)
 from tidemark.plans.oracle import with_models
 from tidemark.schemas import KEYS, RAW, RAW_PAYMENTS
 from tidemark.session import scratch_path
@@ -28,7 +28,6 @@ from tidemark.sources import landing, quarantine
 BUCKETS = 16
 DAY = dt.datetime(1996, 3, 1)                    # the day that a time slice reads
 DAYS = 31
-HORIZON = dt.timedelta(days=365 * 200)           # keys of all times are kept in state
 
 
 def log_table(spark: SparkSession, tag: str, **layout) -> LogTable:
@@ -203,81 +202,6 @@ def mark_after_soft_delete(spark, sf_dir):
                        F.lit(c.rows).cast("long").alias("n_rows"))
 
 
-# --- AGG1-AGG6, SNK4: aggregates from changes -----------------------------------------------------
-def changed_staging(spark: SparkSession, sf_dir: str):
-    """Staging in log tables through three runs: the first halves; the rest, refunds re-sent and sessions sent
-    again; then every fiftieth payment and session and every tenth customer removed.  Yields after each run."""
-    from tidemark.plans.increment import IncrementalGold
-
-    b, root, cut = Build(spark, sf_dir), scratch_path(spark, "gold"), mark_lit(PAYMENTS_CUT)
-    t = {e: LogTable(spark, f"{root}/staging/stg_{e}", key=k, buckets=BUCKETS) for e, k in KEYS.items()}
-    pay, ses, cust = b._stg_payments, b.stg_sessions, b.stg_customers
-    gold = IncrementalGold(spark, root, buckets=BUCKETS)
-    number = lambda c: F.col(c).cast("long")
-    t["customers"].replace(cust.where(number("customer_id") % 4 != 0))
-    t["payments"].replace(pay.where(F.col("updated_at") <= cut))
-    t["sessions"].replace(ses.where(F.col("session_start") <= mark_lit(SESSIONS_CUT)))
-    gold.apply()
-    t["customers"].upsert(cust.where(number("customer_id") % 4 == 0), order=None)
-    t["payments"].upsert(pay.where((F.col("updated_at") > cut) & (F.col("status") != "refunded")).unionByName(refund_batch(pay)), order=None)
-    t["sessions"].upsert(ses.withColumn("pageviews", F.col("pageviews") + 1).where(F.col("session_start") > mark_lit(SESSIONS_CUT)), order=None)
-    gold.apply()
-    for e, k, step in (("customers", "customer_id", 10), ("payments", "payment_id", 50), ("sessions", "session_id", 50)):
-        t[e].delete(number(k) % step == 0)
-    gold.apply()
-    return gold
-
-
-CHANGED_SQL = f"""
-p AS (SELECT * EXCLUDE (net_revenue), CASE WHEN status = 'refunded' THEN CAST(-coalesce(fee, 0) AS DECIMAL(18,2)) ELSE net_revenue END AS net_revenue
-      FROM stg_payments WHERE CAST(payment_id AS BIGINT) % 50 <> 0),
-s AS (SELECT * EXCLUDE (pageviews), CASE WHEN session_start > {_ts_sql(SESSIONS_CUT)} THEN pageviews + 1 ELSE pageviews END AS pageviews
-      FROM stg_sessions WHERE CAST(session_id AS BIGINT) % 50 <> 0),
-c AS (SELECT * FROM stg_customers WHERE CAST(customer_id AS BIGINT) % 10 <> 0)"""
-
-
-def changed_sql(body: str) -> str:
-    models = with_models(["stg_payments", "stg_sessions", "stg_customers"], "SELECT 1").rstrip()
-    head = models[: models.rindex("SELECT 1")].rstrip()
-    return f"{head}, {CHANGED_SQL}\n{body}"
-
-
-@query("incremental_payments_daily", changed_sql("""
-SELECT order_day, product, country, CAST(sum(net_revenue) AS DECIMAL(28,2)) AS total_net_revenue, CAST(sum(amount) AS DECIMAL(28,2)) AS total_amount,
-       CAST(count(*) AS BIGINT) AS total_orders, CAST(count(DISTINCT c.customer_id) AS BIGINT) AS active_customers
-FROM (SELECT order_day, product, p.country, net_revenue, amount, customer_id FROM p) q LEFT JOIN (SELECT customer_id FROM c) c USING (customer_id)
-GROUP BY order_day, product, country
-"""))
-def incremental_payments_daily(spark, sf_dir):
-    """Daily payments after three runs of changes, never rebuilt."""
-    return changed_staging(spark, sf_dir).payments_by_group()
-
-
-@query("incremental_sessions_daily", changed_sql("""
-SELECT session_day, device, country, CAST(count(*) AS BIGINT) AS total_sessions, CAST(sum(pageviews) AS BIGINT) AS total_pageviews,
-       avg(session_duration_s) AS avg_session_duration_s, avg(CAST(bounced AS INTEGER)) AS bounce_rate, avg(CAST(converted AS INTEGER)) AS conversion_rate
-FROM s GROUP BY session_day, device, country
-"""))
-def incremental_sessions_daily(spark, sf_dir):
-    """Daily sessions after three runs of changes, never rebuilt."""
-    return changed_staging(spark, sf_dir).sessions_by_group()
-
-
-@query("incremental_customer_totals", changed_sql("""
-SELECT c.customer_id, CAST(coalesce(orders, 0) AS BIGINT) AS total_orders, CAST(revenue AS DECIMAL(28,2)) AS total_revenue, last_session,
-       CAST(coalesce(visits, 0) AS BIGINT) AS total_sessions
-FROM c LEFT JOIN (SELECT customer_id, count(*) AS orders, sum(net_revenue) AS revenue FROM p GROUP BY 1) a USING (customer_id)
-LEFT JOIN (SELECT customer_id, count(*) AS visits, max(session_start) AS last_session FROM s GROUP BY 1) b USING (customer_id)
-"""))
-def incremental_customer_totals(spark, sf_dir):
-    """Totals of every customer after three runs of changes, never rebuilt."""
-    gold = changed_staging(spark, sf_dir)
-    cust = gold.staging["customers"].read()
-    # the key stands for itself here: surrogate keys are tested in tests/test_increment.py
-    return gold.agg_customer_summary(cust.withColumn("customer_key", F.col("customer_id"))).select(
-        F.col("customer_key").alias("customer_id"), "total_orders", "total_revenue", "last_session", "total_sessions")
-
-
 # --- WIN1, SRC6, LIM1: keys and pages from ranges with counts -----------------------------------------
 @query("keys_over_runs", with_models(["dim_customer"], "SELECT * FROM dim_customer"))
 def keys_over_runs(spark, sf_dir):
@@ -347,19 +271,3 @@ def quarantine_payments(spark, sf_dir):
     repaired = quarantine.read_good(spark, path, again["run"], "payments").select("payment_id", "created_at")
     set_aside = rejected.select("payment_id", F.lit("rejected").alias("outcome"), F.col("_problems")[0]["column"].alias("problem_column"), F.col("_problems")[0]["reason"].alias("reason"))
     return good.unionByName(set_aside.join(repaired, "payment_id", "left"))
-
-
-# --- STR1, DML2: keyed state ----------------------------------------------------------------------------------
-@query("insert_stream_sessions", ORACLE["landing_two_runs_sessions"])
-def insert_stream_sessions(spark, sf_dir):
-    """Run 9 lands three quarters of the sessions with another count, run 10 all as they are; each is streamed in a
-    query of its own, insert-only, with the keys in state."""
-    from tidemark.streaming.insert_stream import run_insert_stream
-
-    raw, base = Build(spark, sf_dir).raw_sessions, scratch_path(spark, "insert-stream")
-    changed = raw.withColumn("pageviews", F.col("pageviews") + 1).where(F.col("session_id").cast("long") % 4 != 0)
-    for i, rows in ((9, changed), (10, raw)):
-        landing.write_landing(landing.paginate(rows, "sessions", "session_id"), f"{base}/landing/run={i}")
-        run_insert_stream(spark, f"{base}/landing/*", "sessions", f"{base}/checkpoint", f"{base}/raw", horizon=HORIZON, buckets=BUCKETS)
-    found = LogTable(spark, f"{base}/raw").read()
-    return found if found is not None else raw.limit(0)
