@@ -5,13 +5,17 @@ method adds spans only after decoding a candidate and parsing its structure:
 
 * ``key``    a PEM block, bare base64 or hex that decodes to a DER private key
              (nested lengths of the outer sequence and of every field must fit,
-             leading fields must be those of PKCS#1, PKCS#8 or SEC1) or to the
-             OpenSSH container (its length-prefixed names must fit);
+             leading fields must be those of PKCS#1, PKCS#8 or SEC1), to the
+             OpenSSH container (its length-prefixed names must fit) or, in its own
+             armour, to a PGP secret key packet;
 * ``token``  a signed token: header and payload segments decode to JSON
              objects, the header names an algorithm, a signature follows.
 
+A candidate is read at the places that its own lengths name, never to the end of the text, so
+markers that repeat all over a long text cost no more than the text.
+
 Offsets are code points, ends exclusive.  One text is scanned in one task, with
-memory in proportion to that text.  Defined cases: null or empty text has no
+time and memory in proportion to that text.  Defined cases: null or empty text has no
 spans; repeated rows are scanned one by one and all returned; an empty table
 gives an empty result; other columns are ignored.
 """
@@ -23,6 +27,7 @@ import binascii
 import hashlib
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,11 +42,15 @@ KINDS = ("assign", "access", "hex", "key", "token")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a run of 16 or more is the same match as a maximal run that is then measured
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,\\-]*?)-----END \1-----")
+MARKER = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?)-----")
+NOT_BODY = re.compile(r"[^A-Za-z0-9+/=\s:,.()\\-]")
+#: Lines of an armoured body that are no base64: headers, and the checksum.
+ARMOUR = re.compile(r"[:,()]|^=[A-Za-z0-9+/]{4}$")
 #: Bare candidates: base64 that starts as a DER sequence, the OpenSSH magic or a PEM block would, also after a written \n; hex alike.
 BARE64 = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=\\n)|(?<=\\r))(?:M[A-P]|b3BlbnNzaC1rZXk|LS0tLS1CRUdJTi)")
 RUN64 = re.compile(r"[A-Za-z0-9+/_-]+")
 GAP64 = re.compile(r"(?:\r\n?|\n|(?:\\+r)?\\+n|\\+r)[ \t]*")
+RUN_OR_GAP = re.compile(f"(?P<gap>{GAP64.pattern})|{RUN64.pattern}")
 BAREHEX = re.compile(r"(?<![0-9A-Za-z])(?:30[0-9a-fA-F]{2}|6[fF]70656[eE]7373682[dD]6[bB]65792[dD]763100)(?:[0-9a-fA-F]{2}){30,}(?![0-9A-Za-z])")
 NESTED = "LS0tLS1CRUdJTi"
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(e[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{16,})")
@@ -49,6 +58,8 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(e[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})
 #: DER tags and the algorithm identifiers' common prefixes.
 SEQUENCE, INTEGER, OCTETS = 0x30, 0x02, 0x04
 SSH_MAGIC = b"openssh-key-v1\0"
+#: Most fields of any known form of DER key, and keys that a container is read for (its writers put one in).
+DER_FIELDS, SSH_KEYS = 12, 16
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -75,10 +86,11 @@ def _tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
 
 
 def _fields(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The values between ``at`` and ``end``; None where one does not fit, or there are more than a key has."""
     out = []
     while at < end:
         v = _tlv(data, at, end)
-        if v is None:
+        if v is None or len(out) == DER_FIELDS:
             return None
         out.append(v)
         at = v[2]
@@ -123,7 +135,7 @@ def ssh_length(data: bytes) -> int | None:
         at += 4 + n
         return ok
 
-    if not (block() and block() and block()) or (keys := int.from_bytes(data[at : at + 4], "big")) < 1:
+    if not (block() and block() and block()) or not 1 <= (keys := int.from_bytes(data[at : at + 4], "big")) <= SSH_KEYS:
         return None
     at += 4
     for _ in range(keys + 1):
@@ -160,77 +172,187 @@ def is_token(header: str, payload: str) -> bool:
     return True
 
 
-def is_pem_key(m: re.Match) -> bool:
+def is_pgp_key(data: bytes | None) -> bool:
+    """A secret-key packet whose length fits, of a known version."""
+    if not data or len(data) < 8 or not data[0] & 0x80:
+        return False
+    if data[0] & 0x40:  # new form
+        tag, first = data[0] & 0x3F, data[1]
+        head, n = (2, first) if first < 192 else (3, ((first - 192) << 8) + data[2] + 192) if first < 224 else (6, int.from_bytes(data[2:6], "big"))
+    else:
+        tag, size = data[0] >> 2 & 0xF, (1, 2, 4, 0)[data[0] & 3]
+        head, n = 1 + size, int.from_bytes(data[1 : 1 + size], "big")
+    return tag == 5 and 6 <= n <= len(data) - head and data[head] in (3, 4, 5, 6)
+
+
+def is_armoured_key(name: str, body: str) -> bool:
     """The block's body, with line ends written out or not, is a key or an encrypted one."""
-    # lines with a colon are the headers of an encrypted legacy block
-    lines = re.sub(r"\\+[rn]", "\n", m.group(2)).strip().splitlines()
-    body = from_base64("".join(x for x in lines if ":" not in x and "," not in x))
-    return is_key(body) or bool(body and (is_encrypted_der(body) or any("ENCRYPTED" in x for x in lines)))
-
-
-def run64(text: str, at: int, limit: int | None = None) -> tuple[str, list[tuple[int, int]]]:
-    """Base64 characters from ``at`` on, over line ends, up to ``limit`` of them; and (characters before, place) of each line."""
-    out, lines, n = [], [], 0
-    while m := RUN64.match(text, at):
-        part = m.group(0) if limit is None else m.group(0)[: limit - n]
-        if limit is None and lines and part.startswith(NESTED):
-            break  # a candidate of its own
-        out.append(part)
-        lines.append((n, m.start()))
-        n += len(part)
-        gap = GAP64.match(text, m.end())
-        if n == limit or not gap:
-            break
-        at = gap.end()
-    return "".join(out), lines
+    # lines with a colon are headers
+    lines = re.sub(r"\\+[rn]", "\n", body).strip().splitlines()
+    data = from_base64("".join(x for x in lines if not ARMOUR.search(x.strip())))
+    if name.endswith("BLOCK"):
+        return is_pgp_key(data)
+    return is_key(data) or bool(data and (is_encrypted_der(data) or any("ENCRYPTED" in x for x in lines)))
+
+
+def armoured(text: str) -> list[tuple[int, int]]:
+    """Blocks that hold a key: an end marker and the nearest begin marker of its name before it, with nothing between
+    that no body has."""
+    out, open_at, body_at, name = [], None, 0, ""
+    for m in MARKER.finditer(text):
+        if m.group(1) == "BEGIN":
+            open_at, body_at, name = m.start(), m.end(), m.group(2)
+        elif open_at is not None:
+            if m.group(2) == name and not NOT_BODY.search(text, body_at, m.start()) and is_armoured_key(name, text[body_at : m.start()]):
+                out.append((open_at, m.end()))
+            open_at = None
+    return out
 
 
-def ended(text: str, lines: list[tuple[int, int]], size: int) -> int:
-    """Where in the text the first ``size`` bytes of a base64 run end, padding included."""
-    n = -(-size * 4 // 3)
-    before, place = [x for x in lines if x[0] < n][-1]
-    at = place + n - before
-    while n % 4 and at < len(text) and text[at] == "=":
-        n, at = n + 1, at + 1
-    return at
+class Runs:
+    """Runs of base64 characters in a text; runs with only line ends between them go on as one."""
+
+    def __init__(self, text: str):
+        self.text, self.start, self.before, self.chain = text, [], [], []
+        self.total: dict[int, int] = {}
+        last, chain, n = -1, -1, 0
+        for m in RUN_OR_GAP.finditer(text):
+            if m.lastgroup == "gap":
+                last = m.end() if last == m.start() else -1
+                continue
+            if last != m.start():
+                chain, n = chain + 1, 0
+            self.start.append(m.start())
+            self.before.append(n)
+            self.chain.append(chain)
+            n += m.end() - m.start()
+            self.total[chain] = n
+            last = m.end()
+
+    def at(self, place: int) -> int:
+        return bisect_right(self.start, place) - 1
+
+    def left(self, place: int) -> int:
+        """Characters from ``place`` to the end of its runs."""
+        k = self.at(place)
+        return self.total[self.chain[k]] - self.before[k] - (place - self.start[k])
+
+    def chars(self, place: int, skip: int, n: int) -> str:
+        """``n`` characters, ``skip`` of them after ``place``."""
+        k = self.at(place)
+        chain, want = self.chain[k], self.before[k] + place - self.start[k] + skip
+        k = bisect_right(self.before, want, k, self.last(k)) - 1
+        out = []
+        while n > 0 and k < len(self.start) and self.chain[k] == chain:
+            a = self.start[k] + max(want - self.before[k], 0)
+            end = self.start[k] + self.size(k)
+            out.append(self.text[a : min(end, a + n)])
+            n -= len(out[-1])
+            k += 1
+        return "".join(out)
+
+    def last(self, k: int) -> int:
+        """One past the last run of a chain."""
+        return bisect_right(self.chain, self.chain[k], k)
+
+    def size(self, k: int) -> int:
+        after = self.before[k + 1] if k + 1 < len(self.chain) and self.chain[k + 1] == self.chain[k] else self.total[self.chain[k]]
+        return after - self.before[k]
+
+    def end(self, place: int, size: int) -> int:
+        """Where in the text the first ``size`` bytes from ``place`` end, padding included."""
+        n = -(-size * 4 // 3)
+        k = self.at(place)
+        want = self.before[k] + place - self.start[k] + n - 1
+        k = bisect_right(self.before, want, k, self.last(k)) - 1
+        at = self.start[k] + want - self.before[k] + 1
+        while n % 4 and at < len(self.text) and self.text[at] == "=":
+            n, at = n + 1, at + 1
+        return at
+
+
+class Decoded:
+    """Bytes of the base64 characters from a place on, decoded where they are looked at."""
+
+    def __init__(self, runs: Runs, place: int, size: int | None = None):
+        self.runs, self.place = runs, place
+        whole = runs.left(place)
+        self.size = min(size if size is not None else 1 << 62, whole * 3 // 4)
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, key):
+        a, b, _ = key.indices(self.size) if isinstance(key, slice) else (key, key + 1, 1)
+        if b <= a:
+            return b""
+        skip = a // 3 * 4
+        data = from_base64(self.runs.chars(self.place, skip, -(-b * 4 // 3) - skip)) or b""
+        part = data[a - a // 3 * 3 : b - a // 3 * 3]
+        return part if isinstance(key, slice) else part[0]
+
+    def startswith(self, head: bytes) -> bool:
+        return self[: len(head)] == head
+
+
+def could_be_der(text: str, at: int) -> bool:
+    """Whether sixteen base64 characters, line ends between them left out, can follow ``at``."""
+    n, m = 0, RUN64.match(text, at)
+    while m and n < 16:
+        n += m.end() - m.start()
+        gap = GAP64.match(text, m.end())
+        m = RUN64.match(text, gap.end()) if gap else None
+    return n >= 16
 
 
-def bare_end(text: str, at: int) -> int | None:
+def bare_end(text: str, at: int, runs: Runs) -> int | None:
     """Where the key ends that starts as base64 at ``at``: its own lengths say how long it is."""
     if text.startswith("M", at):
-        data = from_base64(run64(text, at, 16)[0]) or b""
-        k = data[1] & 0x7F if len(data) == 12 and data[1] & 0x80 else 0
-        if len(data) < 12 or k > 4 or data[2 + k : 4 + k] != bytes([INTEGER, 1]):
+        head = Decoded(runs, at)[:12]
+        k = head[1] & 0x7F if len(head) == 12 and head[1] & 0x80 else 0
+        if len(head) < 12 or k > 4 or head[2 + k : 4 + k] != bytes([INTEGER, 1]):
             return None  # the version comes first in every key
-        size = 2 + k + (int.from_bytes(data[2 : 2 + k], "big") if k else data[1])
-        n = -(-size * 4 // 3)
-        if n > len(text) - at:
+        size = 2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1])
+        if -(-size * 4 // 3) > runs.left(at) or not is_der_key(Decoded(runs, at, size)):
             return None
-        s, lines = run64(text, at, n)
-        return ended(text, lines, size) if len(s) == n and is_key((from_base64(s) or b"")[:size]) else None
-    s, lines = run64(text, at)
+        return runs.end(at, size)
+    if not text.startswith(NESTED, at):
+        size = ssh_length(Decoded(runs, at))
+        return runs.end(at, size) if size else None
+    # a whole block in base64 once more, up to the next one
+    k = runs.at(at)
+    n, stop = runs.start[k] + runs.size(k) - at, runs.last(k)
+    for j in range(k + 1, stop):
+        if text.startswith(NESTED, runs.start[j]):
+            break
+        n += runs.size(j)
+    s = runs.chars(at, 0, n)
     data = from_base64(s if len(s) % 4 != 1 else s[:-1]) or b""
-    if text.startswith(NESTED, at):
-        found = [m.end() for m in PEM.finditer(data.decode("latin-1")) if is_pem_key(m)]
-        if not found:
-            return None
-        size = found[-1] + len(data[found[-1] :]) - len(data[found[-1] :].lstrip(b"\r\n"))
-    else:
-        size = ssh_length(data)
-    return ended(text, lines, size) if size else None
+    found = armoured(data.decode("latin-1"))
+    if not found:
+        return None
+    size = found[-1][1] + len(data[found[-1][1] :]) - len(data[found[-1][1] :].lstrip(b"\r\n"))
+    return runs.end(at, size)
 
 
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Candidates that decode and parse."""
     out: list[tuple[int, int, str]] = []
     if "-----BEGIN" in text:
-        out += [(m.start(), m.end(), "key") for m in PEM.finditer(text) if is_pem_key(m)]
+        out += [(a, b, "key") for a, b in armoured(text)]
     if "M" in text or "b3Blbn" in text or NESTED in text:
-        blocks, done = list(out), 0
+        blocks, done, runs = list(out), 0, None
+        starts = [a for a, _, _ in blocks]
         for m in BARE64.finditer(text):
-            if m.start() < done or any(a <= m.start() < b for a, b, _ in blocks):
+            inside = bisect_right(starts, m.start()) - 1
+            if m.start() < done or (inside >= 0 and m.start() < blocks[inside][1]):
                 continue
-            if end := bare_end(text, m.start()):
+            if runs is None:
+                # most words are no key: the first characters tell, before the whole text is looked at
+                if text.startswith("M", m.start()) and not could_be_der(text, m.start()):
+                    continue
+                runs = Runs(text)
+            if end := bare_end(text, m.start(), runs):
                 out.append((m.start(), end, "key"))
                 done = end
     if "30" in text or "763100" in text:
