@@ -3,12 +3,14 @@
 Indicators of byte trigrams and of word-shape bigrams (hashed to ``DIM``
 places) are scaled by class log-count ratios counted over all labelled training
 rows, then a linear hinge-loss model is fitted by dual coordinate descent on a
-bounded sample of them (``SAMPLE`` rows, the smallest hashes of doc_id).  The
+bounded sample of them: distinct rows (id and text) in order of their hash, half of
+``SAMPLE`` from each class, or all of a class that has fewer and the rest from the other.  The
 model is ``DIM`` numbers whatever the input; scoring reads every whole text once.
 
 Defined cases: null or empty text has no indicators and gets the score of the
 bias; labels for unknown documents, null labels and null ids are ignored; of repeated or
-contradicting labels the larger counts; repeated documents are all scored; with one class
+contradicting labels the larger counts; repeated documents are all counted and scored, and
+sampled once; a null id is not held out (as in operator 3); with one class
 or no training rows every score is the share of label 1 (0.5 without rows); an empty table gives an empty
 result.  Language, source, ids and the labels are never inputs of a score.
 """
@@ -128,6 +130,21 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, r: np.ndarray, penalty:
     return w, bias
 
 
+def shares(distinct: tuple[int, int], sample: int) -> tuple[float, float]:
+    """The share of each class's distinct rows that is sampled: half of ``sample`` each, what one class lacks from the other."""
+    rare = min(*distinct, sample // 2)
+    return tuple(min(1.0, (rare if n <= min(distinct) else sample - rare) / max(n, 1)) for n in distinct)
+
+
+def _sample(train: DataFrame, sample: int) -> DataFrame:
+    """text and y of about ``sample`` distinct rows; repeats are combined before they are shuffled."""
+    keyed = train.withColumn("row", F.xxhash64("doc_id", "text"))
+    counted = {r["y"]: r["n"] for r in keyed.groupBy("y").agg(F.approx_count_distinct("row", 0.02).alias("n")).collect()}  # two rows
+    cuts = [int(x * (1 << 30)) for x in shares((counted.get(0, 0), counted.get(1, 0)), sample)]
+    at = F.pmod(F.xxhash64("row"), F.lit(1 << 30))
+    return keyed.filter(at < F.when(F.col("y") == 0, cuts[0]).otherwise(cuts[1])).dropDuplicates(["row"]).select("text", "y")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> dict:
     """The model: ``r`` (log-count ratios), ``w`` (weights over places), ``bias`` or a constant ``share``."""
     known = (row_cols(labels, "doc_id", label).filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -142,10 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     at = counts[counts["place"] >= 0]
     n[:, at["place"].to_numpy()] += at[["n0", "n1"]].to_numpy().T
     r = np.log(n[1] / n[1].sum()) - np.log(n[0] / n[0].sum())
-    # the rows whose hash is smallest, about ``sample`` of them
-    cut = min(1.0, sample / rows.sum())
-    picked = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(cut * (1 << 30)))
-    vectors = stage(picked.select("text", "y").mapInPandas(_vectors, "y int, x array<int>"), "sample")
+    vectors = stage(_sample(train, sample).mapInPandas(_vectors, "y int, x array<int>"), "sample")
 
     def descend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         got = pd.concat(list(frames) or [pd.DataFrame({"y": [], "x": []})])
@@ -182,5 +196,5 @@ def scores(docs: DataFrame, model: dict) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = scores(docs, fit(docs, read(spark, sf_dir, "labels")))
-    return out.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+    return out.select("doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
