@@ -59,7 +59,7 @@ def test_brute_force(spark):
             for k in range(len(b) - 4):
                 for p in at.get(tuple(b[k : k + 5]), ()):
                     for g in (0, 1):
-                        lines[g, (p - k + 4 * g) // 8] |= set(range(k, k + 5))
+                        lines[g, (p - k + g * len(b)) // (2 * len(b))] |= set(range(k, k + 5))
             if lines and max(map(len, lines.values())) >= 0.8 * len(b):
                 want[d["doc_id"]].add(i)
     assert got == dict(want) and len(want) > 5
@@ -84,6 +84,34 @@ def test_stage_keeps_clean_documents(spark, docs_of, tmp_path):
     assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == {*CLEAN, None}
 
 
+OPENING = ["Tom has 3 apples. Tom buys 4 more apples. How many apples does Tom have?",
+           "Anna walked 5 km. Anna then ran 7 km to the old mill. How far did Anna go in total?"]
+
+
+def test_names_that_open_sentences(spark, docs_of):
+    bench = spark.createDataFrame(list(enumerate(OPENING)), "item_id long, text string")
+    tom, anna = OPENING
+    docs = [(1, PAD + tom.replace("Tom", "Ben").replace("3", "5").replace("4", "9")), (2, PAD + anna.replace("Anna", "Zoe").replace("5", "6").replace("7", "11")),
+            (3, tom.lower()), (4, PAD + ". " + anna + " " + PAD), (5, PAD + tom.replace("Tom buys", "Ben buys")), (6, PAD + anna.replace("Anna then", "Zoe then"))]
+    got = {r["doc_id"]: r["item_ids"] for r in op.decontaminate(docs_of(docs), bench).collect()}
+    assert {i: x for i, x in got.items() if x} == {1: [0], 2: [1], 3: [0], 4: [1]}
+
+
+def test_words_put_into_an_item(spark, docs_of, bench):
+    """As many words as the item has may stand between its halves; an item whose halves are further apart is not found."""
+    w = ITEM.split()
+    split = lambda n: PAD + " ".join(w[:14] + [f"extra{'abcdefgh'[i % 8]}" for i in range(n)] + w[14:]) + " " + PAD
+    docs = [(n, split(n)) for n in (0, 1, 7, 8, 9, 12, 20, len(w))] + [(500, split(4 * len(w)))]
+    got = {r["doc_id"]: r["contaminated"] for r in op.decontaminate(docs_of(docs), bench).collect()}
+    assert not got.pop(500) and all(got.values())
+
+
+def test_null_and_shared_ids(docs_of, bench):
+    got = op.decontaminate(docs_of([(None, ITEM), (None, PAD), (None, None), (7, ITEM), (7, PAD), (8, ITEM), (8, ITEM)]), bench).collect()
+    flags = sorted((r["doc_id"] or 0, r["contaminated"]) for r in got)
+    assert flags == [(0, False), (0, False), (0, True), (7, False), (7, True), (8, True), (8, True)]
+
+
 REPEATS = [
     "The farmer paid 3 dollars for hay, 4 dollars for hay, 6 dollars for hay. How much did the farmer pay for all of the hay",
     "Each child has 3 apples and 4 apples and 5 apples in the basket and 4 apples and 3 apples on the table",

@@ -1,13 +1,14 @@
 """Operator 2: benchmark decontamination by template canonicalisation.
 
 Texts become templates: numbers, units after a number, and names (capitalised
-words inside a sentence) are typed placeholders, other words are lower case and
-bare of punctuation.  A second form replaces numbers only, so that texts in another case still
+words inside a sentence, and those that open one but are no word that commonly does) are typed
+placeholders, other words are lower case and bare of punctuation.  A second form replaces numbers only, so that texts in another case still
 meet.  Five-word template windows are joined by hash with the windows of the
 benchmark.  Matched windows that follow each other at one shift of a document against an
 item are a run; every value of the item must be one value of the document throughout the run
 (the same name or number again wherever the item repeats it).  Runs whose values agree are
-joined over neighbouring shifts, and an item is found where they cover at least 0.8 of its words.
+joined over shifts that differ by at most the item's number of words (so that as many words may
+be put in or left out), and an item is found where they cover at least 0.8 of its words.
 Windows with fewer than ``LITERALS`` literal words meet only where their words and numbers are the same ones.
 Items of fewer than five words are found where all their words and signs stand in a row.
 
@@ -17,8 +18,8 @@ step; any match must hold such words, so nothing is lost.  All row work is
 DataFrame functions.  The benchmark's windows are broadcast only when counted to fit.
 
 Defined cases: null or empty texts and texts without words match nothing; an item of one
-word matches only a document that is nothing else; rows with a null id match nothing; rows that share a
-doc_id share their findings; equal items are all reported; an empty table on either side
+word matches only a document that is nothing else; rows with a null id are matched like others; rows that
+share a doc_id are told apart by their text; items without an id are left out; equal items are all reported; an empty table on either side
 gives no findings; other columns are ignored.
 """
 
@@ -34,8 +35,6 @@ PAIRS = "array<struct<kind:string,item:string,doc:string>>"
 #: Words of a window that must not be placeholders; windows with fewer are looked up with their values.
 LITERALS = 2
 PLAIN, TYPED, EXACT = 0, 1, 2
-#: Alignments may drift by fewer words than this (an inserted or dropped word).
-DRIFT = 8
 MARK = "\x01"
 NUM, NAME, UNIT = "#", "@", "%"
 WORD = r"[\p{L}][\p{L}\p{M}]*(?:['’][\p{L}]+)*"
@@ -50,6 +49,16 @@ UNITS = ["mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "yard",
          "day", "days", "week", "weeks", "month", "months", "year", "years", "dollar", "dollars", "cent", "cents", "euro", "euros", "percent",
          "degree", "degrees", "mph", "kmh", "w", "kw", "v", "hz", "j", "kj", "n", "pa"]
 
+#: Words that open a sentence without being a name.
+OPENERS = ["a", "after", "all", "although", "an", "and", "another", "answer", "any", "are", "as", "assume", "at", "because", "before", "between",
+           "both", "but", "by", "calculate", "can", "choose", "compute", "consider", "could", "describe", "determine", "did", "do", "does", "during",
+           "each", "either", "estimate", "every", "evaluate", "explain", "express", "find", "first", "for", "from", "given", "had", "has", "have", "he",
+           "her", "here", "his", "how", "i", "if", "in", "into", "is", "it", "its", "later", "let", "list", "many", "more", "most", "my", "name", "neither",
+           "next", "no", "not", "note", "now", "of", "on", "once", "one", "only", "or", "other", "our", "round", "second", "select", "she", "should", "show",
+           "since", "simplify", "so", "solve", "some", "state", "suppose", "that", "the", "their", "then", "there", "these", "they", "this", "those", "to",
+           "today", "together", "tomorrow", "two", "under", "until", "use", "using", "was", "we", "were", "what", "when", "where", "which", "while", "who",
+           "whose", "why", "will", "with", "would", "write", "yesterday", "you", "your"]
+
 
 def parts(pattern: str) -> Column:
     """The matches in ``text`` in lower case."""
@@ -72,8 +81,9 @@ def forms(df: DataFrame) -> DataFrame:
     df = df.withColumn("plain", F.transform("bare", lambda w: F.when(is_number(w), NUM).otherwise(w)))
     unit = lambda w, i: (i > 0) & (F.element_at("plain", F.greatest(i, F.lit(1))) == NUM) & w.isin(UNITS)
     # lower case may change the number of words in rare scripts; then no names are told apart
-    name = lambda i: (F.size("marked") == F.size("bare")) & F.get("marked", i).startswith(MARK)
-    return df.withColumn("typed", F.transform("plain", lambda w, i: F.when(unit(w, i), UNIT).when(name(i), NAME).otherwise(w))).drop("marked")
+    opens = lambda w, i: F.get("marked", i).rlike(r"^\p{Lu}[\p{Ll}\p{M}]") & ~w.isin(OPENERS)
+    name = lambda w, i: (F.size("marked") == F.size("bare")) & (F.get("marked", i).startswith(MARK) | opens(w, i))
+    return df.withColumn("typed", F.transform("plain", lambda w, i: F.when(unit(w, i), UNIT).when(name(w, i), NAME).otherwise(w))).drop("marked")
 
 
 def tail(a: str, k: int) -> Column:
@@ -207,7 +217,7 @@ def findings(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Dat
     docs = row_cols(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull()).withColumn("row", F.xxhash64("text"))  # ids may repeat
     short = short_findings(docs, benchmark)
     near = candidates(docs, items)
-    docs = docs.join(F.broadcast(near) if near.count() * 16 <= 8 << 20 else near, "doc_id", "left_semi")
+    docs = docs.join(F.broadcast(near) if near.count() * 48 <= 8 << 20 else near, "doc_id", "left_semi")
     one = lambda form, k: F.transform(f"{form}5", lambda h, i: F.struct(F.lit(k).alias("via"), h.alias("hash"), i.alias("pos")))
     facts = items.agg(F.sum(200 + 4 * F.length(F.array_join("ours", " "))).alias("n"), F.max("via").alias("via")).first()
     size, hashes = facts["n"] or 0, [("plain", PLAIN), ("typed", TYPED), ("bare", EXACT)][: 3 if facts["via"] == EXACT else 2]
@@ -217,9 +227,10 @@ def findings(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Dat
     slots = F.exists("template", lambda w: ~literal(w))
     free = met.filter(~slots).withColumn("pairs", F.array().cast(PAIRS))
     bound = met.filter(slots)
-    said = tokens(docs.join(small_side(bound.select("doc_id").distinct(), 16), "doc_id", "left_semi")).select("doc_id", "row", "bare").dropDuplicates(["doc_id", "row"])
+    said = tokens(docs.join(small_side(bound.select("doc_id").distinct(), 48), "doc_id", "left_semi")).select("doc_id", "row", "bare").dropDuplicates(["doc_id", "row"])
     bound = bound.join(said, ["doc_id", "row"]).withColumn("pairs", slot_pairs(F.col("template"), F.col("ours"), F.slice("bare", F.col("pos") + 1, WINDOW))).drop("bare")
-    groups = F.array(*[F.struct(F.lit(k).alias("k"), F.floor((F.col("shift") + k * DRIFT // 2) / DRIFT).alias("d")) for k in (0, 1)])
+    # shifts that differ by at most the item's length are together in one of two overlapping rows of intervals
+    groups = F.array(*[F.struct(F.lit(k).alias("k"), F.floor((F.col("shift") + k * F.col("item_n")) / (2 * F.col("item_n"))).alias("d")) for k in (0, 1)])
     lined = runs(free.unionByName(bound)).withColumn("near", F.explode(groups)).groupBy("doc_id", "row", "item_id", "form", "near").agg(
         F.first("item_n").alias("item_n"), F.collect_set("run").alias("runs"))
     found = lined.withColumn("share", joined_words(F.col("runs")) / F.col("item_n")).filter(F.col("share") >= cover).select("doc_id", "item_id", "share")
@@ -229,9 +240,12 @@ def findings(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Dat
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
-    """Every document with the items found in it."""
-    found = findings(docs, benchmark, cover).groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("share").alias("share"))
-    return (row_cols(docs, "doc_id").join(small_side(found, 4096), "doc_id", "left")
+    """Every document with the items found in it; rows equal in id and text are one to the search."""
+    same = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce("text", F.lit(""))))
+    rows = row_cols(docs, "doc_id", "text").withColumn("same", same)
+    found = (findings(by_key(rows, "same"), benchmark, cover).groupBy(F.col("doc_id").alias("same"))
+             .agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("share").alias("share")))
+    return (rows.select("doc_id", "same").join(small_side(found, 4096), "same", "left")
             .select("doc_id", F.col("item_ids").isNotNull().alias("contaminated"), F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
                     "item_ids", "share"))
 
