@@ -13,8 +13,9 @@ Windows with fewer than ``LITERALS`` literal words meet only where their words a
 Items of fewer than five words are found where all their words and signs stand in a row.
 
 Only documents that hold the longest three literal words in a row of some benchmark window
-(three words or numbers in a row where a window has too few literal words) reach the window
-step; any match must hold such words, so nothing is lost.  All row work is
+(three words or numbers in a row where a window has too few literal words; shorter runs where an
+item may be found by windows without three) reach the window step; any finding must hold such
+words, so nothing is lost.  All row work is
 DataFrame functions.  The benchmark's windows are broadcast only when counted to fit.
 
 Defined cases: null or empty texts and texts without words match nothing; an item of one
@@ -25,7 +26,7 @@ gives no findings; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import by_key, drop_rows, read, row_cols, small_side, stage, with_key
@@ -81,7 +82,7 @@ def forms(df: DataFrame) -> DataFrame:
     df = df.withColumn("plain", F.transform("bare", lambda w: F.when(is_number(w), NUM).otherwise(w)))
     unit = lambda w, i: (i > 0) & (F.element_at("plain", F.greatest(i, F.lit(1))) == NUM) & w.isin(UNITS)
     # lower case may change the number of words in rare scripts; then no names are told apart
-    opens = lambda w, i: F.get("marked", i).rlike(r"^\p{Lu}[\p{Ll}\p{M}]") & ~w.isin(OPENERS)
+    opens = lambda w, i: (F.get("marked", i) != w) & F.get("marked", i).rlike(r"^\p{Lu}[\p{Ll}\p{M}]") & ~w.isin(OPENERS)
     name = lambda w, i: (F.size("marked") == F.size("bare")) & (F.get("marked", i).startswith(MARK) | opens(w, i))
     return df.withColumn("typed", F.transform("plain", lambda w, i: F.when(unit(w, i), UNIT).when(name(w, i), NAME).otherwise(w))).drop("marked")
 
@@ -115,29 +116,44 @@ def literal(word: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, item_n, form, via, hash, at, ours, template) of the items' windows; ``via`` is the form that the hash is of."""
+    """(item_id, item_n, text, form, via, hash, at, ours, template) of the items' windows; ``text`` tells texts of one id apart, ``via`` is the form that the hash is of."""
     df = windows(tokens(row_cols(benchmark, "item_id", "text").filter(F.col("item_id").isNotNull())))
     one = lambda form, k: F.transform(f"{form}5", lambda h, i: F.struct(
         F.lit(k).alias("form"), h.alias("hash"), F.get("bare5", i).alias("same"), i.alias("at"),
         F.slice("bare", i + 1, WINDOW).alias("ours"), F.slice(form, i + 1, WINDOW).alias("template")))
-    rows = df.select("item_id", F.size("bare").alias("item_n"), F.explode(F.concat(one("plain", PLAIN), one("typed", TYPED))).alias("w")).select("item_id", "item_n", "w.*")
+    rows = df.select("item_id", F.size("bare").alias("item_n"), F.xxhash64("bare").alias("text"),
+                     F.explode(F.concat(one("plain", PLAIN), one("typed", TYPED))).alias("w")).select("item_id", "item_n", "text", "w.*")
     enough = F.size(F.filter("template", literal)) >= LITERALS
     return (rows.withColumn("via", F.when(enough, F.col("form")).otherwise(EXACT))
             .withColumn("hash", F.when(enough, F.col("hash")).otherwise(F.col("same"))).drop("same"))
 
 
-def anchors(items: DataFrame) -> DataFrame:
+def anchors(items: DataFrame, cover: float = COVER) -> DataFrame:
     """(n, h): what a document must hold to share a window: of every window its longest run of
-    three literal words, else of two, else its longest literal word; where values are looked up, its longest three words."""
-    rows = items.select(F.when(F.col("via") == EXACT, F.col("ours")).otherwise(F.col("template")).alias("template"), (F.col("via") == EXACT).alias("same")).distinct()
+    three literal words, else of two, else its longest literal word; where values are looked up, its longest three words.
+
+    Of an item's windows those with the shortest runs are left out as long as they alone cover
+    less of it than a finding does: every finding then has a window that is not left out.
+    """
+    rows = items.select("item_id", "item_n", "form", "text", "at", F.when(F.col("via") == EXACT, F.col("ours")).otherwise(F.col("template")).alias("template"),
+                        (F.col("via") == EXACT).alias("same"))
     for n in (1, 2, 3):
         runs = F.transform(F.sequence(F.lit(1), F.lit(WINDOW + 1 - n)), lambda i: F.slice("template", i, n))  # noqa: B023
         runs = F.filter(runs, lambda r: F.col("same") | F.forall(r, literal))
         longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(F.array_join(r, "")).alias("n"), r.alias("r"))))["r"]
         rows = rows.withColumn(f"r{n}", longest)
-    r = F.coalesce("r3", "r2", "r1")
+    item = ["item_id", "form", "text"]
+    rows = rows.withColumn("r", F.coalesce("r3", "r2", "r1")).withColumn("n", F.size("r"))
+    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*item).orderBy("n", F.length(F.array_join("r", "")), "at")))
+    # the first windows by rank cover a word from that word's least rank on; a finding covers ``least`` words
+    words = rows.select(*item, "item_n", "rank", F.explode(F.sequence("at", F.col("at") + WINDOW - 1)).alias("place")).groupBy(*item, "place").agg(
+        F.min("rank").alias("rank"), F.first("item_n").alias("item_n"))
+    least = F.ceil(cover * F.first("item_n") - 1e-6).cast("int")
+    kept = words.groupBy(*item).agg(F.try_element_at(F.array_sort(F.collect_list("rank")), F.greatest(least, F.lit(1))).alias("first"))
+    rows = rows.join(kept, item).filter(F.col("rank") >= F.coalesce("first", F.lit(0)))
+    r = F.col("r")
     h = F.when(F.size(r) == 1, F.xxhash64(r[0])).when(F.size(r) == 2, F.xxhash64(r[0], r[1])).otherwise(F.xxhash64(F.xxhash64(r[0], r[1]), F.get(r, F.lit(2))))
-    return rows.select(F.size(r).alias("n"), h.alias("h")).distinct()
+    return rows.select("n", h.alias("h")).distinct()
 
 
 def short_findings(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
@@ -158,16 +174,17 @@ def short_findings(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     return held.join(F.broadcast(items) if size <= 8 << 20 else items, ["alone", "n", "h"]).select("doc_id", "item_id")
 
 
-def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Ids of the documents that hold an anchor."""
-    need = stage(anchors(items), "anchors")
-    said, found = tokens(docs), None
-    for n in sorted(r["n"] for r in need.select("n").distinct().collect()):  # at most three numbers
-        grams = said.select("doc_id", F.transform("bare", lambda w: F.xxhash64(w)).alias("g")) if n == 1 else hashed(said, "bare", n, "g")
-        hit = (grams.select("doc_id", F.explode(F.array_distinct("g")).alias("h"))
-               .join(small_side(need.filter(F.col("n") == n).select("h"), 16), "h", "left_semi").select("doc_id"))
-        found = hit if found is None else found.union(hit)
-    return stage(found.distinct() if found is not None else docs.select("doc_id").limit(0), "near")
+def candidates(docs: DataFrame, items: DataFrame, cover: float = COVER) -> DataFrame:
+    """Ids of the documents that hold an anchor; texts are taken apart once for anchors of all lengths."""
+    need = stage(anchors(items, cover), "anchors")
+    lengths = sorted(r["n"] for r in need.select("n").distinct().collect())  # at most three numbers
+    if not lengths:
+        return stage(docs.select("doc_id").limit(0), "near")
+    said = tokens(docs)
+    for n in lengths:
+        said = said.withColumn("g1", F.transform("bare", lambda w: F.xxhash64(w))) if n == 1 else hashed(said, "bare", n, f"g{n}")
+    grams = said.select("doc_id", F.explode(F.array_distinct(F.concat(*[f"g{n}" for n in lengths]))).alias("h"))
+    return stage(grams.join(small_side(need.select("h").distinct(), 16), "h", "left_semi").select("doc_id").distinct(), "near")
 
 
 def agree(a: Column, b: Column) -> Column:
@@ -216,14 +233,20 @@ def findings(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> Dat
     items = stage(item_windows(benchmark), "items")
     docs = row_cols(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull()).withColumn("row", F.xxhash64("text"))  # ids may repeat
     short = short_findings(docs, benchmark)
-    near = candidates(docs, items)
+    near = candidates(docs, items, cover)
     docs = docs.join(F.broadcast(near) if near.count() * 48 <= 8 << 20 else near, "doc_id", "left_semi")
     one = lambda form, k: F.transform(f"{form}5", lambda h, i: F.struct(F.lit(k).alias("via"), h.alias("hash"), i.alias("pos")))
     facts = items.agg(F.sum(200 + 4 * F.length(F.array_join("ours", " "))).alias("n"), F.max("via").alias("via")).first()
     size, hashes = facts["n"] or 0, [("plain", PLAIN), ("typed", TYPED), ("bare", EXACT)][: 3 if facts["via"] == EXACT else 2]
     there = windows(tokens(docs)).select("doc_id", "row", F.explode(F.concat(*[one(*x) for x in hashes])).alias("w")).select("doc_id", "row", "w.*")
-    met = stage(there.join(F.broadcast(items) if size <= 16 << 20 else items, ["via", "hash"]).drop("hash", "via"), "met")
-    # the document's words are looked up again where a window has slots
+    known = items.drop("text")
+    met = stage(there.join(F.broadcast(known) if size <= 16 << 20 else known, ["via", "hash"]).drop("hash", "via"), "met")
+    # whatever the slots say, an item is found only where its windows that were met cover enough of it
+    pair = ["doc_id", "row", "item_id", "form"]
+    met_words = F.size(F.array_distinct(F.flatten(F.transform(F.collect_set("at"), lambda a: F.sequence(a, a + WINDOW - 1)))))
+    enough = met.groupBy(*pair).agg((met_words / F.min("item_n")).alias("most")).filter(F.col("most") >= cover).select(*pair)
+    met = stage(met.join(small_side(enough, 96), pair, "left_semi"), "covered")
+    # the words of these documents are looked up again where a window has slots
     slots = F.exists("template", lambda w: ~literal(w))
     free = met.filter(~slots).withColumn("pairs", F.array().cast(PAIRS))
     bound = met.filter(slots)
