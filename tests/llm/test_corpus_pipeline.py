@@ -71,3 +71,30 @@ def test_rows_with_null_or_shared_ids(spark, docs_of, tmp_path):
     # 5 is the smallest id of a's group and a further one of b's; c is only under null ids
     rows = [(5, text["a"]), (5, text["a"]), (7, text["a"]), (None, text["a"]), (3, text["b"]), (5, text["b"]), (None, text["c"]), (None, text["c"])]
     assert left("near_dedup", rows) == sorted([(5, text["a"]), (3, text["b"]), (None, text["c"])], key=repr)
+
+
+def test_a_batch_is_worked_on_in_parts():
+    """Objects of a few megabytes at a time, however large a batch is."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    line = "the words of a text that is cut and merged " * 1000
+    texts = pa.array([line + str(i) for i in range(100)] + [None, ""])
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(102)), "text": texts, "lang": texts, "source": texts})
+    enc = bpe.encoder(bpe.default_ranks())
+    bpe.class_table()
+    peaks, parts, n = [], 0, 0
+    tracemalloc.start()
+    for f in (lambda: list(map(lambda b: (b.num_rows, pa.compute.sum(b.column("n_tokens")).as_py()), bpe.encode_parts(iter([rows]), enc))),
+              lambda: secrets.redact_parts(texts)):
+        tracemalloc.reset_peak()
+        out = f()
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        if isinstance(out, list):
+            parts, n = len(out), sum(x[0] for x in out)
+        else:
+            assert out.equals(texts)
+    tracemalloc.stop()
+    assert n == 102 and parts > 10
+    assert max(peaks) < 20 << 20

@@ -27,10 +27,12 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.llm.common import chunks, read, release, row_cols, utf8
+from tidemark.llm.fill_middle import row_parts
 
 # Classes of code points, after look-ahead.
 LETTER, NUMBER, OTHER, APO1, APO2, APO, BLANK_WORD, BLANK_RUN, SPACE_WORD, SPACE_RUN, CUT = range(11)
@@ -299,22 +301,33 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read(spark, sf_dir, "documents"))
 
 
+def encode_parts(batches: Iterator[pa.RecordBatch], enc: Encoder) -> Iterator[pa.RecordBatch]:
+    """Token ids and their digest of every row, a quarter of a megabyte of texts at a time (merging takes some forty times as much)."""
+    for batch in batches:
+        for a, b in row_parts(batch.column("text"), 1 << 18) if batch.num_rows else ():
+            part = batch.slice(a, b - a)
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            ids, _ = enc.encode(texts)
+            for t, x in zip(texts, ids):
+                if enc.decode(x) != utf8(t):
+                    raise ValueError("decoding does not give the text back")
+            lens = [len(x) for x in ids]
+            flat = pa.array(np.concatenate(ids).astype(np.int32))
+            yield pa.RecordBatch.from_pydict({
+                **{c: part.column(c) for c in ("doc_id", "lang", "source")},
+                "ids": pa.ListArray.from_arrays(pa.array(np.cumsum([0, *lens]), pa.int32()), flat), "n_tokens": pa.array(lens, pa.int64()),
+                "ids_sha256": pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string())})
+        release()
+
+
 def stage_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document's token ids and their digest, with its lang and source."""
     path, schema = default_ranks(), docs.select("doc_id", "lang", "source").schema
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for pdf in chunks(frames, limit=1 << 20):
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            ids, _ = enc.encode(texts)
-            for t, x in zip(texts, ids):
-                if enc.decode(x) != utf8(t):
-                    raise ValueError("decoding does not give the text back")
-            yield pdf[["doc_id", "lang", "source"]].assign(
-                ids=[x.astype(np.int32) for x in ids], n_tokens=[len(x) for x in ids],
-                ids_sha256=[hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids])
+        yield from encode_parts(batches, enc)
         enc.forget()
 
     out = schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", T.LongType()).add("ids_sha256", T.StringType())
-    return row_cols(docs, "doc_id", "text", "lang", "source").mapInPandas(run, out)
+    return row_cols(docs, "doc_id", "text", "lang", "source").mapInArrow(run, out)

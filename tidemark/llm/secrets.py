@@ -31,10 +31,12 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, read, row_cols
+from tidemark.llm.common import chunks, read, release, row_cols
+from tidemark.llm.fill_middle import row_parts
 
 #: Order of kinds where spans start at the same place.
 KINDS = ("assign", "access", "hex", "key", "token")
@@ -418,11 +420,15 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(read(spark, sf_dir, "documents"))
 
 
+def redact_parts(texts: pa.Array) -> pa.Array:
+    """``redact`` of every text, some megabytes at a time: a batch is never held as objects whole."""
+    done = [pa.array([redact(t) for t in texts.slice(a, b - a).to_pylist()], texts.type) for a, b in row_parts(texts)]
+    release()
+    return pa.concat_arrays(done)
+
+
 def stage_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every document stays, its secrets replaced by a mark."""
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(redact, na_action="ignore")
-
+    clean = F.arrow_udf(redact_parts, "string")
     return (docs.withColumn("text", clean("text"))
             .withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns))
