@@ -400,7 +400,10 @@ class LogTable:
         def build(state: Commit | None) -> Change | None:
             if state is None:
                 return None
-            rows = self.read_files(self.names(self.files(state)), state.schema)
+            names = self.names(self.files(state))
+            if not names:
+                return None
+            rows = self.read_files(names, state.schema)
             hit = [r[0] for r in rows.where(where).select(F.regexp_extract(F.col("_metadata.file_path"), "(added=[^/]*/.*)$", 1)).distinct().collect()]
             if not hit:
                 return None
