@@ -138,3 +138,28 @@ def test_items_of_numbers_and_short_items(spark, docs_of):
             (13, PAD + "1 2 3 5 8 14 22 and 11 22 33 44 55"), (14, None), (15, ""), (16, "2 4 6 8 10"), (17, PAD + "yes")]
     got = {r["doc_id"]: r["item_ids"] for r in op.decontaminate(docs_of(docs), bench).collect()}
     assert {i: x for i, x in got.items() if x} == {0: [0], 1: [1], 2: [2], 4: [4], 10: [3], 11: [2], 16: [4]}
+
+
+def test_texts_are_taken_apart_once_and_after_the_joins(docs_of, bench, monkeypatch):
+    """No filter on a text's words: it would be put before the joins that leave few texts, and take all texts apart again."""
+    plans, stage = {}, op.stage
+
+    def seen(df, tag):
+        plans[tag] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, tag)
+
+    monkeypatch.setattr(op, "stage", seen)
+    found = op.findings(docs_of([*CASES.items(), *CLEAN.items()]), bench)
+    assert {r["doc_id"] for r in found.collect()} == set(CASES)
+    plans["found"] = found._jdf.queryExecution().optimizedPlan().toString()
+    assert {"near", "met"} <= set(plans)
+    for tag in ("near", "met", "found"):
+        assert not [x for x in plans[tag].splitlines() if "Filter" in x and "regexp_extract_all" in x], tag
+    assert plans["near"].count("regexp_extract_all") == 1
+
+
+def test_anchor_hashes_meet_at_every_length(spark):
+    """The hash of an anchor is that of its words at their place in a text."""
+    r = spark.sql("SELECT array('a', 'b', 'c', 'd') AS w, array('b', 'c', 'd') AS a, 1 AS at")
+    for n in (1, 2, 3):
+        assert r.select((op.gram(op.F.col("w"), n, op.F.col("at")) == op.gram(op.F.col("a"), n)).alias("same")).first()["same"]

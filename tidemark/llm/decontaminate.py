@@ -67,8 +67,10 @@ def parts(pattern: str) -> Column:
 
 
 def tokens(df: DataFrame) -> DataFrame:
-    """Adds ``bare`` (words and numbers of ``text`` in lower case) to rows that have at least a window of them."""
-    return df.withColumn("bare", parts(f"{WORD}|{NUMBER}")).filter(F.size("bare") >= WINDOW)
+    """Adds ``bare`` (words and numbers of ``text`` in lower case); rows with fewer than a window of them have no windows.
+
+    They are not filtered out here: the filter would be put before the joins that leave few texts, and take all texts apart."""
+    return df.withColumn("bare", parts(f"{WORD}|{NUMBER}"))
 
 
 def is_number(token: Column) -> Column:
@@ -152,10 +154,15 @@ def anchors(items: DataFrame, cover: float = COVER) -> DataFrame:
     kept = words.groupBy(*item).agg(F.try_element_at(F.array_sort(F.collect_list("rank")), F.greatest(least, F.lit(1))).alias("first"))
     rows = rows.join(kept, item).filter(F.col("rank") >= F.coalesce("first", F.lit(0)))
     r = F.col("r")
-    h = F.when(F.size(r) == 1, F.xxhash64(r[0])).when(F.size(r) == 2, F.xxhash64(r[0], r[1])).otherwise(F.xxhash64(F.xxhash64(r[0], r[1]), F.get(r, F.lit(2))))
+    h = F.when(F.size(r) == 1, gram(r, 1)).when(F.size(r) == 2, gram(r, 2)).otherwise(gram(r, 3))
     return rows.select("n", h.alias("h")).distinct()
 
 
+def gram(words: Column, n: int, at: Column | None = None) -> Column:
+    """Hash of the ``n`` words from place ``at`` on."""
+    return F.xxhash64(*[F.get(words, F.lit(k) if at is None else at + k) for k in range(n)])
+
+
 def short_findings(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
     """(doc_id, item_id) of items shorter than a window, by all their words and signs in a row; None without such items."""
     words = F.size(parts(f"{WORD}|{NUMBER}"))
@@ -180,10 +187,10 @@ def candidates(docs: DataFrame, items: DataFrame, cover: float = COVER) -> DataF
     lengths = sorted(r["n"] for r in need.select("n").distinct().collect())  # at most three numbers
     if not lengths:
         return stage(docs.select("doc_id").limit(0), "near")
-    said = tokens(docs)
-    for n in lengths:
-        said = said.withColumn("g1", F.transform("bare", lambda w: F.xxhash64(w))) if n == 1 else hashed(said, "bare", n, f"g{n}")
-    grams = said.select("doc_id", F.explode(F.array_distinct(F.concat(*[f"g{n}" for n in lengths]))).alias("h"))
+    # every place of a text with the hashes that begin there: plain expressions over exploded places, no functions over arrays
+    places = tokens(docs).select("doc_id", "bare", F.explode(F.when(F.size("bare") > 0, F.sequence(F.lit(0), F.size("bare") - 1))).alias("at"))
+    held = F.array(*[gram(F.col("bare"), n, F.col("at")) for n in lengths])
+    grams = places.select("doc_id", F.explode(held).alias("h")) if len(lengths) > 1 else places.select("doc_id", held[0].alias("h"))
     return stage(grams.join(small_side(need.select("h").distinct(), 16), "h", "left_semi").select("doc_id").distinct(), "near")
 
 
