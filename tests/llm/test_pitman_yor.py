@@ -207,3 +207,55 @@ def test_what_blocks_send_is_small_and_whole():
     assert back.keys() == x.keys() and all(back[k].dtype == x[k].dtype and np.array_equal(back[k], x[k]) for k in x)
     assert np.array_equal(op.unpack(op.pack({"ctx": np.zeros(0, np.uint8)}))["ctx"], np.zeros(0, np.uint8))
     assert len(op.pack(x)) < 0.9 * len(zstandard.ZstdCompressor(level=1).compress(pickle.dumps(x, protocol=5)))
+
+
+def law_of_tables(count, weight, more, d):
+    """Chances of 1, 2, ... tables of one cell, by the recursion over its customers."""
+    ways = np.zeros(count + 1)
+    ways[0] = 1
+    for n in range(count):
+        ways = (np.maximum(n - d * np.arange(count + 1), 0) * ways + np.concatenate(([0], ways[:-1]))) / max(n, 1)
+    law = np.log(np.maximum(ways[1:], 1e-300)) + np.cumsum(np.log(weight + more * np.arange(count)))
+    law = np.exp(law - law.max())
+    return law / law.sum()
+
+
+def test_customers_that_get_up_together_follow_the_exact_law():
+    """Cells with few and many tables, whose customers get up one by one or in lots: the tables have the law of all seatings."""
+    for count, weight, more, d, lot, sweeps in ((5, 0.7, 0.1, 0.5, 1, 6), (100, 8.0, 0.02, 0.4, 32, 12), (70, 30.0, 0.02, 0.3, 32, 6), (1000, 0.3, 0.002, 0.7, 128, 12)):
+        cells = op.Cells(np.full(2_500, count), np.full(2_500, weight), d, np.random.default_rng(3))
+        rows, opened, before = np.arange(2_500), np.zeros(2_500, np.int64), cells.tables()
+        for _ in range(sweeps):
+            cells.resit(rows, lambda r: (weight + more * (cells.seats[:, r] > 0).sum(axis=0), np.full(len(r), more)), lambda at, by: np.add.at(opened, at, by))  # noqa: B023
+        assert set(cells.lots(rows)) == {lot}
+        assert (cells.sizes.sum(axis=1) == count).all() and (cells.sizes >= 0).all() and (cells.count == count).all()
+        assert (cells.tables() - before == opened).all()
+        law, t = law_of_tables(count, weight, more, d), np.arange(1, count + 1)
+        assert np.abs(np.bincount(cells.tables(), minlength=count + 1)[1:] / 2_500 - law).max() < 0.04
+        assert abs(cells.tables().mean() / (law * t).sum() - 1) < 0.04
+
+
+def test_a_sweep_moves_every_customer_of_a_large_cell():
+    """The 3,000 customers of one pair, and those of the parent, start at 3,000 tables of one; a sweep leaves no such seating."""
+    data, totals = one_bucket(["x y " * 60] * 50)
+    b = op.Bucket(data, totals, 1)
+    large = [(part, cells) for part, cells, _ in b.groups if cells.count.max() >= 2_000]
+    assert large
+    for part, cells in large:
+        for i in np.flatnonzero(cells.count >= 2_000):
+            n = int(cells.count[i])
+            cells.seats = np.pad(cells.seats, ((0, max(0, n + 8 - len(cells.seats))), (0, 0)))
+            cells.seats[:, i] = 0
+            cells.seats[:n, i] = 1
+    b._count_tables()
+    b.open[:] = 0
+    np.add.at(b.open, b.ctx, b.tables)
+    assert b.tables.max() >= 2_000
+    b.sweep()
+    assert b.tables.max() < 1_500 and b.root.count.max() < 3_000
+    b.sweep()
+    b.sweep()
+    assert b.tables.max() < 1_000
+    for part, cells, _ in b.groups:
+        assert (cells.sizes.sum(axis=1) == b.count[part]).all()
+    assert np.allclose(np.bincount(b.word, weights=b.tables, minlength=b.words), b.root.count)
